@@ -1,17 +1,143 @@
-"""Imputation operators (I*): statistics fitted on one table, applied to any."""
+"""Imputation operators (I1-I5, I7): statistics fitted on one table, applied to any.
+
+Fits are small aggregates (one row per group, or one row overall); they are
+applied with checked-broadcast lookups or ``fillna`` on the lazily planned data.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tabforge.operators.lookup import lookup_join, nearest_key_join
 
 
 def fit_medians(fit_df: DataFrame, cols) -> dict:
     """Exact medians of ``cols`` over ``fit_df`` (one aggregate, one small row back)."""
-    row = fit_df.agg(*[F.median(c).alias(c) for c in cols]).first()
+    cols = list(cols)
+    if not cols:
+        return {}
+    row = fit_df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
 def fill_with_median(df: DataFrame, cols, fit_df: DataFrame | None = None) -> DataFrame:
     med = fit_medians(fit_df if fit_df is not None else df, cols)
     return df.fillna({c: v for c, v in med.items() if v is not None})
+
+
+def mode_by_group(df: DataFrame, group_cols, value_col: str, alias: str | None = None) -> DataFrame:
+    """Most frequent non-null value per group (smallest value on ties); null groups dropped.
+
+    Two partial aggregates: (group, value) counts, then ``min_by`` per group, so
+    a group holding a large share of the rows is combined map-side.
+    """
+    group_cols = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    counts = (df.filter(F.col(value_col).isNotNull()).dropna(subset=group_cols)
+              .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("__cnt")))
+    return counts.groupBy(*group_cols).agg(
+        F.min_by(F.col(value_col), F.struct(-F.col("__cnt"), F.col(value_col))).alias(alias or f"{value_col}_mode"))
+
+
+def median_by_grains(df: DataFrame, a: str, b: str, value_col: str) -> DataFrame:
+    """Exact medians at (a, b), (a) and overall in one ROLLUP aggregate; ``grain`` = grouping id."""
+    return (df.rollup(a, b).agg(F.median(F.col(value_col).cast("double")).alias("median"),
+                                F.grouping_id().alias("grain")))
+
+
+def mode_impute_by(df: DataFrame, target: str, ref: str, fit_df: DataFrame | None = None,
+                   nearest: bool = False) -> DataFrame:
+    """I1 (and I2 step): fill ``target`` from the mode of its ``ref`` group; remaining -> median.
+
+    With ``nearest=True`` a row whose numeric ``ref`` has no mode takes the mode of
+    the nearest group key (J6) before the median fallback.
+    """
+    fit_df = fit_df if fit_df is not None else df
+    modes = mode_by_group(fit_df, ref, target, "__mode")
+    out = lookup_join(df, modes, ref)
+    if nearest:
+        out = nearest_key_join(out, ref, modes, ref, "__mode")
+        out = out.withColumn("__mode", F.coalesce("__mode", "__mode_nearest")).drop("__mode_nearest")
+    out = out.withColumn(target, F.coalesce(F.col(target), F.col("__mode").cast(df.schema[target].dataType))).drop("__mode")
+    if isinstance(df.schema[target].dataType, T.NumericType):
+        med = fit_medians(out, [target])[target]
+        if med is not None:
+            out = out.fillna({target: med})
+    return out.select(*df.columns)
+
+
+def mode_impute_chain(df: DataFrame, steps, fit_df: DataFrame | None = None) -> DataFrame:
+    """Successive (target, ref) mode imputations; a ref with nulls is an error."""
+    for target, ref in steps:
+        if not df.filter(F.col(ref).isNull()).isEmpty():
+            raise ValueError(f"reference column {ref!r} has nulls")
+        numeric_ref = isinstance(df.schema[ref].dataType, T.NumericType)
+        df = mode_impute_by(df, target, ref, fit_df=None if fit_df is None else df, nearest=numeric_ref)
+    return df
+
+
+def fit_price_medians(train: DataFrame, price_col: str, a: str, b: str):
+    """I3 fit: medians by (a, b), by a, and overall from the training rows."""
+    grains = median_by_grains(train, a, b, price_col)
+    pair = grains.filter(F.col("grain") == 0).select(a, b, F.col("median").alias("__m_pair")).dropna()
+    single = grains.filter(F.col("grain") == 1).select(a, F.col("median").alias("__m_one")).dropna()
+    overall = train.agg(F.median(F.col(price_col).cast("double")).alias("m")).first()["m"]
+    return pair, single, overall
+
+
+def price_impute(df: DataFrame, fit, price_col: str, a: str, b: str, out_col: str = "price_imputed") -> DataFrame:
+    """I3 apply: price <- pair median <- single median <- global median, plus ``price_was_missing``."""
+    pair, single, overall = fit
+    out = lookup_join(lookup_join(df, pair, [a, b]), single, a)
+    return (out.withColumn(out_col, F.coalesce(F.col(price_col), "__m_pair", "__m_one", F.lit(overall)))
+            .withColumn("price_was_missing", F.col(price_col).isNull().cast("int"))
+            .drop("__m_pair", "__m_one"))
+
+
+def fit_remaining(train: DataFrame, exclude=()) -> dict:
+    """I4 fit: numeric -> median, text -> mode (smallest on ties) or 'unknown'; one aggregate."""
+    num, cat = [], []
+    for f in train.schema.fields:
+        if f.name in exclude:
+            continue
+        if isinstance(f.dataType, T.NumericType):
+            num.append(f.name)
+        elif isinstance(f.dataType, T.StringType):
+            cat.append(f.name)
+    aggs = [F.median(F.col(c).cast("double")).alias(c) for c in num]
+    aggs += [F.mode(F.col(c), deterministic=True).alias(c) for c in cat]
+    if not aggs:
+        return {}
+    row = train.agg(*aggs).first().asDict()
+    fill = {c: row[c] for c in num if row[c] is not None}
+    fill.update({c: (row[c] if row[c] is not None else "unknown") for c in cat})
+    return fill
+
+
+def apply_fill(df: DataFrame, fill: dict) -> DataFrame:
+    """Fill nulls with fitted values, casting each value to the column's own type."""
+    cols = []
+    for f in df.schema.fields:
+        if f.name in fill:
+            cols.append(F.coalesce(F.col(f.name), F.lit(fill[f.name]).cast(f.dataType)).alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
+
+
+def simple_imputer_fit(train: DataFrame, num_cols, cat_cols) -> dict:
+    """Median for numeric columns, most frequent for text columns (inside the encoder)."""
+    aggs = [F.median(F.col(c).cast("double")).alias(c) for c in num_cols]
+    aggs += [F.mode(F.col(c), deterministic=True).alias(c) for c in cat_cols]
+    row = train.agg(*aggs).first().asDict() if aggs else {}
+    return {k: v for k, v in row.items() if v is not None}
+
+
+def constant_fill(df: DataFrame, values: dict) -> DataFrame:
+    """Serving fallbacks (e.g. price 50.0; absent expected columns as 0)."""
+    out = df
+    for c, v in values.items():
+        if c not in out.columns:
+            out = out.withColumn(c, F.lit(v))
+    return apply_fill(out, values)

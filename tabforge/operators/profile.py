@@ -14,3 +14,10 @@ def numeric_coerce_report(df: DataFrame, cols, min_valid_frac: float = 0.5) -> D
     long = wide.unpivot([], list(cols), "column_name", "valid_frac")
     return long.select("column_name", F.round("valid_frac", 6).alias("valid_frac"),
                        (F.col("valid_frac") >= min_valid_frac).cast("int").alias("usable"))
+
+
+def value_shares(df: DataFrame, col: str) -> DataFrame:
+    """Count and share of each value (``value_counts(normalize=True)``)."""
+    from pyspark.sql.window import Window
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
