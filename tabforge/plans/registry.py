@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tabforge.plans import catalog_eda, catalog_quality, catalog_scalars
+from tabforge.plans import catalog_eda, catalog_metrics, catalog_quality, catalog_scalars
 
-_MODULES = [catalog_scalars, catalog_quality, catalog_eda]
+_MODULES = [catalog_scalars, catalog_quality, catalog_eda, catalog_metrics]
 
 
 def queries():

@@ -143,3 +143,41 @@ SELECT o_orderkey AS id,
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 LEFT JOIN li ON l_orderkey = o_orderkey
 )"""
+
+
+# Synthetic score parameters (multiplier, modulus) per class, in column order.
+SCORE_PARAMS = (("high", 7, 11), ("low", 5, 13), ("mid", 3, 17), ("zero", 11, 19))
+# A second, differently parameterised member for ensemble checks.
+SCORE_PARAMS_B = (("high", 3, 11), ("low", 7, 13), ("mid", 11, 17), ("zero", 5, 19))
+
+
+def predictions(spark: SparkSession, sf_dir: str, params=SCORE_PARAMS) -> DataFrame:
+    """Synthetic class probabilities per listing: raw score 1 + (id * a) % m per class, normalised;
+    label = occupancy level of the listing; pred = most probable class (first class wins ties)."""
+    from tabforge.operators.metrics import argmax_class
+    from tabforge.operators.split import occupancy_level
+    base = listings(spark, sf_dir).select("id", "estimated_occupancy_l365d")
+    raw = {c: (1 + (F.col("id") * a) % m).cast("double") for c, a, m in params}
+    total = sum(raw.values(), F.lit(0.0))
+    out = base.select(F.col("id").alias("row_id"), occupancy_level("estimated_occupancy_l365d").alias("label"),
+                      *[(raw[c] / total).alias(f"p_{c}") for c, _, _ in params])
+    return out.withColumn("pred", argmax_class([c for c, _, _ in params]))
+
+
+def predictions_sql(params=SCORE_PARAMS, name: str = "pr") -> str:
+    """DuckDB CTE text of :func:`predictions` (needs the ``listings`` CTE)."""
+    raws = ", ".join(f"CAST(1 + (id * {a}) % {m} AS DOUBLE) AS r_{c}" for c, a, m in params)
+    tot = " + ".join(f"r_{c}" for c, _, _ in params)
+    probs = ", ".join(f"r_{c} / ({tot}) AS p_{c}" for c, _, _ in params)
+    cls = [c for c, _, _ in params]
+    # a class wins when it is >= every later class and > every earlier one (first max wins)
+    cases = []
+    for i, c in enumerate(cls):
+        conds = [f"p_{c} > p_{d}" for d in cls[:i]] + [f"p_{c} >= p_{d}" for d in cls[i + 1:]]
+        cases.append(f"WHEN {' AND '.join(conds) if conds else 'true'} THEN '{c}'")
+    level = ("CASE WHEN estimated_occupancy_l365d IS NULL THEN NULL WHEN least(greatest(estimated_occupancy_l365d, 0),"
+             " 365) <= 0 THEN 'zero' WHEN least(greatest(estimated_occupancy_l365d, 0), 365) <= 30 THEN 'low'"
+             " WHEN least(greatest(estimated_occupancy_l365d, 0), 365) <= 120 THEN 'mid' ELSE 'high' END")
+    return (f"{name} AS (SELECT row_id, label, {', '.join('p_' + c for c in cls)}, CASE {' '.join(cases)} END AS pred"
+            f" FROM (SELECT id AS row_id, {level} AS label, {probs} FROM (SELECT id, estimated_occupancy_l365d, {raws}"
+            " FROM listings)))")
