@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tabforge.plans import catalog_eda, catalog_metrics, catalog_quality, catalog_scalars
+from tabforge.plans import catalog_eda, catalog_metrics, catalog_models, catalog_quality, catalog_scalars
 
-_MODULES = [catalog_scalars, catalog_quality, catalog_eda, catalog_metrics]
+_MODULES = [catalog_scalars, catalog_quality, catalog_eda, catalog_metrics, catalog_models]
 
 
 def queries():
