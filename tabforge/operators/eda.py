@@ -40,7 +40,7 @@ def skewness(df: DataFrame, col: str) -> DataFrame:
 
     def adj(e):
         n = F.count(e)
-        return F.skewness(e) * F.sqrt(n * (n - 1)) / (n - 2)
+        return F.try_divide(F.skewness(e) * F.sqrt(n * (n - 1)), n - 2)
     return df.agg(adj(x).alias("skew_raw"), adj(lx).alias("skew_log1p"))
 
 
@@ -96,11 +96,12 @@ def kde_grid(df: DataFrame, col: str, grid_points: int = 200, bins: int = 1024)
     st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("sd")).first()
     lo, hi, n, sd = st["lo"], st["hi"], st["n"], st["sd"]
     bw = sd * n ** (-0.2)
-    width = (hi - lo) / bins
+    width = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
     centres = (df.filter(x.isNotNull()).groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("c"))
                .select((F.lit(lo) + (F.col("b") + 0.5) * F.lit(width)).alias("xc"), "c"))
-    step = (hi - lo) / (grid_points - 1)
+    step = (hi - lo) / (grid_points - 1) if hi > lo else 0.0
+    bw = bw if bw else 1.0
     grid = F.array(*[F.lit(lo + i * step) for i in range(grid_points)])
     pairs = centres.select("xc", "c", F.explode(grid).alias("g"))
     z = (F.col("g") - F.col("xc")) / F.lit(bw)
@@ -222,7 +223,8 @@ def categorical_missing_effect(df: DataFrame, mask, cat_col: str) -> DataFrame:
     lvl = F.coalesce(F.col(cat_col).cast("string"), F.lit("Missing"))
     c = df.groupBy(lvl.alias("level")).agg(F.count_if(m).alias("a"), F.count_if(~m).alias("b"))
     w = _all()
-    d = c.select(F.abs(F.col("a") / F.sum("a").over(w) - F.col("b") / F.sum("b").over(w)).alias("d"),
+    d = c.select(F.abs(F.try_divide(F.col("a"), F.sum("a").over(w)) - F.try_divide(F.col("b"), F.sum("b").over(w)))
+                 .alias("d"),
                  F.sum("a").over(w).alias("na"), F.sum("b").over(w).alias("nb"))
     return d.agg(F.when((F.max("na") > 0) & (F.max("nb") > 0), F.max("d")).alias("effect"))
 
@@ -351,7 +353,7 @@ def anova_f(df: DataFrame, label: str, cols) -> DataFrame:
                       F.sum(F.col("s") * F.col("s") / F.col("n")).alias("B"))
         ssb = F.col("B") - F.col("S") * F.col("S") / F.col("N")
         ssw = F.col("SS") - F.col("B")
-        f = (ssb / (F.col("k") - 1)) / (ssw / (F.col("N") - F.col("k")))
+        f = F.try_divide(F.try_divide(ssb, F.col("k") - 1), F.try_divide(ssw, F.col("N") - F.col("k")))
         parts.append(tot.select(F.lit(c).alias("feature"),
                                 F.when(f.isNull() | F.isnan(f) | (F.abs(f) == float("inf")), 0.0).otherwise(f)
                                 .alias("f_stat")))

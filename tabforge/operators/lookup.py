@@ -45,8 +45,8 @@ def freq_outer_align(df: DataFrame, cat_col: str, side_pred, normalize: bool = T
         return counts
     w = Window.partitionBy()
     return counts.select(cat_col,
-                         F.coalesce(F.col("n_a") / F.sum("n_a").over(w), F.lit(0.0)).alias("freq_a"),
-                         F.coalesce(F.col("n_b") / F.sum("n_b").over(w), F.lit(0.0)).alias("freq_b"))
+                         F.coalesce(F.try_divide(F.col("n_a"), F.sum("n_a").over(w)), F.lit(0.0)).alias("freq_a"),
+                         F.coalesce(F.try_divide(F.col("n_b"), F.sum("n_b").over(w)), F.lit(0.0)).alias("freq_b"))
 
 
 def nearest_key_join(df: DataFrame, ref_col: str, lookup: DataFrame, key_col: str, value_col: str,

@@ -127,8 +127,8 @@ def roc_points(pred: DataFrame, label: str = "label", classes=CLASSES, prefix: s
     rt = running_totals(cs, ["cls"], "neg_score", ["pos", "neg"])
     tot = rt.groupBy("cls").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     pts = (rt.join(F.broadcast(tot), "cls")
-           .select("cls", ((F.col("neg_below") + F.col("neg")) / F.col("N")).alias("fpr"),
-                   ((F.col("pos_below") + F.col("pos")) / F.col("P")).alias("tpr")))
+           .select("cls", F.try_divide(F.col("neg_below") + F.col("neg"), F.col("N")).alias("fpr"),
+                   F.try_divide(F.col("pos_below") + F.col("pos"), F.col("P")).alias("tpr")))
     origin = tot.select("cls", F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     pts = pts.unionByName(origin).groupBy("cls", "fpr").agg(F.max("tpr").alias("tmax"), F.min("tpr").alias("tmin"))
     m = grid_points - 1

@@ -27,18 +27,20 @@ LABEL_IDX = "label_idx"
 @dataclass
 class Encoder:
     """A fitted encoder: the Spark ``PipelineModel`` plus the text-column fill values."""
-    model: PipelineModel
+    model: PipelineModel          # feature stages only (usable on unlabeled rows)
+    label_model: object           # StringIndexerModel for the target
     cat_fill: dict
     num_cols: list
     cat_cols: list
     classes: list
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, with_label: bool = False) -> DataFrame:
         for c in self.num_cols + self.cat_cols:
             if c not in df.columns:
                 df = df.withColumn(c, F.lit(None).cast("double" if c in self.num_cols else "string"))
         df = df.fillna({c: v for c, v in self.cat_fill.items()})
-        return self.model.transform(df)
+        out = self.model.transform(df)
+        return self.label_model.transform(out) if with_label else out
 
 
 def split_columns(df: DataFrame, target: str, exclude=()) -> tuple[list, list]:
@@ -63,8 +65,9 @@ def fit_encoder(train: DataFrame, target: str, num_cols, cat_cols, relative_erro
         row = train.agg(*[F.mode(F.col(c), deterministic=True).alias(c) for c in cat_cols]).first()
         cat_fill = {c: row[c] for c in cat_cols if row[c] is not None}
     train = train.fillna(cat_fill)
-    stages = [StringIndexer(inputCol=target, outputCol=LABEL_IDX, stringOrderType="alphabetAsc",
-                            handleInvalid="skip")]
+    label_model = StringIndexer(inputCol=target, outputCol=LABEL_IDX, stringOrderType="alphabetAsc",
+                                handleInvalid="skip").fit(train)
+    stages = []
     imputed = [f"__imp_{c}" for c in num_cols]
     if num_cols:
         stages.append(Imputer(strategy="median", inputCols=list(num_cols), outputCols=imputed,
@@ -80,8 +83,8 @@ def fit_encoder(train: DataFrame, target: str, num_cols, cat_cols, relative_erro
     parts = (["__num_std"] if num_cols else []) + ohe
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
     model = Pipeline(stages=stages).fit(train)
-    classes = list(model.stages[0].labels)
-    return Encoder(model, cat_fill, list(num_cols), list(cat_cols), classes)
+    classes = list(label_model.labels)
+    return Encoder(model, label_model, cat_fill, list(num_cols), list(cat_cols), classes)
 
 
 def standard_scale(df: DataFrame, cols, fit_df: DataFrame | None = None) -> DataFrame:
@@ -99,10 +102,10 @@ def probabilities(pred: DataFrame, classes, prob_col: str = "probability", keep=
     return out.withColumn("pred", argmax_class(list(classes)))
 
 
-def logreg(weight_col: str | None = None, max_iter: int = 200, reg: float = 0.0):
-    """K1: multinomial logistic regression."""
+def logreg(weight_col: str | None = None, max_iter: int = 500, reg: float = 0.0, tol: float = 1e-4):
+    """K1: multinomial logistic regression (L-BFGS, stopping tolerance 1e-4)."""
     lr = LogisticRegression(featuresCol="features", labelCol=LABEL_IDX, family="multinomial", maxIter=max_iter,
-                            regParam=reg)
+                            regParam=reg, tol=tol)
     return lr.setWeightCol(weight_col) if weight_col else lr
 
 
@@ -130,7 +133,8 @@ def gbt_one_vs_rest(train: DataFrame, test: DataFrame, classes, keep=("row_id",
         if weight_col:
             g = g.setWeightCol(weight_col)
         if validation_col:
-            g = g.setValidationIndicatorCol(validation_col).setValidationTol(0.01)
+            g = g.setValidationIndicatorCol(validation_col)
+            g.set(g.validationTol, 0.01)
         m = g.fit(tr)
         p = m.transform(test).select(*keep, vector_to_array("probability")[1].alias(f"__p_{c}"))
         probs = p if probs is None else probs.join(p.select(keep[0], f"__p_{c}"), keep[0])

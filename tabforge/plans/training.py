@@ -41,7 +41,7 @@ def prepare(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> P
     enc = K.fit_encoder(train, TARGET, num, cat)
 
     def encode(d):
-        e = enc.transform(d).select(F.col("id").alias("row_id"), F.col(TARGET).alias("label"), K.LABEL_IDX, "features")
+        e = enc.transform(d, with_label=True).select(F.col("id").alias("row_id"), F.col(TARGET).alias("label"), K.LABEL_IDX, "features")
         return E.with_class_weight(e, "label")
 
     tr = encode(train).persist(StorageLevel.MEMORY_AND_DISK)
