@@ -43,7 +43,8 @@ _STRING_COLS = ["neighbourhood_cleansed", "neighbourhood", "host_neighbourhood",
                 "has_availability", "amenities"]
 O["read_listings"] = with_listings("SELECT " + ", ".join(
     (f"CASE WHEN {c} IS NULL OR trim({c}) IN ({N.sql_token_list()}) THEN NULL ELSE {c} END AS {c}"
-     if c in _STRING_COLS else c) for c in LISTING_COLS) + " FROM listings")
+     if c in _STRING_COLS else c) for c in LISTING_COLS) + " FROM listings"
+).replace("listings AS (", "listings AS MATERIALIZED (", 1)   # same rows; avoids a DuckDB dictionary-cache fault
 
 
 def q_read_requests(spark, sf):
