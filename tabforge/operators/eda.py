@@ -174,22 +174,35 @@ def feature_target_corr(df: DataFrame, target: str, num_cols, cat_cols, scale: f
     return out.filter(F.col("corr").isNotNull() & ~F.isnan("corr")).orderBy(F.abs("corr").desc(), "feature")
 
 
-def _null_pairs(df: DataFrame, cols):
-    n = F.count(F.lit(1)).alias("__n")
-    singles = [F.count_if(F.col(c).isNull()).alias(f"__s_{i}") for i, c in enumerate(cols)]
-    pairs = [F.count_if(F.col(a).isNull() & F.col(b).isNull()).alias(f"__p_{i}_{j}")
-             for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
-    return df.agg(n, *singles, *pairs)
-
-
 def null_pair_table(df: DataFrame, cols=None) -> DataFrame:
-    """Per column pair (a < b by position): n, nulls of a, nulls of b, nulls of both (one aggregate)."""
+    """Per column pair (a before b): rows n, nulls of a, nulls of b and nulls of both.
+
+    Rows are first reduced to their distinct null patterns (one grouped aggregate,
+    combined map-side); singles and co-null counts are then sums over that small
+    pattern table, so the cost after the scan does not grow with the row count.
+    """
+    spark = df.sparkSession
     cols = list(cols or df.columns)
-    wide = _null_pairs(df, cols)
-    rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col("__n").alias("n"),
-                     F.col(f"__s_{i}").alias("na"), F.col(f"__s_{j}").alias("nb"), F.col(f"__p_{i}_{j}").alias("nab"))
-            for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
-    return wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+    k = len(cols)
+    pat = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
+    pats = df.groupBy(pat.alias("pat")).agg(F.count(F.lit(1)).alias("cnt"))
+    ix = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.substr(F.col("pat"), i + 1, F.lit(1)) == "1")
+    nulls = pats.select("cnt", ix.alias("ix"))
+    pats = pats.persist()
+    n = pats.agg(F.sum("cnt")).first()[0] or 0        # one number from the (small) pattern table
+    singles = nulls.select("cnt", F.explode("ix").alias("i")).groupBy("i").agg(F.sum("cnt").alias("na"))
+    both = (nulls.select("cnt", "ix", F.explode("ix").alias("i"))
+            .select("cnt", "i", F.explode(F.filter("ix", lambda j: j > F.col("i"))).alias("j"))
+            .groupBy("i", "j").agg(F.sum("cnt").alias("nab")))
+    names = spark.createDataFrame([(i, a, j, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j],
+                                  "i int, col_a string, j int, col_b string")
+    sa = singles.select(F.col("i"), F.col("na"))
+    sb = singles.select(F.col("i").alias("j"), F.col("na").alias("nb"))
+    out = names.join(both, ["i", "j"], "left").join(sa, "i", "left").join(sb, "j", "left")
+    return out.select("col_a", "col_b", F.lit(n).cast("long").alias("n"),
+                      F.coalesce("na", F.lit(0)).cast("long").alias("na"),
+                      F.coalesce("nb", F.lit(0)).cast("long").alias("nb"),
+                      F.coalesce("nab", F.lit(0)).cast("long").alias("nab"))
 
 
 def null_correlation(df: DataFrame, cols=None) -> DataFrame:
@@ -391,15 +404,15 @@ def mutual_information(df: DataFrame, label: str, cols, bins: int = 10) -> DataF
 
 
 def spearman(df: DataFrame, target: str, cols) -> DataFrame:
-    """|Spearman| of each feature with the target (average ranks, pairwise complete rows)."""
-    parts = []
-    for c in cols:
-        sub = df.select(F.col(c).cast("double").alias("__x"), F.col(target).cast("double").alias("__t")).dropna()
-        rx = average_rank(sub, "__x", out="__rx")
-        rxy = average_rank(rx, "__t", out="__ry")
-        parts.append(rxy.agg(F.abs(F.corr("__rx", "__ry")).alias("spearman")).select(F.lit(c).alias("feature"),
-                                                                                   "spearman"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """|Spearman| of each feature with the target (average ranks over pairwise-complete rows).
+
+    All features are ranked in one pass over an unpivoted (feature, x, target) table;
+    ranks are partitioned by feature, so no window spans the whole table.
+    """
+    long = (df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("__x"),
+                 F.col(target).cast("double").alias("__t")) for c in cols])).alias("s"))
+        .select("s.*").dropna(subset=["__x", "__t"]))
+    rx = average_rank(long, "__x", part_cols=["feature"], out="__rx")
+    rxy = average_rank(rx, "__t", part_cols=["feature"], out="__ry")
+    return rxy.groupBy("feature").agg(F.abs(F.corr("__rx", "__ry")).alias("spearman"))

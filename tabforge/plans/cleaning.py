@@ -23,6 +23,7 @@ from tabforge.operators import impute as I
 from tabforge.operators import quality as D
 from tabforge.operators import split as G
 from tabforge.operators import tokens as TK
+from tabforge.session import cut_lineage
 
 TARGET = "occupancy_level"
 DATE_COLS = ("last_scraped", "host_since", "first_review", "last_review")
@@ -133,8 +134,9 @@ def apply(df: DataFrame, f: CleanFit) -> DataFrame:
 
 def run(raw: DataFrame, fit_modes_on: str = "train", test_fraction: float = 0.2):
     """Whole cleaning job; returns (train, test, fit).  Nothing is written here."""
-    # the cleaned, split table feeds several small fit aggregates: keep it instead of recomputing the scan
-    df = split(clean_rows(raw), test_fraction).persist(StorageLevel.MEMORY_AND_DISK)
+    # the cleaned, split table feeds several small fit aggregates: write it once (reliable checkpoint in the
+    # shared folder) so every fit reads a short plan and a lost executor does not recompute the scan
+    df = cut_lineage(split(clean_rows(raw), test_fraction))
     train = df.filter(F.col("split") == "train")
     mode_fit = df if fit_modes_on == "all" else train
     for target in ("bedrooms", "beds"):
@@ -143,7 +145,7 @@ def run(raw: DataFrame, fit_modes_on: str = "train", test_fraction: float = 0.2)
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     train = df.filter(F.col("split") == "train")
     f = fit(train)
-    out = apply(df, f).persist(StorageLevel.MEMORY_AND_DISK)
+    out = cut_lineage(apply(df, f))
     train_o = out.filter(F.col("split") == "train")
     f.fill = I.fit_remaining(train_o, exclude=("id", "split", TARGET, "host_id"))
     out = I.apply_fill(out, f.fill)

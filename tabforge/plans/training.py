@@ -17,6 +17,7 @@ from tabforge.operators import metrics as M
 from tabforge.operators import models as K
 from tabforge.operators import quality as D
 from tabforge.plans import cleaning
+from tabforge.session import cut_lineage
 from tabforge.sources.fixtures import listings
 
 TARGET = cleaning.TARGET
@@ -44,8 +45,8 @@ def prepare(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> P
         e = enc.transform(d, with_label=True).select(F.col("id").alias("row_id"), F.col(TARGET).alias("label"), K.LABEL_IDX, "features")
         return E.with_class_weight(e, "label")
 
-    tr = encode(train).persist(StorageLevel.MEMORY_AND_DISK)
-    te = encode(test).persist(StorageLevel.MEMORY_AND_DISK)
+    tr = cut_lineage(encode(train))
+    te = cut_lineage(encode(test))
     first = tr.select("features").first()
     n = first[0].size if first else 0
     return Prepared(enc, tr, te, n, fit, train, test)
@@ -98,7 +99,7 @@ def evaluate(name: str, pred: DataFrame) -> DataFrame:
 def fold_metrics(p: Prepared, make_estimator, k: int = 5) -> DataFrame:
     """K8: per fold balanced accuracy and macro F1 (stratified folds on the training split)."""
     from tabforge.operators.split import stratified_folds
-    folded = stratified_folds(p.train, "label", "row_id", k).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = cut_lineage(stratified_folds(p.train, "label", "row_id", k))
     rows = []
     for f in range(k):
         fit_part = folded.filter(F.col("fold") != f)
@@ -129,12 +130,12 @@ def cross_validate(p: Prepared, models: dict, k: int = 5) -> DataFrame:
 def weight_search(p: Prepared, high_factors=(1.8,), mid_factors=(1.1,), k: int = 5, make=None) -> DataFrame:
     """K7: for each (high, mid) boost, mean over folds of F1(high) + F1(mid); best first."""
     from tabforge.operators.split import stratified_folds
-    folded = stratified_folds(p.train, "label", "row_id", k).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = cut_lineage(stratified_folds(p.train, "label", "row_id", k))
     make = make or (lambda: K.logreg("w2"))
     rows = []
     for hf in high_factors:
         for mf in mid_factors:
-            wdf = E.with_class_weight(folded.drop("weight"), "label", {"high": hf, "mid": mf}, out="w2")
+            wdf = cut_lineage(E.with_class_weight(folded.drop("weight"), "label", {"high": hf, "mid": mf}, out="w2"))
             for f in range(k):
                 m = make().fit(wdf.filter(F.col("fold") != f))
                 pred = K.probabilities(m.transform(wdf.filter(F.col("fold") == f)), p.enc.classes, keep=KEEP)
