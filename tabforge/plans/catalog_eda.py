@@ -283,3 +283,55 @@ for _name, _fn in list(globals().items()):
 
 QUERIES = Q
 ORACLES = O
+
+
+def _mechanism_sql():
+    """DuckDB text of A22 over the listings columns (same eligibility rules, same tie order)."""
+    from tabforge.plans.catalog_models import _STRING_COLS
+    mask = N.sql_token_list(N.MASK_TOKENS)
+    pos = {c: i for i, c in enumerate(LISTING_COLS)}
+    strs = [c for c in LISTING_COLS if c in _STRING_COLS]
+    m_cols = ", ".join(
+        f"CAST(({c} IS NULL OR coalesce(trim(CAST({c} AS VARCHAR)) IN ({mask}), false)) AS INTEGER) AS m_{c}, "
+        f"TRY_CAST(nullif(regexp_replace(CAST({c} AS VARCHAR), '[^0-9.\\-]', '', 'g'), '') AS DOUBLE) AS x_{c}"
+        for c in LISTING_COLS)
+    l_cols = ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'Missing') AS l_{c}" for c in strs)
+    tl = " UNION ALL ".join(f"SELECT id, '{c}' AS t, m_{c} AS mt FROM m" for c in LISTING_COLS)
+    xl = " UNION ALL ".join(f"SELECT id, '{c}' AS d, {pos[c]} AS ord, x_{c} AS x FROM m" for c in LISTING_COLS)
+    cl = " UNION ALL ".join(f"SELECT id, '{c}' AS d, {pos[c]} AS ord, l_{c} AS lvl FROM m" for c in strs)
+    nd = " UNION ALL ".join(f"SELECT '{c}' AS d, count(DISTINCT {c}) AS nd FROM listings" for c in strs)
+    ctes = [
+        "nn AS (SELECT count(*) AS n FROM listings)",
+        f"m AS (SELECT id, {m_cols}, {l_cols} FROM listings)",
+        f"tl AS ({tl})", f"xl AS ({xl})", f"cl AS ({cl})", f"dn AS ({nd})",
+        "miss AS (SELECT t, sum(mt) AS missing FROM tl GROUP BY t)",
+        "vf AS (SELECT d, avg(CASE WHEN x IS NOT NULL THEN 1.0 ELSE 0.0 END) AS vf, stddev_samp(x) AS sd FROM xl"
+        " GROUP BY d)",
+        "numc AS (SELECT ne.t, ne.d AS driver, 0 AS typ, ne.ord, abs(a - b) / vf.sd AS eff FROM (SELECT tl.t, xl.d,"
+        " xl.ord, avg(xl.x) FILTER (WHERE tl.mt = 1) AS a, avg(xl.x) FILTER (WHERE tl.mt = 0) AS b FROM tl JOIN xl"
+        " ON tl.id = xl.id WHERE tl.t <> xl.d GROUP BY ALL) ne JOIN vf ON ne.d = vf.d WHERE vf.vf >= 0.5"
+        " AND a IS NOT NULL AND b IS NOT NULL AND vf.sd > 0 AND NOT isnan(vf.sd))",
+        "catc AS (SELECT cc.t, cc.d || ' (categoría)' AS driver, 1 AS typ, cc.ord, max(abs(cc.m / miss.missing -"
+        " (cc.cnt - cc.m) / (nn.n - miss.missing))) AS eff FROM (SELECT tl.t, cl.d, cl.ord, cl.lvl, count(*) AS cnt,"
+        " sum(tl.mt) AS m FROM tl JOIN cl ON tl.id = cl.id WHERE tl.t <> cl.d GROUP BY ALL) cc"
+        " JOIN miss ON cc.t = miss.t JOIN dn ON cc.d = dn.d, nn WHERE dn.nd BETWEEN 1 AND 30 AND miss.missing > 0"
+        " AND miss.missing < nn.n GROUP BY cc.t, cc.d, cc.ord)",
+        "best AS (SELECT t, arg_max(driver, (eff, -typ, -ord)) AS driver, max(eff) AS eff FROM (SELECT * FROM numc"
+        " UNION ALL SELECT * FROM catc) WHERE eff > 0 GROUP BY t)",
+        "mech AS (SELECT miss.t AS column_name, CAST(miss.missing AS BIGINT) AS missing,"
+        " round(miss.missing / nn.n * 100, 2) AS missing_pct, CASE WHEN miss.missing = nn.n THEN 'Estructural'"
+        " WHEN b.driver IS NULL OR b.eff < 0.05 THEN 'MCAR' WHEN coalesce(CASE WHEN dm.missing > 0 THEN"
+        " round(dm.missing / nn.n * 100, 2) END, 0) < 50 THEN 'MAR' ELSE 'MNAR' END AS category,"
+        " CASE WHEN miss.missing = nn.n THEN NULL ELSE b.driver END AS driver,"
+        " CASE WHEN miss.missing = nn.n OR b.driver IS NULL THEN NULL ELSE round(b.eff, 3) END AS effect_size"
+        " FROM miss CROSS JOIN nn LEFT JOIN best b ON miss.t = b.t"
+        " LEFT JOIN miss dm ON dm.t = replace(b.driver, ' (categoría)', '') WHERE miss.missing > 0)",
+    ]
+    return ctes
+
+
+_MECH = _mechanism_sql()
+O["missingness_mechanism"] = with_listings("SELECT * FROM mech", *_MECH)
+O["mechanism_summary"] = with_listings(
+    "SELECT category, count(*) AS columns, round(count(*) / sum(count(*)) OVER () * 100, 6) AS pct FROM mech"
+    " GROUP BY category", *_MECH)
