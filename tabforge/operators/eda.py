@@ -159,10 +159,10 @@ def feature_target_corr(df: DataFrame, target: str, num_cols, cat_cols, scale: f
         long = base.select("__y", F.explode(F.array(*[
             F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("level")) for c in cat_cols])).alias("s")
         ).select("__y", "s.*").filter(F.col("level").isNotNull())
-        lv = long.groupBy("col", "level").agg(F.count(F.lit(1)).alias("nd"), F.sum("__y").alias("sdy"))
+        lv = long.groupBy("col", "level").agg(F.count(F.lit(1)).cast("double").alias("nd"), F.sum("__y").alias("sdy"))
         first = lv.groupBy("col").agg(F.min("level").alias("__first"))
         lv = (lv.join(first, "col").filter(F.col("level") != F.col("__first"))
-              .withColumn("n", F.lit(tot["n"])).withColumn("sy", F.lit(tot["sy"])).withColumn("syy", F.lit(tot["syy"])))
+              .withColumn("n", F.lit(float(tot["n"]))).withColumn("sy", F.lit(tot["sy"])).withColumn("syy", F.lit(tot["syy"])))
         num = F.col("n") * F.col("sdy") - F.col("nd") * F.col("sy")
         den = F.sqrt((F.col("n") * F.col("nd") - F.col("nd") * F.col("nd"))
                      * (F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")))
@@ -207,7 +207,8 @@ def null_pair_table(df: DataFrame, cols=None) -> DataFrame:
 
 def null_correlation(df: DataFrame, cols=None) -> DataFrame:
     """Pearson (phi) between null indicators of columns that are sometimes but not always null."""
-    t = null_pair_table(df, cols)
+    t = null_pair_table(df, cols).select("col_a", "col_b", *[F.col(c).cast("double").alias(c)
+                                                             for c in ("n", "na", "nb", "nab")])
     ok = (F.col("na") > 0) & (F.col("na") < F.col("n")) & (F.col("nb") > 0) & (F.col("nb") < F.col("n"))
     phi = ((F.col("n") * F.col("nab") - F.col("na") * F.col("nb"))
            / F.sqrt(F.col("na") * (F.col("n") - F.col("na")) * F.col("nb") * (F.col("n") - F.col("nb"))))
@@ -399,7 +400,8 @@ def mutual_information(df: DataFrame, label: str, cols, bins: int = 10) -> DataF
     t = cnt.select("feature", "bin", "__y", "nxy", F.sum("nxy").over(wf).alias("n"),
                    F.sum("nxy").over(Window.partitionBy("feature", "bin")).alias("nx"),
                    F.sum("nxy").over(Window.partitionBy("feature", "__y")).alias("ny"))
-    term = F.col("nxy") / F.col("n") * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
+    d = {c: F.col(c).cast("double") for c in ("nxy", "n", "nx", "ny")}   # products of counts overflow a long
+    term = d["nxy"] / d["n"] * F.log(d["nxy"] * d["n"] / (d["nx"] * d["ny"]))
     return t.groupBy("feature").agg(F.sum(term).alias("mi"))
 
 

@@ -105,7 +105,8 @@ def roc_auc_per_class(pred: DataFrame, label: str = "label", classes=CLASSES, pr
     rt = running_totals(cs, ["cls"], "score", ["pos", "neg"])
     per = rt.groupBy("cls").agg(F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).alias("u"),
                                 F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return per.select("cls", F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("u") / (F.col("P") * F.col("N")))
+    pn = F.col("P").cast("double") * F.col("N").cast("double")
+    return per.select("cls", F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("u") / pn)
                       .alias("auc"))
 
 
