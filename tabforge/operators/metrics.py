@@ -166,9 +166,9 @@ def soft_vote(members, key: str = "row_id", classes=CLASSES, prefix: str = "p_")
     return out.withColumn("pred", argmax_class(classes, prefix))
 
 
-def threshold_grid_scores(pred: DataFrame, thresholds, margins, label: str = "label", base: str = "pred",
-                          hi: str = "high", mid: str = "mid", prefix: str = "p_") -> DataFrame:
-    """K9: F1(high), F1(mid) and their sum for every (threshold, margin) pair.
+def _grid_cells(pred: DataFrame, thresholds, margins, label: str = "label", base: str = "pred",
+                hi: str = "high", mid: str = "mid", prefix: str = "p_") -> DataFrame:
+    """(threshold, margin, y, b, p, n) cells: the tuned prediction p for every grid point.
 
     Rule per row: p(high) >= t -> high; if margin > 0 and p(high) - p(mid) < margin
     as well -> mid; otherwise the base prediction.  Rows are first reduced to a
@@ -192,6 +192,23 @@ def threshold_grid_scores(pred: DataFrame, thresholds, margins, label: str = "la
     close = is_high & (F.col("margin") > 0) & (F.col("j") >= F.col("fm"))
     p = F.when(close, F.lit(mid)).when(is_high, F.lit(hi)).otherwise(F.col("b"))
     g = g.withColumn("p", p)
+    return g
+
+
+def grid_cross(pred: DataFrame, thresholds, margins, label: str = "label", base: str = "pred",
+               hi: str = "high", mid: str = "mid", prefix: str = "p_") -> DataFrame:
+    """Predicted-class counts for every (threshold, margin) pair over all predictions.
+
+    The predictions are reduced to a bounded histogram first; only the histogram is
+    expanded over the grid (no prediction x grid pairs are formed)."""
+    g = _grid_cells(pred, thresholds, margins, label, base, hi, mid, prefix)
+    return g.groupBy("threshold", "margin", F.col("p").alias("pred")).agg(F.sum("n").alias("n"))
+
+
+def threshold_grid_scores(pred: DataFrame, thresholds, margins, label: str = "label", base: str = "pred",
+                          hi: str = "high", mid: str = "mid", prefix: str = "p_") -> DataFrame:
+    """K9: F1(high), F1(mid) and their sum for every (threshold, margin) pair (see :func:`_grid_cells`)."""
+    g = _grid_cells(pred, thresholds, margins, label, base, hi, mid, prefix)
 
     def f1(c):
         tp = F.sum(F.when((F.col("y") == c) & (F.col("p") == c), F.col("n")).otherwise(0))

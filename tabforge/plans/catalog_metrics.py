@@ -167,6 +167,17 @@ def _thr_sql():
 O["threshold_tune"] = _thr_sql()
 
 
+def q_grid_cross(spark, sf):
+    return _r(M.grid_cross(predictions(spark, sf), THRESHOLDS, MARGINS), ["threshold", "margin"])
+
+
+O["grid_cross"] = with_pred(
+    "SELECT round(t, 9) AS threshold, round(m, 9) AS margin, p AS pred, count(*) AS n FROM (SELECT t, m,"
+    " CASE WHEN p_high >= t AND m > 0 AND p_high - p_mid < m THEN 'mid' WHEN p_high >= t THEN 'high' ELSE pred END"
+    " AS p FROM pr, (VALUES " + ", ".join(f"(CAST({t!r} AS DOUBLE), CAST({m!r} AS DOUBLE))" for t in THRESHOLDS
+                                        for m in MARGINS) + ") g(t, m)) GROUP BY t, m, p")
+
+
 def _runs(spark, sf):
     base = predictions(spark, sf)
     ens = M.soft_vote([base, predictions(spark, sf, SCORE_PARAMS_B)]).join(base.select("row_id", "label"), "row_id")
