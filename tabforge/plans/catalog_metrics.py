@@ -54,7 +54,7 @@ def q_classification_report(spark, sf):
 
 O["classification_report"] = with_pred(
     "SELECT cls, round(precision, 9) AS precision, round(recall, 9) AS recall, support, round(f1, 9) AS f1 FROM rep"
-    " UNION ALL SELECT 'macro avg', round(avg(precision), 9), round(avg(recall), 9), sum(support), round(avg(f1), 9)"
+    " UNION ALL SELECT 'macro avg', round(avg(precision), 9), round(avg(recall), 9), CAST(sum(support) AS BIGINT), round(avg(f1), 9)"
     " FROM rep", PER_CLASS_SQL.format(src="pr"), REP_SQL)
 
 

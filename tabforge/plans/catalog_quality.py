@@ -299,7 +299,7 @@ def q_categorical_describe(spark, sf):
 
 
 O["categorical_describe"] = with_listings(" UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, sum(freq) AS count, count(*) AS unique, arg_min({c}, (-freq, {c})) AS top,"
+    f"SELECT '{c}' AS column_name, CAST(sum(freq) AS BIGINT) AS count, count(*) AS unique, arg_min({c}, (-freq, {c})) AS top,"
     f" max(freq) AS freq FROM (SELECT {c}, count(*) AS freq FROM listings WHERE {c} IS NOT NULL GROUP BY {c})"
     for c in TEXT_LISTING_COLS))
 

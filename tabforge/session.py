@@ -37,12 +37,19 @@ def get_spark(app: str = "tabforge", cores: str | int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when unset."""
+    """Return the shared checkpoint folder, creating a local one only when none is configured."""
     path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    path = path or current
     if not path:
         path = tempfile.mkdtemp(prefix="tabforge-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - some deployments lock core settings; the context setting suffices
+            pass
+    if not current:
+        sc.setCheckpointDir(path)
     return path
 
 
