@@ -40,6 +40,24 @@ def mode_by_group(df: DataFrame, group_cols, value_col: str, alias: str | None =
         F.min_by(F.col(value_col), F.struct(-F.col("__cnt"), F.col(value_col))).alias(alias or f"{value_col}_mode"))
 
 
+def global_modes(df: DataFrame, cols) -> dict:
+    """Most frequent non-null value of each column (smallest on ties), one job for all columns.
+
+    The columns are unpivoted to (column, value), counted per pair (partial aggregation,
+    so a value held by a third of the rows is combined map-side), and reduced with
+    ``min_by`` per column; only one row per column comes back.
+    """
+    cols = list(cols)
+    if not cols:
+        return {}
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("__c"), F.col(c).cast("string").alias("__v")) for c in cols])).alias("s")
+    ).select("s.*").filter(F.col("__v").isNotNull())
+    counts = long.groupBy("__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    best = counts.groupBy("__c").agg(F.min_by("__v", F.struct(-F.col("__n"), F.col("__v"))).alias("__m"))
+    return {r["__c"]: r["__m"] for r in best.collect()}
+
+
 def median_by_grains(df: DataFrame, a: str, b: str, value_col: str) -> DataFrame:
     """Exact medians at (a, b), (a) and overall in one ROLLUP aggregate; ``grain`` = grouping id."""
     return (df.rollup(a, b).agg(F.median(F.col(value_col).cast("double")).alias("median"),
@@ -105,13 +123,10 @@ def fit_remaining(train: DataFrame, exclude=()) -> dict:
             num.append(f.name)
         elif isinstance(f.dataType, T.StringType):
             cat.append(f.name)
-    aggs = [F.median(F.col(c).cast("double")).alias(c) for c in num]
-    aggs += [F.mode(F.col(c), deterministic=True).alias(c) for c in cat]
-    if not aggs:
-        return {}
-    row = train.agg(*aggs).first().asDict()
+    row = train.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in num]).first().asDict() if num else {}
+    modes = global_modes(train, cat)
     fill = {c: row[c] for c in num if row[c] is not None}
-    fill.update({c: (row[c] if row[c] is not None else "unknown") for c in cat})
+    fill.update({c: modes.get(c, "unknown") for c in cat})
     return fill
 
 
@@ -128,10 +143,10 @@ def apply_fill(df: DataFrame, fill: dict) -> DataFrame:
 
 def simple_imputer_fit(train: DataFrame, num_cols, cat_cols) -> dict:
     """Median for numeric columns, most frequent for text columns (inside the encoder)."""
-    aggs = [F.median(F.col(c).cast("double")).alias(c) for c in num_cols]
-    aggs += [F.mode(F.col(c), deterministic=True).alias(c) for c in cat_cols]
-    row = train.agg(*aggs).first().asDict() if aggs else {}
-    return {k: v for k, v in row.items() if v is not None}
+    row = train.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in num_cols]).first().asDict() if num_cols else {}
+    out = {k: v for k, v in row.items() if v is not None}
+    out.update(global_modes(train, cat_cols))
+    return out
 
 
 def constant_fill(df: DataFrame, values: dict) -> DataFrame:

@@ -60,10 +60,8 @@ def fit_encoder(train: DataFrame, target: str, num_cols, cat_cols, relative_erro
 
     Unseen or null levels encode as all zeros (StringIndexer 'keep' + OneHotEncoder dropLast).
     """
-    cat_fill = {}
-    if cat_cols:
-        row = train.agg(*[F.mode(F.col(c), deterministic=True).alias(c) for c in cat_cols]).first()
-        cat_fill = {c: row[c] for c in cat_cols if row[c] is not None}
+    from tabforge.operators.impute import global_modes
+    cat_fill = global_modes(train, cat_cols)
     train = train.fillna(cat_fill)
     label_model = StringIndexer(inputCol=target, outputCol=LABEL_IDX, stringOrderType="alphabetAsc",
                                 handleInvalid="skip").fit(train)
