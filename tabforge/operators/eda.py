@@ -257,37 +257,46 @@ def missingness_mechanism(df: DataFrame, columns=None, tokens=MASK_TOKENS) -> Da
     masks = {c: is_missing(c, tokens) for c in cols}
     stats = df.agg(F.count(F.lit(1)).alias("__n"),
                    *[F.count_if(masks[c]).alias(f"__m_{i}") for i, c in enumerate(cols)],
-                   *[F.avg(numeric_coerce(c).isNotNull().cast("double")).alias(f"__v_{i}") for i, c in enumerate(cols)],
-                   *[F.count_distinct(F.col(c)).alias(f"__d_{i}") for i, c in enumerate(cols)]).first()
+                   *[F.avg(numeric_coerce(c).isNotNull().cast("double")).alias(f"__v_{i}") for i, c in enumerate(cols)]
+                   ).first()
     n = stats["__n"]
     missing = {c: stats[f"__m_{i}"] for i, c in enumerate(cols)}
     num_drivers = [c for i, c in enumerate(cols) if (stats[f"__v_{i}"] or 0) >= MECH_MIN_VALID_FRAC]
     text_types = (T.StringType, T.BooleanType)
-    cat_drivers = [c for i, c in enumerate(cols) if isinstance(df.schema[c].dataType, text_types)
-                   and 1 <= stats[f"__d_{i}"] <= MECH_MAX_LEVELS]
+    text_cols = [c for c in cols if isinstance(df.schema[c].dataType, text_types)]
+    n_levels = {}
+    if text_cols:
+        # exact distinct counts of all text columns from one (column, value) aggregate; no Expand of
+        # several COUNT(DISTINCT) aggregates
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                                              for c in text_cols])).alias("s")).select("s.*").dropna()
+        n_levels = {r["c"]: r["k"] for r in pairs.distinct().groupBy("c").agg(F.count(F.lit(1)).alias("k")).collect()}
+    cat_drivers = [c for c in text_cols if 1 <= n_levels.get(c, 0) <= MECH_MAX_LEVELS]
     targets = [c for c in cols if missing[c] > 0]
     spark = df.sparkSession
     if not targets:
         return spark.createDataFrame([], "column_name string, missing long, missing_pct double, category string,"
                                          " driver string, effect_size double")
-    # numeric effects: one wide aggregate of conditional means and sds
-    aggs = []
-    for j, d in enumerate(num_drivers):
-        x = numeric_coerce(d)
-        aggs += [F.stddev_samp(x).alias(f"sd_{j}")]
-        for i, t in enumerate(targets):
-            if t == d:
-                continue
-            aggs += [F.avg(F.when(masks[t], x)).alias(f"a_{i}_{j}"), F.avg(F.when(~masks[t], x)).alias(f"b_{i}_{j}")]
+    # numeric effects: drivers unpivoted to (driver, x) with the target masks alongside, then ONE grouped
+    # aggregate per driver (conditional means per target + sd) instead of targets x drivers wide expressions
     eff_rows = []
-    if aggs:
-        r = df.agg(*aggs).first().asDict()
-        for j, d in enumerate(num_drivers):
-            sd = r[f"sd_{j}"]
+    if num_drivers:
+        mk = [f"__mk_{i}" for i in range(len(targets))]
+        long = df.select(*[masks[t].alias(mk[i]) for i, t in enumerate(targets)],
+                         F.explode(F.array(*[F.struct(F.lit(j).alias("__j"), numeric_coerce(d).alias("__x"))
+                                             for j, d in enumerate(num_drivers)])).alias("s")
+                         ).select(*mk, "s.__j", "s.__x").filter(F.col("__x").isNotNull())
+        aggs = [F.stddev_samp("__x").alias("sd")]
+        for i in range(len(targets)):
+            aggs += [F.avg(F.when(F.col(mk[i]), F.col("__x"))).alias(f"a_{i}"),
+                     F.avg(F.when(~F.col(mk[i]), F.col("__x"))).alias(f"b_{i}")]
+        for r in long.groupBy("__j").agg(*aggs).collect():   # one row per numeric driver
+            j, sd = r["__j"], r["sd"]
+            d = num_drivers[j]
             for i, t in enumerate(targets):
                 if t == d:
                     continue
-                a, b = r[f"a_{i}_{j}"], r[f"b_{i}_{j}"]
+                a, b = r[f"a_{i}"], r[f"b_{i}"]
                 if a is None or b is None or sd is None or sd == 0 or math.isnan(sd):
                     continue
                 eff_rows.append((t, d, 0, j, abs(a - b) / sd))
