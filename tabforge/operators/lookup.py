@@ -8,6 +8,7 @@ join is left to the planner (shuffle join, AQE may still switch at runtime).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,9 +17,17 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(small)`` when it has at most ``max_rows`` rows, else ``small`` unchanged."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    """``broadcast(small)`` when it has at most ``max_rows`` rows, else ``small`` unchanged.
+
+    The candidate is kept in memory while it is counted, so the join that follows
+    reuses the aggregate instead of recomputing it; a table over the bound is released.
+    """
+    kept = small.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return small
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, keys, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
