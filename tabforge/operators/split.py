@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tabforge.session import cut_lineage
+
 # Target bins (right-closed) and class names in order.
 LEVELS = ("zero", "low", "mid", "high")
 LEVEL_EDGES = (0, 30, 120)           # (-1,0] zero, (0,30] low, (30,120] mid, (120,366] high
@@ -63,7 +65,8 @@ def bucketed_rank(df: DataFrame, hash_col: str, part_cols=(), tiebreak=()) -> Da
 
 def first_k_by_hash(keys: DataFrame, key: str, fraction: float, seed: int = DEFAULT_SEED) -> DataFrame:
     """Distinct keys whose salted hash is among the ceil(fraction * n) smallest."""
-    keys = keys.select(key).distinct().withColumn("__h", salted_hash(F.col(key), seed))
+    # the distinct keys are read three times (size, bucket counts, ranking): write them once
+    keys = cut_lineage(keys.select(key).distinct().withColumn("__h", salted_hash(F.col(key), seed)))
     n = keys.count()
     k = int(math.ceil(fraction * n))
     return bucketed_rank(keys, "__h", tiebreak=[key]).filter(F.col("__rank") < k).select(key)
