@@ -13,12 +13,17 @@ from pyspark.sql import types as T
 from tabforge.operators.lookup import lookup_join, nearest_key_join
 
 
-def fit_medians(fit_df: DataFrame, cols) -> dict:
-    """Exact medians of ``cols`` over ``fit_df`` (one aggregate, one small row back)."""
+def fit_medians(fit_df: DataFrame, cols, accuracy: int | None = None) -> dict:
+    """Medians of ``cols`` over ``fit_df`` (one aggregate, one small row back).
+
+    Exact by default; ``accuracy`` uses ``percentile_approx`` (bounded memory per column).
+    """
     cols = list(cols)
     if not cols:
         return {}
-    row = fit_df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    med = ((lambda c: F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy)) if accuracy
+           else (lambda c: F.median(F.col(c).cast("double"))))
+    row = fit_df.agg(*[med(c).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 

@@ -183,10 +183,17 @@ def filter_present(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col).isNotNull())
 
 
-def clip_quantile(df: DataFrame, col: str, q: float = 0.99, fit_df: DataFrame | None = None) -> DataFrame:
-    """Rows with ``col`` <= the exact ``q`` quantile (linear interpolation) of the fit table."""
+def clip_quantile(df: DataFrame, col: str, q: float = 0.99, fit_df: DataFrame | None = None,
+                  accuracy: int | None = None) -> DataFrame:
+    """Rows with ``col`` <= the ``q`` quantile of the fit table.
+
+    Exact (linear interpolation) by default; ``accuracy`` switches to the bounded-memory
+    ``percentile_approx`` sketch (relative rank error 1/accuracy) for very large tables.
+    """
     fit_df = fit_df if fit_df is not None else df
-    cut = fit_df.agg(F.percentile(F.col(col).cast("double"), F.lit(q)).alias("cut")).first()["cut"]
+    x = F.col(col).cast("double")
+    stat = F.percentile_approx(x, q, accuracy) if accuracy else F.percentile(x, F.lit(q))
+    cut = fit_df.agg(stat.alias("cut")).first()["cut"]
     return df.filter(F.col(col) <= F.lit(cut))
 
 
