@@ -6,6 +6,7 @@ applied with checked-broadcast lookups or ``fillna`` on the lazily planned data.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,10 +103,13 @@ def mode_impute_chain(df: DataFrame, steps, fit_df: DataFrame | None = None) ->
 
 def fit_price_medians(train: DataFrame, price_col: str, a: str, b: str):
     """I3 fit: medians by (a, b), by a, and overall from the training rows."""
-    grains = median_by_grains(train, a, b, price_col)
+    # one ROLLUP gives all three grains; it has one row per group, so it is kept and the
+    # overall median is read from it instead of scanning the training rows again
+    grains = median_by_grains(train, a, b, price_col).persist(StorageLevel.MEMORY_AND_DISK)
     pair = grains.filter(F.col("grain") == 0).select(a, b, F.col("median").alias("__m_pair")).dropna()
     single = grains.filter(F.col("grain") == 1).select(a, F.col("median").alias("__m_one")).dropna()
-    overall = train.agg(F.median(F.col(price_col).cast("double")).alias("m")).first()["m"]
+    top = grains.filter(F.col("grain") == 3).select("median").first()
+    overall = top["median"] if top else None
     return pair, single, overall
 
 
