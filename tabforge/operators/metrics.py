@@ -184,10 +184,11 @@ def _grid_cells(pred: DataFrame, thresholds, margins, label: str = "label", base
                          F.size(F.filter(thr, lambda t: t <= ph)).alias("ti"),
                          (F.lit(len(margins)) - F.size(F.filter(mar, lambda m: m > gap))).alias("fm"))
              .groupBy("y", "b", "ti", "fm").agg(F.count(F.lit(1)).alias("n")))
-    grid = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(j).alias("j"), F.lit(float(t)).alias("threshold"),
-                              F.lit(float(m)).alias("margin"))
-                     for i, t in enumerate(thresholds) for j, m in enumerate(margins)])
-    g = cells.select("*", F.explode(grid).alias("gp")).select("*", "gp.*").drop("gp")
+    t_grid = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(float(t)).alias("threshold"))
+                       for i, t in enumerate(thresholds)])
+    m_grid = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(float(m)).alias("margin")) for j, m in enumerate(margins)])
+    g = (cells.select("*", F.explode(t_grid).alias("tp")).select("*", F.explode(m_grid).alias("mp"))
+         .select("*", "tp.*", "mp.*").drop("tp", "mp"))
     is_high = F.col("k") < F.col("ti")
     close = is_high & (F.col("margin") > 0) & (F.col("j") >= F.col("fm"))
     p = F.when(close, F.lit(mid)).when(is_high, F.lit(hi)).otherwise(F.col("b"))
