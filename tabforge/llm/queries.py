@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tabforge.llm import maxscore, sharding, simhash
+from tabforge.llm import maxscore, quality, sharding, simhash
 
 QUERIES = {
     "op2_topk_search": maxscore.query,
     "op8_sharding": sharding.query,
+    "op9_quality_rules": quality.query,
     "op10_simhash_dedup": simhash.query,
 }
 
 #: What SQL can't express (XXH64, CRC-32, components over fingerprints) is tested against brute force in tests/llm.
-SQL = {"op2_topk_search": maxscore.SQL}
+SQL = {"op2_topk_search": maxscore.SQL, "op9_quality_rules": quality.SQL}
