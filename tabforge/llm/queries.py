@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tabforge.llm import maxscore, quality, sharding, simhash
+from tabforge.llm import maxscore, packing, quality, sharding, simhash
 
 QUERIES = {
     "op2_topk_search": maxscore.query,
+    "op7_packing": packing.query,
     "op8_sharding": sharding.query,
     "op9_quality_rules": quality.query,
     "op10_simhash_dedup": simhash.query,
