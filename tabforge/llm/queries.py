@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tabforge.llm import maxscore, packing, quality, sharding, simhash
+from tabforge.llm import idcoder, maxscore, packing, quality, sharding, simhash
 
 QUERIES = {
+    "op1_token_ids": idcoder.query,
     "op2_topk_search": maxscore.query,
     "op7_packing": packing.query,
     "op8_sharding": sharding.query,
