@@ -17,3 +17,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows that go to Python at once, for operators that send whole texts there: bounds a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

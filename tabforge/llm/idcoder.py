@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import table, written
+from tabforge.llm.common import table, text_batches, written
 from tabforge.llm.tokens import byte_bpe, vocabulary
 from tabforge.session import scratch_path
 
@@ -279,6 +279,7 @@ def write(docs: DataFrame, folder: str, vocabulary_path: str, end_id: int = 0, f
     without doc_id come first; rows with the same doc_id follow one another by the hash of their
     text.  An empty table gives no file.  A file takes about ``file_bytes`` of text.
     """
+    text_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)).first()[0] or 0
     files = max(1, -(-size // file_bytes))

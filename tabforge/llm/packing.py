@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import table, written
+from tabforge.llm.common import table, text_batches, written
 from tabforge.llm.tokens import byte_bpe, vocabulary
 
 DEPTH = 4
@@ -55,6 +55,7 @@ def tokenised(docs: DataFrame, vocabulary_path: str, end_id: int, window: int) -
                                 "full": before[:-1], "ids": [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]})
             k, full = k + len(n), before[-1]
 
+    text_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return written(docs.mapInPandas(run, "bucket int, k long, doc_id long, n long, tail int, j long, full long, ids binary"), "packing-ids")
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import table, written
+from tabforge.llm.common import table, text_batches, written
 
 SEED = 42
 BITS = 64
@@ -62,6 +62,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
             fps = np.array([fingerprint(t, shingle_words) for t in b["text"]], np.uint64).view(np.int64)
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fp": fps})
 
+    text_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, fp long")
 
 

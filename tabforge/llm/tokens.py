@@ -14,7 +14,9 @@ from functools import cache
 import numpy as np
 
 #: Pieces kept per process; further ones are encoded again each time.  A bound on memory, not on the text.
-KEPT = 400_000
+KEPT = 300_000
+#: Characters of text cut into pieces at a time.
+AT_ONCE = 1 << 20
 
 
 class ByteBpe:
@@ -43,7 +45,16 @@ class ByteBpe:
         return self.encode_batch([text])[0]
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        texts = [t or "" for t in texts]
+        out, part, size = [], [], 0
+        for text in texts:
+            part.append(text or "")
+            size += len(part[-1])
+            if size >= AT_ONCE:
+                out += self._encode(part)
+                part, size = [], 0
+        return out + self._encode(part)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [None if self._whole(t) else t.split(" ") for t in texts]
         spaced = self._pieces({c for parts in cut if parts for c in parts[1:]})
         out = []
