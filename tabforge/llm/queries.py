@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tabforge.llm import idcoder, maxscore, packing, quality, sharding, simhash
+from tabforge.llm import idcoder, maxscore, packing, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_token_ids": idcoder.query,
     "op2_topk_search": maxscore.query,
+    "op5_toxicity": toxicity.query,
     "op7_packing": packing.query,
     "op8_sharding": sharding.query,
     "op9_quality_rules": quality.query,
