@@ -14,7 +14,7 @@ from functools import cache
 import numpy as np
 
 #: Pieces kept per process; further ones are encoded again each time.  A bound on memory, not on the text.
-KEPT = 300_000
+KEPT = 500_000
 #: Characters of text cut into pieces at a time.
 AT_ONCE = 1 << 20
 
@@ -22,24 +22,17 @@ AT_ONCE = 1 << 20
 class ByteBpe:
     """Ids as little-endian unsigned 32-bit integers."""
 
-    # What the pre-tokenizer of byte-level BPE matches (fixed value).
-    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self._model, self._find = self.tokenizer.model, regex.compile(self.PATTERN).findall
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._whole = re.compile("|".join([r" (?=\s|\Z)", *special])).search  # these texts are not cut
         self._spaced: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
-        self._letters = dict(enumerate(_byte_letters()))
         self._starts = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self._starts[[i for piece, i in self.tokenizer.get_vocab().items() if piece.startswith(self._letters[32])]] = True
+        self._starts[[i for piece, i in self.tokenizer.get_vocab().items() if piece.startswith(_byte_letters()[32])]] = True
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_batch([text])[0]
@@ -62,53 +55,30 @@ class ByteBpe:
             if parts is None:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
             else:
-                out.append(b"".join(map(self._word, self._find(parts[0]))) + b"".join(map(spaced.__getitem__, parts[1:])))
+                out.append(self._first(parts[0]) + b"".join(map(spaced.__getitem__, parts[1:])))
         return out
 
+    def _first(self, chunk: str) -> bytes:
+        """Ids of a text's first chunk, which has no space before it."""
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
     def _pieces(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of each chunk with a space before it; holds ``chunks`` and those kept."""
+        """Ids of each chunk with a space before it; holds ``chunks`` and those kept.
+
+        New chunks are encoded as one text: each starts with its space, and no other piece does.
+        """
         new = list(chunks.difference(self._spaced))
         if not new:
             return self._spaced
-        words = self._find(" " + " ".join(new))  # a chunk's first word starts with its space, and no other word does
-        known = self._encoded(set(words))
-        made, at = [], []
-        for word in words:
-            if word[0] == " ":
-                at = [known[word]]
-                made.append(at)
-            else:
-                at.append(known[word])
-        found = dict(zip(new, map(b"".join, made), strict=True))
-        room = KEPT - len(self._spaced)
-        if len(found) <= room:
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+        starts = (np.flatnonzero(self._starts[ids]) * 4).tolist()
+        raw = ids.tobytes()
+        found = dict(zip(new, map(raw.__getitem__, map(slice, starts, [*starts[1:], len(raw)])), strict=True))
+        if len(self._spaced) + len(found) <= KEPT:
             self._spaced.update(found)
             return self._spaced
-        self._spaced.update(list(found.items())[: max(0, room)])
         return _Both(found, self._spaced)
 
-    def _encoded(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of each word; words with a space before them are encoded together, as one text each 20,000."""
-        new = words.difference(self._words)
-        found = {w: self._word(w) for w in new if w[0] != " "}
-        spaced = [w for w in new if w[0] == " "]
-        for i in range(0, len(spaced), 20_000):
-            part = spaced[i : i + 20_000]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            starts = np.flatnonzero(self._starts[ids]) * 4  # ids of pieces that start with a space
-            raw = ids.tobytes()
-            found.update(zip(part, map(raw.__getitem__, map(slice, starts, [*starts[1:], len(raw)])), strict=True))
-        if len(self._words) + len(found) <= KEPT:
-            self._words.update(found)
-            return self._words
-        return _Both(found, self._words)
-
-    def _word(self, word: str) -> bytes:
-        if (ids := self._words.get(word)) is None:
-            letters = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._letters)
-            ids = np.array([t.id for t in self._model.tokenize(letters)], "<u4").tobytes()
-        return ids
-
 
 class _Both(dict):
     """A dict that falls back on another."""
