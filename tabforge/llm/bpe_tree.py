@@ -16,7 +16,6 @@ import hashlib
 import json
 import re
 import sys
-import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
@@ -62,26 +61,35 @@ class Merges:
         return np.where(hit, self._rank[at], -1), np.where(hit, self._made[at], -1)
 
 
-def merge_words(symbols: list[list[int]], merges: Merges) -> list[np.ndarray]:
-    """The ids of each word after all merges, lowest rank first and leftmost among equals."""
-    out: list[np.ndarray] = [None] * len(symbols)  # type: ignore[list-item]
-    classes: dict[int, list[int]] = {}
-    for i, word in enumerate(symbols):
-        classes.setdefault(max(1, (len(word) - 1).bit_length()), []).append(i)
-    for bits, members in classes.items():
-        rows = max(1, (1 << 20) >> bits)  # words at a time: bounds the trees' memory
-        for k in range(0, len(members), rows):
-            part = members[k : k + rows]
-            for i, ids in zip(part, _merge([symbols[i] for i in part], 1 << bits, merges), strict=True):
-                out[i] = ids
+def merge_words(symbols: np.ndarray, lengths: np.ndarray, merges: Merges) -> list[bytes]:
+    """The ids of each word, as unsigned 32-bit integers, after all merges, lowest rank first and leftmost among equals.
+
+    ``symbols`` holds the words' first ids one word after another, ``lengths`` how many each has.
+    """
+    out: list[bytes] = [b""] * len(lengths)
+    starts = np.cumsum(lengths) - lengths
+    bits = np.maximum(1, np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
+    for k in np.unique(bits[lengths > 0]).tolist():
+        width = 1 << k
+        members = np.flatnonzero((bits == k) & (lengths > 0))
+        rows = max(1, (1 << 20) >> k)  # words at a time: bounds the trees' memory
+        for i in range(0, len(members), rows):
+            part = members[i : i + rows]
+            at = starts[part][:, None] + np.arange(width)
+            inside = np.arange(width) < lengths[part][:, None]
+            ids = _merge(np.where(inside, symbols[np.minimum(at, len(symbols) - 1)], -1), merges)
+            left = ids >= 0
+            raw, ends = ids[left].astype("<u4").tobytes(), (4 * np.cumsum(left.sum(axis=1))).tolist()
+            begin = 0
+            for w, end in zip(part.tolist(), ends, strict=True):
+                out[w] = raw[begin:end]
+                begin = end
     return out
 
 
-def _merge(words: list[list[int]], width: int, merges: Merges) -> list[np.ndarray]:
-    count = len(words)
-    ids = np.full((count, width), -1, np.int64)
-    for i, w in enumerate(words):
-        ids[i, : len(w)] = w
+def _merge(ids: np.ndarray, merges: Merges) -> np.ndarray:
+    """One word a row, -1 after its end; merged in place, with -1 where a symbol has gone."""
+    count, width = ids.shape
     place = np.arange(width)
     after, before = np.tile(place + 1, (count, 1)), np.tile(place - 1, (count, 1))
     tree = np.full((count, 2 * width), NONE, np.int64)  # node 1 is the root, leaf p is node width + p
@@ -122,7 +130,7 @@ def _merge(words: list[list[int]], width: int, merges: Merges) -> list[np.ndarra
         if left.any():
             update(rows[left], o[left], pair(rows[left], o[left]))
         rows = rows[tree[rows, 1] < NONE]
-    return [row[row >= 0] for row in ids]
+    return ids
 
 
 class WordBpe:
@@ -137,6 +145,8 @@ class WordBpe:
     END = "</w>"
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
@@ -145,8 +155,8 @@ class WordBpe:
         letter, number = _letters_and_numbers(path)
         self._find = re.compile(self.WORDS.replace("{W}", self.WHITE).replace("{L}", letter).replace("{N}", number)).findall
         letters = _byte_letters()
-        self._byte = [vocab.get(c) for c in letters]
-        self._last = [vocab.get(c + self.END) for c in letters]
+        self._byte = np.array([vocab[c] for c in letters], np.int64)
+        self._last = np.array([vocab[c + self.END] for c in letters], np.int64)
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._special = special
         self._split = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
@@ -155,8 +165,8 @@ class WordBpe:
         self.token = [""] * (max(max(vocab.values()), *special.values()) + 1)
         for t, i in [*vocab.items(), *special.items()]:
             self.token[i] = t
+        self._normal = Tokenizer.from_file(path).normalizer.normalize_str
         self._ids: dict[str, bytes] = {}
-        self._text: dict[str, str] = {}
 
     def encode_batch(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text) of each text."""
@@ -176,39 +186,35 @@ class WordBpe:
 
     def _encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         chunks = [self._chunks(t) for t in texts]
-        ids, decoded = self._known({c for row in chunks for c in row})
-        return [(b"".join(map(ids.__getitem__, row)), " ".join(filter(None, map(decoded.__getitem__, row)))) for row in chunks]
+        known = self._known({c for row in chunks for c in row})
+        ids = [b"".join(map(known.__getitem__, row)) for row in chunks]
+        return [(i, self.decode(np.frombuffer(i, "<u4"))) for i in ids]
 
-    def _known(self, chunks: set[str]) -> tuple[dict[str, bytes], dict[str, str]]:
+    def _known(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of each chunk, new ones encoded together."""
         new = chunks.difference(self._ids)
-        if not new:
-            return self._ids, self._text
         if len(self._ids) + len(new) > KEPT:  # start over with what is needed now: bounds memory, changes no result
-            self._ids, self._text, new = {}, {}, chunks
+            self._ids, new = {}, chunks
         words: dict[str, int] = {}
         parts, special = [], self._special
         for c in new:
             if c in special:
                 parts.append(None)
-            else:  # letter by letter, as the file's normalizer lower-cases: a final sigma stays a sigma
-                plain = c.lower() if c.isascii() else unicodedata.normalize("NFC", c).replace("Σ", "σ").lower()
-                parts.append([words.setdefault(w, len(words)) for w in self._find(plain)])
-        symbols = []
-        for w in words:
-            raw = w.encode("utf-8", "surrogatepass")
-            symbols.append([i for i in (*map(self._byte.__getitem__, raw[:-1]), self._last[raw[-1]]) if i is not None])
-        made = merge_words(symbols, self._merges)
-        raw_ids = [m.astype("<u4").tobytes() for m in made]
-        token = self.token
-        text = [" ".join([token[i] for i in m.tolist()]) for m in made]
+            else:
+                parts.append([words.setdefault(w, len(words)) for w in self._find(c.lower() if c.isascii() else self._normal(c))])
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        octets = np.frombuffer(b"".join(raw), np.uint8)
+        symbols, last = self._byte[octets], np.cumsum(lengths) - 1
+        symbols[last] = self._last[octets[last]]
+        made = merge_words(symbols, lengths, self._merges)
         for c, p in zip(new, parts, strict=True):
-            self._ids[c] = np.array([special[c]], "<u4").tobytes() if p is None else b"".join([raw_ids[i] for i in p])
-            self._text[c] = c if p is None else " ".join([text[i] for i in p])
-        return self._ids, self._text
+            self._ids[c] = np.array([special[c]], "<u4").tobytes() if p is None else made[p[0]] if len(p) == 1 else b"".join([made[i] for i in p])
+        return self._ids
 
     def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by spaces, as the library does for a file without a decoder."""
-        return " ".join([self.token[i] for i in ids.tolist()])
+        return " ".join(map(self.token.__getitem__, ids.tolist()))
 
 
 def _letters_and_numbers(path: str) -> tuple[str, str]:
@@ -217,14 +223,16 @@ def _letters_and_numbers(path: str) -> tuple[str, str]:
     Which code points are assigned depends on the Unicode version a library was built with, so each
     candidate is probed with a full stop after it: only a letter or number is split off.
     """
+    import regex
     from tokenizers import Tokenizer
 
-    chars = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] in "LN"]
+    number = regex.compile(r"\p{N}").fullmatch
+    chars = regex.findall(r"[\p{L}\p{N}]", "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000))
     pieces = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str("".join(c + ". " for c in chars))
     alone = {a // 3 for _, (a, b) in pieces if a % 3 == 0 and b == a + 1}
     found: dict[str, list[list[str]]] = {"L": [], "N": []}
     for i in sorted(alone):
-        c, ranges = chars[i], found[unicodedata.category(chars[i])[0]]
+        c, ranges = chars[i], found["N" if number(chars[i]) else "L"]
         if ranges and ord(ranges[-1][1]) == ord(c) - 1:
             ranges[-1][1] = c
         else:

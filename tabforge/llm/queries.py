@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tabforge.llm import html_tree, idcoder, maxscore, packing, quality, sharding, simhash, toxicity
+from tabforge.llm import bpe_tree, html_tree, idcoder, maxscore, packing, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_token_ids": idcoder.query,
     "op2_topk_search": maxscore.query,
     "op3_html_extraction": html_tree.query,
+    "op4_bpe": bpe_tree.query,
     "op5_toxicity": toxicity.query,
     "op7_packing": packing.query,
     "op8_sharding": sharding.query,
