@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabforge.llm import bpe_tree, html_tree, idcoder, maxscore, packing, quality, sharding, simhash, toxicity
+from tabforge.llm import bpe_tree, html_tree, idcoder, maxscore, packing, quality, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_token_ids": idcoder.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_html_extraction": html_tree.query,
     "op4_bpe": bpe_tree.query,
     "op5_toxicity": toxicity.query,
+    "op6_secret_scans": secrets.query,
     "op7_packing": packing.query,
     "op8_sharding": sharding.query,
     "op9_quality_rules": quality.query,
