@@ -5,20 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import simhash
+from tabforge.llm import packing, quality, secrets, simhash, toxicity
 from tabforge.llm.common import table, written
+from tabforge.llm.tokens import vocabulary
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def _sized(docs: DataFrame, columns: list[str], kinds: dict[str, str]) -> DataFrame:
+    """The columns of documents, with ``n_chars`` of the text as it now is."""
+    return docs.withColumn("n_chars", F.coalesce(F.length("text"), F.col("n_chars")).cast(kinds["n_chars"])).select(*columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 1: documents predicted toxic go; learnt from the labelled rows that are not held out."""
+    grammar = toxicity.fit(toxicity.sample(docs, table(spark, sf_dir, "labels")))
+    return toxicity.scored(docs, grammar).where(F.col("predicted") == 0).select(*docs.columns)
+
+
+def drop_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 2: documents the quality rules reject go; of the others failing lines go."""
+    kept = quality.judged(docs).where("kept").withColumn("text", F.col("cleaned"))
+    return _sized(kept, docs.columns, dict(docs.dtypes))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage 3: of each group of near copies the document with the smallest doc_id stays."""
-    found = simhash.near_duplicates(docs)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi")
+    """Stage 3: of each group of near copies the document with the smallest doc_id stays.
+
+    Rows without doc_id stand behind the hash of their columns, below every doc_id, so one of a
+    group stays here too; of rows with one doc_id and one group one stays.
+    """
+    own = F.coalesce(F.col("doc_id").cast("long"), -1 - F.xxhash64("text", "lang", "source").bitwiseAND(F.lit((1 << 62) - 1)))
+    named = docs.withColumn("_id", own)
+    found = simhash.near_duplicates(named.select(F.col("_id").alias("doc_id"), "text"))
+    keep = found.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n"))
+    keep = written(keep, "near-dedup-keep")
+    kept = named.join(keep, "_id", "left_semi")
+    if not keep.where("n > 1").isEmpty():
+        kept = kept.dropDuplicates(["_id"])
+    return kept.select(*docs.columns)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 4: secrets in the texts are replaced by a mark; no document goes."""
+    return _sized(secrets.redacted(docs), docs.columns, dict(docs.dtypes))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 5: what is left, in sequences of 2048 tokens."""
+    return packing.digests(packing.pack(docs, vocabulary("byte_bpe_50k.json"), 1, 2048))
 
 
-STAGES = [("near_dedup", near_dedup)]
+STAGES = [("toxicity", drop_toxic), ("quality_rules", drop_junk), ("near_dedup", near_dedup), ("secret_scans", redact), ("packing", pack)]
 
 #: No SQL: learnt scores and fingerprints are not expressible; tests/llm holds the stages against brute force.
 ORACLE_SQL = None

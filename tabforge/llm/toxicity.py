@@ -285,18 +285,21 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.05,
 
 
 def scored(docs: DataFrame, grammar: Grammar) -> DataFrame:
-    """``doc_id, score, predicted`` per row; null and empty texts score as texts without matches."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            s = np.array([grammar.score(t) for t in b["text"]], float)
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "score": s, "predicted": (s >= 0.5).astype(int)})
+    """``docs`` with ``score`` and ``predicted``; only the text is looked at.
+
+    Null and empty texts score as texts without matches.  Rows are independent, so repeated rows
+    and null doc_ids need nothing special; columns of these names are replaced.
+    """
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        return pd.Series([grammar.score(t) for t in text], dtype=float)
 
     text_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, score double, predicted int")
+    return docs.withColumn("score", score(F.col("text"))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op5: score of every document, learnt from the labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
     grammar = fit(sample(docs, table(spark, sf_dir, "labels")))
-    return scored(docs, grammar).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    return scored(docs.select("doc_id", "text"), grammar).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
