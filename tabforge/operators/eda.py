@@ -299,7 +299,7 @@ def missingness_mechanism(df: DataFrame, columns=None, tokens=MASK_TOKENS) -> Da
                 a, b = r[f"a_{i}"], r[f"b_{i}"]
                 if a is None or b is None or sd is None or sd == 0 or math.isnan(sd):
                     continue
-                eff_rows.append((t, d, 0, j, abs(a - b) / sd))
+                eff_rows.append((t, d, 0, j, float(abs(a - b) / sd)))
     # categorical effects: unpivot drivers, grouped conditional counts per target mask
     if cat_drivers:
         mk = [f"__mk_{i}" for i in range(len(targets))]
@@ -320,27 +320,28 @@ def missingness_mechanism(df: DataFrame, columns=None, tokens=MASK_TOKENS) -> Da
                 if mt == 0 or mt == n:
                     continue
                 best = max(abs(rw[f"m_{i}"] / mt - (rw["cnt"] - rw[f"m_{i}"]) / (n - mt)) for rw in per[d])
-                eff_rows.append((t, f"{d} (categoría)", 1, j, best))
-    out = []
-    for t in targets:
-        pct = round(missing[t] / n * 100, 2)
-        if missing[t] == n:
-            out.append((t, missing[t], pct, "Estructural", None, None))
-            continue
-        cands = sorted([e for e in eff_rows if e[0] == t], key=lambda e: (e[2], e[3]))
-        best, driver = 0.0, None
-        for e in cands:
-            if e[4] > best:
-                best, driver = e[4], e[1]
-        if driver is None or best < MECH_EFFECT_MIN:
-            cat = "MCAR"
-        else:
-            base = driver.replace(" (categoría)", "")
-            dpct = round(missing.get(base, 0) / n * 100, 2) if missing.get(base, 0) > 0 else 0
-            cat = "MAR" if dpct < MECH_DRIVER_MAX_MISSING_PCT else "MNAR"
-        out.append((t, missing[t], pct, cat, driver, round(best, 3) if driver is not None else None))
-    return spark.createDataFrame(out, "column_name string, missing long, missing_pct double, category string,"
-                                      " driver string, effect_size double")
+                eff_rows.append((t, d, 1, j, float(best)))
+    return _classified(spark.createDataFrame([(t, int(missing[t])) for t in targets], "column_name string, missing long"),
+                       spark.createDataFrame([(c, int(m)) for c, m in missing.items()], "driver string, driver_missing long"),
+                       spark.createDataFrame(eff_rows, "column_name string, driver string, categorical int, place int, effect double"), n)
+
+
+def _classified(targets: DataFrame, columns: DataFrame, effects: DataFrame, n: int) -> DataFrame:
+    """The mechanism of each target column, from the effect of every driver on it (tables of columns, not rows).
+
+    The strongest driver counts; ties go to numeric drivers, then to the earlier one.
+    """
+    percent = lambda c: F.round(c / F.lit(n) * 100, 2)
+    strongest = effects.where(F.col("effect") > 0).groupBy("column_name").agg(
+        F.max_by(F.struct("driver", "categorical", "effect"), F.struct("effect", -F.col("categorical"), -F.col("place"))).alias("d"))
+    found = targets.join(strongest, "column_name", "left").withColumn("driver", F.col("d.driver")).join(columns, "driver", "left")
+    all_gone = F.col("missing") == n
+    category = (F.when(all_gone, "Estructural")
+                .when(F.col("d").isNull() | (F.col("d.effect") < MECH_EFFECT_MIN), "MCAR")
+                .when(percent(F.col("driver_missing")) < MECH_DRIVER_MAX_MISSING_PCT, "MAR").otherwise("MNAR"))
+    shown = F.when(F.col("d.categorical") == 1, F.concat("driver", F.lit(" (categoría)"))).otherwise(F.col("driver"))
+    return found.select("column_name", "missing", percent(F.col("missing")).alias("missing_pct"), category.alias("category"),
+                        F.when(~all_gone, shown).alias("driver"), F.when(~all_gone, F.round("d.effect", 3)).alias("effect_size"))
 
 
 def mechanism_summary(mech: DataFrame) -> DataFrame:
@@ -365,25 +366,20 @@ def with_class_weight(df: DataFrame, label: str, boosts=CLASS_BOOSTS, out: str =
 
 
 def anova_f(df: DataFrame, label: str, cols) -> DataFrame:
-    """One-way ANOVA F per feature vs the class, from per-class n, sum and sum of squares; nan/inf -> 0."""
-    parts = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        per = (df.filter(x.isNotNull() & F.col(label).isNotNull()).groupBy(label)
-               .agg(F.count(x).alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("ss")))
-        tot = per.agg(F.sum("n").alias("N"), F.sum("s").alias("S"), F.sum("ss").alias("SS"),
-                      F.count(F.lit(1)).alias("k"),
-                      F.sum(F.col("s") * F.col("s") / F.col("n")).alias("B"))
-        ssb = F.col("B") - F.col("S") * F.col("S") / F.col("N")
-        ssw = F.col("SS") - F.col("B")
-        f = F.try_divide(F.try_divide(ssb, F.col("k") - 1), F.try_divide(ssw, F.col("N") - F.col("k")))
-        parts.append(tot.select(F.lit(c).alias("feature"),
-                                F.when(f.isNull() | F.isnan(f) | (F.abs(f) == float("inf")), 0.0).otherwise(f)
-                                .alias("f_stat")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """One-way ANOVA F per feature vs the class, from per-class n, mean and variance (one pass); nan/inf -> 0."""
+    cols = list(cols)
+    x = [F.col(c).cast("double") for c in cols]
+    per = df.filter(F.col(label).isNotNull()).groupBy(label).agg(
+        *[F.struct(F.count(v).alias("n"), F.avg(v).alias("m"), F.var_pop(v).alias("v")).alias(f"__{i}") for i, v in enumerate(x)])
+    long = per.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"__{i}.n").alias("n"), F.col(f"__{i}.m").alias("m"),
+                                                   F.col(f"__{i}.v").alias("v")) for i, c in enumerate(cols)])).alias("s")).select("s.*").filter("n > 0")
+    feature = Window.partitionBy("feature")   # one row per class
+    long = long.withColumn("mean", F.sum(F.col("n") * F.col("m")).over(feature) / F.sum("n").over(feature))
+    tot = long.groupBy("feature").agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"), F.sum(F.col("n") * F.col("v")).alias("within"),
+                                      F.sum(F.col("n") * (F.col("m") - F.col("mean")) * (F.col("m") - F.col("mean"))).alias("between"))
+    f = F.try_divide(F.try_divide(F.col("between"), F.col("k") - 1), F.try_divide(F.col("within"), F.col("N") - F.col("k")))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")   # a feature without values scores 0
+    return names.join(tot, "feature", "left").select("feature", F.when(f.isNull() | F.isnan(f) | (F.abs(f) == float("inf")), 0.0).otherwise(f).alias("f_stat"))
 
 
 def mutual_information(df: DataFrame, label: str, cols, bins: int = 10) -> DataFrame:

@@ -77,15 +77,19 @@ def mode_impute_by(df: DataFrame, target: str, ref: str, fit_df: DataFrame | Non
     With ``nearest=True`` a row whose numeric ``ref`` has no mode takes the mode of
     the nearest group key (J6) before the median fallback.
     """
-    fit_df = fit_df if fit_df is not None else df
-    modes = mode_by_group(fit_df, ref, target, "__mode")
-    out = lookup_join(df, modes, ref)
-    if nearest:
-        out = nearest_key_join(out, ref, modes, ref, "__mode")
-        out = out.withColumn("__mode", F.coalesce("__mode", "__mode_nearest")).drop("__mode_nearest")
-    out = out.withColumn(target, F.coalesce(F.col(target), F.col("__mode").cast(df.schema[target].dataType))).drop("__mode")
+    modes = mode_by_group(fit_df if fit_df is not None else df, ref, target, "__mode")
+
+    def filled(part: DataFrame) -> DataFrame:
+        out = lookup_join(part, modes, ref)
+        if nearest:
+            out = nearest_key_join(out, ref, modes, ref, "__mode")
+            out = out.withColumn("__mode", F.coalesce("__mode", "__mode_nearest")).drop("__mode_nearest")
+        return out.withColumn(target, F.coalesce(F.col(target), F.col("__mode").cast(part.schema[target].dataType))).drop("__mode")
+
+    out = filled(df)
     if isinstance(df.schema[target].dataType, T.NumericType):
-        med = fit_medians(out, [target])[target]
+        # the median, like the modes, comes from the fitting rows alone
+        med = fit_medians(out if fit_df is None else filled(fit_df), [target])[target]
         if med is not None:
             out = out.fillna({target: med})
     return out.select(*df.columns)
@@ -97,7 +101,10 @@ def mode_impute_chain(df: DataFrame, steps, fit_df: DataFrame | None = None) ->
         if not df.filter(F.col(ref).isNull()).isEmpty():
             raise ValueError(f"reference column {ref!r} has nulls")
         numeric_ref = isinstance(df.schema[ref].dataType, T.NumericType)
-        df = mode_impute_by(df, target, ref, fit_df=None if fit_df is None else df, nearest=numeric_ref)
+        fitting = fit_df
+        if fit_df is not None:  # later steps refer to columns that earlier ones fill, in the fitting rows too
+            fit_df = mode_impute_by(fitting, target, ref, nearest=numeric_ref)
+        df = mode_impute_by(df, target, ref, fit_df=fitting, nearest=numeric_ref)
     return df
 
 

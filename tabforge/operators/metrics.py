@@ -176,6 +176,7 @@ def _grid_cells(pred: DataFrame, thresholds, margins, label: str = "label", base
     index above the gap) - at most a few thousand cells whatever the table size -
     and only that histogram is expanded over the grid.
     """
+    thresholds, margins = sorted(set(thresholds)), sorted(set(margins))   # the indices below count from the smallest
     thr = F.array(*[F.lit(float(t)) for t in thresholds])
     mar = F.array(*[F.lit(float(m)) for m in margins])
     ph, pm = F.col(f"{prefix}{hi}"), F.col(f"{prefix}{mid}")

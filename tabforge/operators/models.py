@@ -107,13 +107,19 @@ def logreg(weight_col: str | None = None, max_iter: int = 500, reg: float = 0.0,
     return lr.setWeightCol(weight_col) if weight_col else lr
 
 
-def random_forest(weight_col: str | None = None, num_trees: int = 300, seed: int = 42):
-    """K2: random forest."""
-    rf = RandomForestClassifier(featuresCol="features", labelCol=LABEL_IDX, numTrees=num_trees, seed=seed)
+def random_forest(weight_col: str | None = None, num_trees: int = 300, seed: int = 42, max_depth: int = 10,
+                  min_leaf: int = 1):
+    """K2: random forest.
+
+    ``max_depth`` may be 0 to 30, Spark's limit; trees of unlimited depth do not exist in Spark.
+    The default keeps cross-validation affordable; pass 30 for the deepest trees.
+    """
+    rf = RandomForestClassifier(featuresCol="features", labelCol=LABEL_IDX, numTrees=num_trees, seed=seed,
+                                maxDepth=max_depth, minInstancesPerNode=min_leaf)
     return rf.setWeightCol(weight_col) if weight_col else rf
 
 
-def mlp(n_features: int, n_classes: int, hidden=(128, 64), max_iter: int = 200, seed: int = 42):
+def mlp(n_features: int, n_classes: int, hidden=(128, 64), max_iter: int = 400, seed: int = 42):
     """K4: feed-forward network (sigmoid hidden layers, softmax output; Spark's MLP has no sample weights)."""
     return MultilayerPerceptronClassifier(featuresCol="features", labelCol=LABEL_IDX,
                                           layers=[n_features, *hidden, n_classes], maxIter=max_iter, seed=seed)

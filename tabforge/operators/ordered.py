@@ -9,6 +9,9 @@ range).  Exact for any data; a hot value is one row after the first aggregate.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +42,9 @@ def running_totals(df: DataFrame, part_cols, order_col: str, sum_cols, n_buckets
     w_in = Window.partitionBy(*part_cols, "__rb").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     inner = agg.select(*part_cols, "__rb", order_col, *sum_cols,
                        *[F.coalesce(F.sum(c).over(w_in), F.lit(0)).alias(f"__i_{c}") for c in sum_cols])
-    out = inner.join(offsets, [*part_cols, "__rb"])
+    keys = [*part_cols, "__rb"]   # null-safe: a null partition key is a partition too
+    offsets = offsets.withColumnsRenamed({c: f"__k_{c}" for c in keys})
+    out = inner.join(offsets, reduce(and_, (F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in keys)))
     return out.select(*part_cols, order_col, *sum_cols,
                       *[(F.col(f"__o_{c}") + F.col(f"__i_{c}")).alias(f"{c}_below") for c in sum_cols])
 
@@ -50,4 +55,6 @@ def average_rank(df: DataFrame, col: str, part_cols=(), out: str = "rank") -> Da
     src = df.filter(F.col(col).isNotNull()).withColumn("__one", F.lit(1))
     rt = running_totals(src, part_cols, col, ["__one"])
     ranks = rt.select(*part_cols, col, (F.col("__one_below") + (F.col("__one") + 1) / 2.0).alias(out))
-    return df.join(ranks, [*part_cols, col], "left")
+    ranks = ranks.withColumnsRenamed({c: f"__k_{c}" for c in [*part_cols, col]})
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in [*part_cols, col]))
+    return df.join(ranks, same, "left").drop(*[f"__k_{c}" for c in [*part_cols, col]])

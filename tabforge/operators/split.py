@@ -1,9 +1,9 @@
 """Target binning, splits and folds.
 
 Splits are deterministic functions of a salted MD5 of the key, so they do not
-depend on partitioning and survive recomputation after executor loss.  Exact
-"first k by hash" selections and per-class ranks use a *bucketed rank*: rows
-are counted per (partition, 16-bit hash prefix) bucket, bucket offsets are a
+depend on partitioning and survive recomputation after executor loss.  "First k
+by hash" selections are a comparison with the hash at the boundary, so splitting
+moves no rows.  Per-class ranks use a *bucketed rank*: rows are counted per (partition, 16-bit hash prefix) bucket, bucket offsets are a
 running sum over that small count table, and the final rank is the offset plus
 a row number inside one bucket.  No window ever spans a whole class or the
 whole table, so a class holding a third of all rows is still spread over up to
@@ -13,6 +13,8 @@ whole table, so a class holding a third of all rows is still spread over up to
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,18 +60,41 @@ def bucketed_rank(df: DataFrame, hash_col: str, part_cols=(), tiebreak=()) -> Da
     w_off = Window.partitionBy(*part_cols).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w_off), F.lit(0))).drop("__cnt")
     w_row = Window.partitionBy(*part_cols, "__bucket").orderBy(F.col(hash_col), *[F.col(c) for c in tiebreak])
-    ranked = (with_b.join(offsets, [*part_cols, "__bucket"])
+    # null-safe: rows whose partition key is null are a partition too
+    offsets = offsets.withColumnsRenamed({c: f"__k_{c}" for c in [*part_cols, "__bucket"]})
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in [*part_cols, "__bucket"]))
+    ranked = (with_b.join(offsets, same).drop(*[f"__k_{c}" for c in [*part_cols, "__bucket"]])
               .withColumn("__rank", F.col("__off") + F.row_number().over(w_row) - 1))
     return ranked.drop("__bucket", "__off")
 
 
-def first_k_by_hash(keys: DataFrame, key: str, fraction: float, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Distinct keys whose salted hash is among the ceil(fraction * n) smallest."""
-    # the distinct keys are read three times (size, bucket counts, ranking): write them once
-    keys = cut_lineage(keys.select(key).distinct().withColumn("__h", salted_hash(F.col(key), seed)))
-    n = keys.count()
-    k = int(math.ceil(fraction * n))
-    return bucketed_rank(keys, "__h", tiebreak=[key]).filter(F.col("__rank") < k).select(key)
+def hash_cut(keys: DataFrame, key: str, fraction: float, seed: int = DEFAULT_SEED) -> str:
+    """The salted hash of the last of the ceil(fraction * n) distinct keys that come first by it ('' for none).
+
+    The boundary is found from counts per hash prefix, one more 16-bit prefix a round, so only the
+    hashes of one tiny bucket are ever ordered, and rows are then told apart by a comparison.
+    """
+    # the distinct hashes are read a few times: write them once
+    hashes = cut_lineage(keys.select(salted_hash(F.col(key), seed).alias("__h")).distinct())
+    k = int(math.ceil(fraction * hashes.count()))
+    prefix, left = "", k
+    if k == 0:
+        return ""
+    for size in (4, 8):
+        inside = hashes.filter(F.col("__h").startswith(prefix)) if prefix else hashes
+        counts = inside.groupBy(F.substring("__h", 1, size).alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()  # 65,536 rows at most
+        for r in counts:
+            if left <= r["n"]:
+                prefix = r["p"]
+                break
+            left -= r["n"]
+    return hashes.filter(F.col("__h").startswith(prefix)).orderBy("__h").limit(left).agg(F.max("__h")).first()[0]
+
+
+def _in_first(df: DataFrame, key: Column, fraction: float, seed: int) -> Column:
+    """Whether the row's key is among the first by hash; a null key is a key like any other."""
+    cut = hash_cut(df.select(key.alias("__k")), "__k", fraction, seed)
+    return salted_hash(key, seed) <= F.lit(cut)
 
 
 def group_split(df: DataFrame, group_col: str, test_fraction: float = 0.2, seed: int = DEFAULT_SEED,
@@ -78,30 +103,22 @@ def group_split(df: DataFrame, group_col: str, test_fraction: float = 0.2, seed:
 
     A null group key is its own group (``null_group``), as the cleaning job fills it.
     """
-    keyed = df.withColumn("__g", F.coalesce(F.col(group_col), F.lit(null_group)))
-    test_groups = first_k_by_hash(keyed.select("__g"), "__g", test_fraction, seed)
-    train = keyed.join(test_groups, "__g", "left_anti").drop("__g")
-    test = keyed.join(test_groups, "__g", "left_semi").drop("__g")
-    return train, test
+    test = _in_first(df, F.coalesce(F.col(group_col), F.lit(null_group)), test_fraction, seed)
+    return df.filter(~test), df.filter(test)
 
 
 def random_split(df: DataFrame, id_col: str, test_fraction: float = 0.2, seed: int = DEFAULT_SEED):
-    """ceil(fraction * rows) rows to test, chosen by salted hash of the row id."""
-    test_ids = first_k_by_hash(df.select(id_col), id_col, test_fraction, seed)
-    return df.join(test_ids, id_col, "left_anti"), df.join(test_ids, id_col, "left_semi")
+    """ceil(fraction * ids) ids to test, chosen by salted hash; rows without id go to one side together."""
+    test = _in_first(df, F.col(id_col), test_fraction, seed)
+    return df.filter(~test), df.filter(test)
 
 
 def split_column(df: DataFrame, group_col: str | None, id_col: str, test_fraction: float = 0.2,
                  seed: int = DEFAULT_SEED) -> DataFrame:
     """Tag every row with split = 'train' / 'test' (group split when a group column exists)."""
-    if group_col and group_col in df.columns:
-        keyed = df.withColumn("__g", F.coalesce(F.col(group_col), F.lit(-1)))
-        test_keys = first_k_by_hash(keyed.select("__g"), "__g", test_fraction, seed).withColumn("__t", F.lit(1))
-        out = keyed.join(test_keys, "__g", "left")
-        return out.withColumn("split", F.when(F.col("__t") == 1, "test").otherwise("train")).drop("__g", "__t")
-    test_keys = first_k_by_hash(df.select(id_col), id_col, test_fraction, seed).withColumn("__t", F.lit(1))
-    out = df.join(test_keys, id_col, "left")
-    return out.withColumn("split", F.when(F.col("__t") == 1, "test").otherwise("train")).drop("__t")
+    grouped = group_col and group_col in df.columns
+    test = _in_first(df, F.coalesce(F.col(group_col), F.lit(-1)) if grouped else F.col(id_col), test_fraction, seed)
+    return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 
 def stratified_folds(df: DataFrame, label_col: str, id_col: str, k: int = 5, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -113,5 +130,4 @@ def stratified_folds(df: DataFrame, label_col: str, id_col: str, k: int = 5, see
 
 def validation_flag(df: DataFrame, id_col: str, fraction: float = 0.1, seed: int = DEFAULT_SEED) -> DataFrame:
     """is_validation = 1 for ceil(fraction * rows) rows chosen by salted hash."""
-    val_ids = first_k_by_hash(df.select(id_col), id_col, fraction, seed).withColumn("is_validation", F.lit(1))
-    return df.join(val_ids, id_col, "left").fillna({"is_validation": 0})
+    return df.withColumn("is_validation", _in_first(df, F.col(id_col), fraction, seed).cast("int"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import chain, count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,16 +28,12 @@ def top_vocabulary(df: DataFrame, list_col: str, k: int = 20) -> DataFrame:
 
 def slug_names(tokens) -> list[str]:
     """Column names for vocabulary tokens; repeated slugs get _2, _3, ..."""
-    names: list[str] = []
-    for t in tokens:
-        slug = re.sub(r"[^a-z0-9]+", "_", t).strip("_")
-        base = f"{SLUG_PREFIX}{slug}" if slug else SLUG_EMPTY
-        name, n = base, 1
-        while name in names:
-            n += 1
-            name = f"{base}_{n}"
-        names.append(name)
-    return names
+    used: dict[str, None] = {}  # names in order; membership is constant time
+    for slug in (re.sub(r"[^a-z0-9]+", "_", t).strip("_") for t in tokens):
+        first = SLUG_PREFIX + slug if slug else SLUG_EMPTY
+        spellings = chain([first], (f"{first}_{n}" for n in count(2)))
+        used[next(s for s in spellings if s not in used)] = None
+    return list(used)
 
 
 def fit_vocabulary(train: DataFrame, list_col: str, k: int = 20) -> list[str]:

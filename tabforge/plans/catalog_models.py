@@ -239,15 +239,17 @@ def q_feature_ranking(spark, sf):
     """E5: MI, ANOVA F, forest importance and |Spearman| per numeric feature -> min-max -> mean rank."""
     p = training.prepare(spark, sf)
     df = p.clean_train
-    num = [c for c in p.enc.num_cols if not c.startswith("amenity_")][:12]
+    num = list(p.enc.num_cols)   # every numeric and amenity feature
     mi = E.mutual_information(df, cleaning.TARGET, num, 10).select("feature", F.lit("mi").alias("metric"),
                                                                    F.col("mi").alias("value"))
     fs = E.anova_f(df, cleaning.TARGET, num).select("feature", F.lit("f").alias("metric"), F.col("f_stat").alias("value"))
-    rf = K.random_forest(None, 100).fit(p.train)
+    sp = E.spearman(df.withColumn("__target", G.level_rank(cleaning.TARGET)), "__target", num).select(
+        "feature", F.lit("spearman").alias("metric"), F.coalesce("spearman", F.lit(0.0)).alias("value"))
+    rf = K.random_forest("weight", 400, min_leaf=2).fit(p.train)
     imp = rf.featureImportances.toArray()
     imp_df = spark.createDataFrame([(c, "rf", float(imp[i])) for i, c in enumerate(p.enc.num_cols) if c in num],
                                    "feature string, metric string, value double")
-    table = mi.unionByName(fs).unionByName(imp_df)
+    table = mi.unionByName(fs).unionByName(imp_df).unionByName(sp)
     norm = W.minmax_norm(table, "metric", "value")
     return W.avg_rank(norm, "feature", "metric", "norm").orderBy("rank_avg", "feature")
 

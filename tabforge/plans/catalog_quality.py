@@ -197,7 +197,7 @@ O["lookup_join_composite"] = with_listings(
 
 def q_split_members(spark, sf):
     df = listings(spark, sf).withColumn("g", F.coalesce("host_id", F.lit(-1)))
-    test_groups = G.first_k_by_hash(df.select("g"), "g", 0.2)
+    test_groups = G.group_split(df.select("g").distinct(), "g", 0.2)[1]
     members, _ = J.split_members(df, test_groups, "g")
     return members.select("id", "host_id")
 

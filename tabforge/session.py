@@ -1,8 +1,8 @@
 """Session helpers: a tuned local/cluster session and a lineage-cutting checkpoint folder.
 
 On a cluster the checkpoint folder is whatever the cluster names in
-``spark.checkpoint.dir`` (a shared filesystem).  Only when that setting is
-absent (local tests, the bench) do we create a fresh scratch folder.
+``spark.checkpoint.dir`` (a shared filesystem); without one nothing is written.
+Only a local master (tests, the bench) gets a fresh scratch folder instead.
 """
 
 from __future__ import annotations
@@ -16,10 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def get_spark(app: str = "tabforge", cores: str | int | None = None,
               shuffle_partitions: int | None = None) -> SparkSession:
-    cores = cores or os.environ.get("BENCH_CPUS") or "*"
+    """A tuned session.  A master that is already configured (spark-submit, a running
+    session) is kept; only without one does the session run as ``local[cores]``."""
+    builder = SparkSession.builder
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    if SparkSession.getActiveSession() is None and not submitted:
+        builder = builder.master(f"local[{cores or os.environ.get('BENCH_CPUS') or '*'}]")
     builder = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
+        builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
@@ -37,12 +41,14 @@ def get_spark(app: str = "tabforge", cores: str | int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when none is configured."""
+    """Return the shared checkpoint folder; a local master without one gets a scratch folder."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     path = path or current
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tabforge-ckpt-", dir="/tmp")
         try:
             spark.conf.set("spark.checkpoint.dir", path)

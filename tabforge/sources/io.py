@@ -46,9 +46,14 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def read_listings(spark: SparkSession, path: str, types: dict | None = None) -> DataFrame:
-    """Header CSV read as text, every null spelling -> null (C1), then ``try_cast`` to declared types."""
-    raw = spark.read.options(**CSV_OPTIONS).csv(path)   # no inference: all columns are text
+def read_listings(spark: SparkSession, path: str, types: dict | None = None, multi_line: bool = True) -> DataFrame:
+    """Header CSV read as text, every null spelling -> null (C1), then ``try_cast`` to declared types.
+
+    With ``multi_line`` a quoted field may hold line breaks, and then each file is read by one
+    task, so large input must come as many files; without it files are split.
+    """
+    options = CSV_OPTIONS | {"multiLine": str(multi_line).lower()}
+    raw = spark.read.options(**options).csv(path)   # no inference: all columns are text
     types = types or {}
     cols = []
     for c in raw.columns:
@@ -59,7 +64,8 @@ def read_listings(spark: SparkSession, path: str, types: dict | None = None) ->
 
 
 def request_schema() -> T.StructType:
-    item = T.StructType([T.StructField(n, T._parse_datatype_string(t), True) for n, t, _ in REQUEST_FIELDS])
+    item = T.StructType([T.StructField("id", T.StringType(), True),
+                         *(T.StructField(n, T._parse_datatype_string(t), True) for n, t, _ in REQUEST_FIELDS)])
     return T.StructType([T.StructField("data", T.ArrayType(item), True)])
 
 
@@ -77,7 +83,7 @@ def read_requests(spark: SparkSession, path: str, id_col: str | None = "request_
 def requests_from(df: DataFrame, path: str, key: str = "id") -> str:
     """Write one JSON request line per row of ``df`` (fields the table lacks are left out -> defaults)."""
     have = [n for n, _, _ in REQUEST_FIELDS if n in df.columns]
-    item = F.struct(*[F.col(n).cast(t).alias(n) for n, t, _ in REQUEST_FIELDS if n in have])
+    item = F.struct(F.col(key).cast("string").alias("id"), *[F.col(n).cast(t).alias(n) for n, t, _ in REQUEST_FIELDS if n in have])
     df.select(F.col(key).cast("string").alias("key"),
               F.to_json(F.struct(F.array(item).alias("data"))).alias("value")
               ).select("value").write.mode("overwrite").text(path)

@@ -24,7 +24,10 @@ def test_mode_ties_and_unseen(spark):
     target = spark.createDataFrame([("a", None), ("b", None), ("z", None), ("c", 7.0)], "g string, v double")
     out = {r["g"]: r["v"] for r in I.mode_impute_by(target, "v", "g", fit_df=df).collect()}
     assert out["a"] == 1.0 and out["c"] == 7.0
-    assert out["b"] == out["z"] == 4.0            # no mode -> median of the filled column
+    assert out["b"] == out["z"] == 2.0            # no mode -> median of the fitting rows, filled
+    chain = I.mode_impute_chain(spark.createDataFrame([("k", 9.0), ("k", None)], "g string, v double"), [("v", "g")],
+                                fit_df=spark.createDataFrame([("k", 1.0)], "g string, v double"))
+    assert sorted(r["v"] for r in chain.collect()) == [1.0, 9.0]
 
 
 def test_nearest_key_join_matches_brute_force(spark):
