@@ -307,8 +307,9 @@ def documents(catalogue: DataFrame, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` per document, read back from the files."""
     sizes = catalogue.groupBy("file").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("docs"))
     before = sizes.withColumn("before", F.sum("total").over(Window.orderBy("file")) - F.col("total"))  # a row per file
-    # A file's documents travel to one task in chunks of their catalogue, which holds no text.
-    listed = catalogue.join(before.select("file", "before"), "file").repartition(F.col("file")).sortWithinPartitions("file", "k")
+    # A file is read by one task, to which its catalogue rows go; as many partitions as files, so no task gets many.
+    files = (catalogue.agg(F.max("file")).first()[0] or 0) + 1
+    listed = catalogue.join(before.select("file", "before"), "file").repartition(files, "file").sortWithinPartitions("file", "k")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         file, source, held, at = None, iter(()), np.zeros(0, np.uint32), 0
