@@ -422,4 +422,8 @@ def spearman(df: DataFrame, target: str, cols) -> DataFrame:
         .select("s.*").dropna(subset=["__x", "__t"]))
     rx = average_rank(long, "__x", part_cols=["feature"], out="__rx")
     rxy = average_rank(rx, "__t", part_cols=["feature"], out="__ry")
-    return rxy.groupBy("feature").agg(F.abs(F.corr("__rx", "__ry")).alias("spearman"))
+    # a feature or target with one value has no correlation: null
+    spread = (F.min("__rx") < F.max("__rx")) & (F.min("__ry") < F.max("__ry"))
+    varied = rxy.groupBy("feature").agg(spread.alias("__v"), F.covar_pop("__rx", "__ry").alias("__c"),
+                                        (F.stddev_pop("__rx") * F.stddev_pop("__ry")).alias("__s"))
+    return varied.select("feature", F.when(F.col("__v"), F.abs(F.try_divide("__c", "__s"))).alias("spearman"))
