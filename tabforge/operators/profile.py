@@ -1,4 +1,4 @@
-"""Profiling aggregates (A6-A17 and the numeric-coercion report of C6)."""
+"""Profiling aggregates: value shares (A6) and the numeric-coercion report."""
 
 from __future__ import annotations
 

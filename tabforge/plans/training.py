@@ -42,7 +42,7 @@ def prepare(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> P
 
     def encode(d):
         e = enc.transform(d, with_label=True).select(F.col("id").alias("row_id"), F.col(TARGET).alias("label"), K.LABEL_IDX, "features")
-        return E.with_class_weight(e, "label")
+        return E.with_class_weight(e, "label", {"high": E.CLASS_BOOSTS["high"]})   # boosted trees also boost mid
 
     tr = cut_lineage(encode(train))
     te = cut_lineage(encode(test))
@@ -66,7 +66,8 @@ def predict_random_forest(p: Prepared, num_trees: int = 300) -> DataFrame:
 
 def predict_gbt(p: Prepared, max_iter: int = 100) -> DataFrame:
     from tabforge.operators.split import validation_flag
-    tr = validation_flag(p.train, "row_id", 0.1).withColumn("is_validation", F.col("is_validation") == 1)
+    tr = E.with_class_weight(p.train.drop("weight"), "label")
+    tr = validation_flag(tr, "row_id", 0.1).withColumn("is_validation", F.col("is_validation") == 1)
     return K.gbt_one_vs_rest(tr, p.test, p.enc.classes, keep=KEEP, max_iter=max_iter, weight_col="weight",
                              validation_col="is_validation")
 
@@ -126,8 +127,12 @@ def cross_validate(p: Prepared, models: dict, k: int = 5) -> DataFrame:
     return out
 
 
-def weight_search(p: Prepared, high_factors=(1.8,), mid_factors=(1.1,), k: int = 5, make=None) -> DataFrame:
-    """K7: for each (high, mid) boost, mean over folds of F1(high) + F1(mid); best first."""
+def weight_search(p: Prepared, high_factors=(1.6, 1.8, 2.0), mid_factors=(1.0, 1.1, 1.2), k: int = 5, make=None) -> DataFrame:
+    """K7: for each (high, mid) boost, mean over folds of F1(high) + F1(mid); best first.
+
+    ``make`` returns the estimator searched (weights in column ``w2``); multinomial logistic
+    regression by default, as Spark's boosted trees are binary and would need a model per class.
+    """
     from tabforge.operators.split import stratified_folds
     folded = cut_lineage(stratified_folds(p.train, "label", "row_id", k))
     make = make or (lambda: K.logreg("w2"))
