@@ -170,12 +170,14 @@ def duplicate_count(df: DataFrame, key: str) -> DataFrame:
 def dedup_first(df: DataFrame, key: str, order_cols) -> DataFrame:
     """Keep the first row per key under an explicit order (null keys form one group).
 
-    ``min_by`` over a struct is a partial aggregate, so a hot key is reduced on the
-    map side instead of being sorted in one task.
+    A row number filtered to 1 is planned with a group limit before the shuffle, so a hot
+    key is reduced to one row per task there, and each row travels once.  Rows equal in the
+    order columns are told apart by the other columns.
     """
     cols = [c for c in df.columns if c != key]
-    first = df.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct(*order_cols, *cols)).alias("__row"))
-    return first.select(key, *[F.col(f"__row.{c}").alias(c) for c in cols])
+    order = dict.fromkeys([*order_cols, *cols])
+    first = Window.partitionBy(key).orderBy(*order)
+    return df.withColumn("__rn", F.row_number().over(first)).filter("__rn = 1").select(key, *cols)
 
 
 def filter_present(df: DataFrame, col: str) -> DataFrame:

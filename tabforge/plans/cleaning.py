@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +22,7 @@ from tabforge.operators import impute as I
 from tabforge.operators import quality as D
 from tabforge.operators import split as G
 from tabforge.operators import tokens as TK
-from tabforge.session import cut_lineage
+from tabforge.session import stored
 
 TARGET = "occupancy_level"
 DATE_COLS = ("last_scraped", "host_since", "first_review", "last_review")
@@ -134,18 +133,17 @@ def apply(df: DataFrame, f: CleanFit) -> DataFrame:
 
 def run(raw: DataFrame, fit_modes_on: str = "train", test_fraction: float = 0.2):
     """Whole cleaning job; returns (train, test, fit).  Nothing is written here."""
-    # the cleaned, split table feeds several small fit aggregates: write it once (reliable checkpoint in the
-    # shared folder) so every fit reads a short plan and a lost executor does not recompute the scan
-    df = cut_lineage(split(clean_rows(raw), test_fraction))
+    # the cleaned, split table feeds several small fit aggregates: write it once, by split, in the shared
+    # folder; every fit then reads its own columns of its own split, and a lost executor costs no recomputation
+    df = stored(split(clean_rows(raw), test_fraction), "cleaned", "split")
     train = df.filter(F.col("split") == "train")
     mode_fit = df if fit_modes_on == "all" else train
     for target in ("bedrooms", "beds"):
         if target in df.columns and "room_type" in df.columns:
             df = I.mode_impute_by(df, target, "room_type", fit_df=mode_fit)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     train = df.filter(F.col("split") == "train")
     f = fit(train)
-    out = cut_lineage(apply(df, f))
+    out = stored(apply(df, f), "applied", "split")
     train_o = out.filter(F.col("split") == "train")
     f.fill = I.fit_remaining(train_o, exclude=("id", "split", TARGET, "host_id"))
     out = I.apply_fill(out, f.fill)

@@ -65,6 +65,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: later reads prune columns and partitions.
+
+    The partition columns come last.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
