@@ -5,6 +5,7 @@ import math
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tabforge.operators import impute as I
@@ -124,3 +125,51 @@ def test_soft_vote_probabilities_sum_to_one(spark):
     v = M.soft_vote([a, b])
     s = v.select((F.col("p_high") + F.col("p_low") + F.col("p_mid") + F.col("p_zero")).alias("s"))
     assert s.agg(F.max(F.abs(F.col("s") - 1))).first()[0] < 1e-12
+
+
+def test_splits_and_folds_keep_null_keys(spark):
+    df = spark.createDataFrame([(i if i % 5 else None, "a" if i % 3 else None, i % 7) for i in range(60)], "id long, label string, g int")
+    train, test = G.random_split(df, "id", 0.2)
+    assert train.count() + test.count() == 60
+    assert df.select("id").distinct().count() * 0.2 <= test.select("id").distinct().count() < df.select("id").distinct().count() * 0.2 + 1
+    folds = G.stratified_folds(df, "label", "id", 4)
+    assert folds.count() == 60 and {r["label"] for r in folds.collect()} == {"a", None}
+    for rows in (train, test):
+        assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hash_cut_is_the_kth_hash(spark):
+    import hashlib
+    import math
+    df = spark.createDataFrame([(i,) for i in range(333)] * 2, "id long")
+    hashes = sorted(hashlib.md5(f"42{i}".encode()).hexdigest() for i in range(333))
+    for fraction in (0.0, 0.01, 0.2, 1.0):
+        k = math.ceil(fraction * 333)
+        assert G.hash_cut(df, "id", fraction) == (hashes[k - 1] if k else "")
+
+
+def test_average_rank_with_null_partitions(spark):
+    from tabforge.operators.ordered import average_rank
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 2.0), ("a", 5.0), ("a", None)], "p string, x double")
+    got = sorted((r["p"] or "", r["x"] or 0.0, r["rank"]) for r in average_rank(df, "x", ["p"]).collect() if r["rank"] is not None)
+    assert got == [("", 1.0, 1.0), ("", 2.0, 2.5), ("", 2.0, 2.5), ("a", 5.0, 1.0)]
+
+
+def test_threshold_grid_in_any_order(spark):
+    from tabforge.operators import metrics as M
+    rnd = random.Random(5)
+    rows = []
+    for i in range(200):
+        p = [rnd.random() for _ in range(4)]
+        rows.append((i, rnd.choice(["zero", "low", "mid", "high"]), "low", *[x / sum(p) for x in p]))
+    pred = spark.createDataFrame(rows, "row_id int, label string, pred string, p_zero double, p_low double, p_mid double, p_high double")
+    score = lambda t, m: sorted(map(tuple, M.threshold_grid_scores(pred, t, m).collect()))
+    assert score([0.2, 0.3, 0.4], [0.0, 0.05, 0.1]) == score([0.4, 0.2, 0.3], [0.1, 0.0, 0.05])
+
+
+def test_anova_keeps_its_digits(spark):
+    from tabforge.operators import eda as E
+    rows = [("a" if i % 2 else "b", 1e9 + (i % 2) + 0.001 * (i % 10)) for i in range(100)]
+    got = E.anova_f(spark.createDataFrame(rows, "y string, x double"), "y", ["x"]).first()["f_stat"]
+    near = E.anova_f(spark.createDataFrame([(y, x - 1e9) for y, x in rows], "y string, x double"), "y", ["x"]).first()["f_stat"]
+    assert got == pytest.approx(near, rel=1e-3)
