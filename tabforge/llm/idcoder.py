@@ -31,8 +31,8 @@ from tabforge.llm.tokens import byte_bpe, vocabulary
 from tabforge.session import scratch_path
 
 MAGIC, VERSION = b"TFID", 1
-BLOCK = 1 << 20          # ids in a block
-LANES, LEAST = 8192, 64  # lanes of a block at most; ids in a lane at least
+BLOCK = 1 << 21          # ids in a block
+LANES, LEAST = 16384, 64  # lanes of a block at most; ids in a lane at least
 MIX = 12                 # bits of the mixture weights
 SCALE = 18               # bits of the order-0 frequencies
 RENEW = 1 << 16          # order-0 frequencies are recomputed after about so many ids
