@@ -26,8 +26,8 @@ KNOWN = (
     r"|\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[^-]{0,10000}-----END [A-Z ]{0,20}PRIVATE KEY-----"
 )
 NAMES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credential|private[_-]?key"
-ASSIGNED = rf"(?i:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}(?:\"[^\"\n]{{6,200}}\"|'[^'\n]{{6,200}}'|[^\s\"'<>,;]{{6,200}})"
-MIXED = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,200}[0-9])[A-Za-z0-9+/_-]{20,}={0,2}"
+ASSIGNED = rf"(?i:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}(?:\"[^\"\n]{{6,}}+\"|'[^'\n]{{6,}}+'|[^\s\"'<>,;]{{6,}}+)"
+MIXED = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}={0,2}"
 CANDIDATE = f"{KNOWN}|{ASSIGNED}|{MIXED}"
 
 # Words that speak for or against a secret, inside the value or beside it.

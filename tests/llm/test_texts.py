@@ -304,3 +304,14 @@ def test_secret_edges(spark, edge_docs):
     assert out.columns == edge_docs.columns and out.count() == edge_docs.count()
     assert {r.text for r in out.where("doc_id = 4").collect()} == {"same text twice. [SECRET] ends it."}
     assert secrets.scan(edge_docs.limit(0)).count() == 0 and secrets.redacted(edge_docs.limit(0)).count() == 0
+
+
+def test_long_assigned_secrets_are_whole(spark):
+    long = hashlib.sha512(b"x").hexdigest() * 8
+    long = long[:1000]
+    jwt = f"eyJ{long[:40]}.{long[40:300]}.{long[300:343]}"
+    found = [f"token={long}", f'token = "{long}"', f"token: '{long}'", f"token={jwt}", f'token="{jwt}"']
+    docs = spark.createDataFrame([(i, f"set {x} and more.", "s") for i, x in enumerate(found)], "doc_id long, text string, source string")
+    assert [(r.doc_id, r.start, r.found, r.is_secret) for r in secrets.scan(docs).orderBy("doc_id", "nth").collect()] == [(i, 4, x, True) for i, x in enumerate(found)]
+    assert {r.text for r in secrets.redacted(docs).collect()} == {"set [SECRET] and more."}
+    assert {r.value for r in secrets.scan(docs).collect()} == {long, jwt}
