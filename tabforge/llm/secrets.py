@@ -23,11 +23,15 @@ from tabforge.llm.common import table, written
 # Key formats, names that secrets are assigned to, and long mixed tokens (Java regular expressions).
 KNOWN = (
     r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}|\bxox[abprs]-[A-Za-z0-9-]{10,}|\bsk-[A-Za-z0-9_-]{20,}|\bAIza[0-9A-Za-z_-]{35}"
-    r"|\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[^-]{0,10000}-----END [A-Z ]{0,20}PRIVATE KEY-----"
+    r"|\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z ]{0,20}PRIVATE KEY-----"
 )
-NAMES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credential|private[_-]?key"
-ASSIGNED = rf"(?i:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}(?:\"[^\"\n]{{6,}}+\"|'[^'\n]{{6,}}+'|[^\s\"'<>,;]{{6,}}+)"
-MIXED = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}={0,2}"
+NAMES = "password|passwd|pwd|secret[_-]?key|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credential|private[_-]?key"
+# After the name a part such as _PROD or _2, a quote and the sign; any NAME_KEY counts, from its last part on.
+SIGN = r"(?:[_-][A-Za-z0-9_-]*+|[0-9]++)?+[\"']?\s{0,3}[:=]\s{0,3}"
+VALUE = r"(?:\"[^\"\n]{6,}+\"|'[^'\n]{6,}+'|[^\s\"'<>,;]{6,}+)"
+ASSIGNED = rf"(?i:{NAMES}|(?<=[A-Za-z0-9][_-])key){SIGN}{VALUE}"
+PREFIX = rf"^(?i:{NAMES}|key){SIGN}"  # of a match by itself, without the text before it
+MIXED = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}={0,2}"
 CANDIDATE = f"{KNOWN}|{ASSIGNED}|{MIXED}"
 
 # Words that speak for or against a secret, inside the value or beside it.
@@ -53,8 +57,8 @@ def candidates(docs: DataFrame, keys: list[str], path: str | None = None) -> Dat
     rows = hit.select(*keys, "path", "p", "m", F.posexplode("m").alias("nth", "found"))
     # Everything up to the candidate, for its start: pieces 0 to nth and matches 0 to nth - 1.
     length = lambda a, n: F.aggregate(F.slice(a, 1, n), F.lit(0), lambda s, x: s + F.length(x))
-    assigned = F.col("found").rlike(f"^{ASSIGNED}$")
-    value = F.when(assigned, F.regexp_replace(F.regexp_replace("found", rf"^(?i:{NAMES})[\"']?\s*[:=]\s*", ""), "^[\"']|[\"']$", "")).otherwise(F.col("found"))
+    assigned = F.col("found").rlike(f"{PREFIX}{VALUE}$")
+    value = F.when(assigned, F.regexp_replace(F.regexp_replace("found", PREFIX, ""), "^[\"']|[\"']$", "")).otherwise(F.col("found"))
     return rows.select(
         *keys, "path", "nth", "found", (length(F.col("p"), F.col("nth") + 1) + length(F.col("m"), F.col("nth"))).alias("start"), F.length("found").alias("length"),
         value.alias("value"), assigned.alias("assigned"),

@@ -315,3 +315,16 @@ def test_long_assigned_secrets_are_whole(spark):
     assert [(r.doc_id, r.start, r.found, r.is_secret) for r in secrets.scan(docs).orderBy("doc_id", "nth").collect()] == [(i, 4, x, True) for i, x in enumerate(found)]
     assert {r.text for r in secrets.redacted(docs).collect()} == {"set [SECRET] and more."}
     assert {r.value for r in secrets.scan(docs).collect()} == {long, jwt}
+
+
+def test_secrets_under_any_name_and_encrypted_keys(spark):
+    hexed, mixed = hashlib.sha1(b"x").hexdigest(), "h7Gt2kQz9LmXw4RbV8nYc3JdP6sFa1Ue"
+    lines = "\n".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(300))
+    key = lambda head: f"-----BEGIN RSA PRIVATE KEY-----\n{head}{lines}\n-----END RSA PRIVATE KEY-----"
+    encrypted = key("Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n")
+    cases = [(f"SECRET_KEY={hexed}", f"SECRET_KEY={hexed}", hexed), (f"STRIPE_KEY={mixed}", f"KEY={mixed}", mixed), (f'TOKEN_PROD = "{mixed}"', f'TOKEN_PROD = "{mixed}"', mixed), (f"STRIPE={mixed}", mixed, mixed),
+             (key(""), key(""), key("")), (encrypted, encrypted, encrypted), ("-----BEGIN PRIVATE KEY----- cut. " + encrypted, encrypted, encrypted)]
+    docs = spark.createDataFrame([(i, f"set {c[0]} and more.", "s") for i, c in enumerate(cases)], "doc_id long, text string, source string")
+    assert [(r.doc_id, r.found, r.value, r.is_secret) for r in secrets.scan(docs).orderBy("doc_id", "nth").collect()] == [(i, f, v, True) for i, (_, f, v) in enumerate(cases)]
+    fine = ["sort_key=created_at", "foreign-key: customer_id", "https://example.org/?id=1234567890123456789012&utm=newsletter_2024_spring", "password-protected: documents", "public_key=placeholder"]
+    assert not [r.found for r in secrets.scan(spark.createDataFrame([(1, t, "s") for t in fine], "doc_id long, text string, source string")).collect() if r.is_secret]
