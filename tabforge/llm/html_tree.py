@@ -32,6 +32,12 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: An open element of the key is ended by the start of any of these.
 ENDS = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
+#: The same inside a dropped element, where end tags may be left out too.
+ROWS = {"tbody", "thead", "tfoot"}
+DROPPED_ENDS = {**ENDS, "tr": {"tr", *ROWS}, "td": {"td", "th", "tr", *ROWS}, "th": {"td", "th", "tr", *ROWS}, **dict.fromkeys(ROWS, ROWS), "caption": {"colgroup", "tr", *ROWS}, "colgroup": {"tr", *ROWS},
+                "rt": {"rt", "rp"}, "rp": {"rt", "rp"}, "option": {"option", "optgroup"}, "optgroup": {"optgroup"}, "button": {"button"}}
+#: What may lie in a head; any other start tag ends it.
+IN_HEAD = {"html", "head", "base", "basefont", "bgsound", "link", "meta", "title", "script", "style", "noscript", "noframes", "template"}
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
@@ -82,7 +88,8 @@ class Page:
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("html", 0)]  # open block elements
         held: list[str] = []                          # text of the run being read
-        linked, in_link, dropped = 0, 0, []
+        linked, in_link = 0, 0
+        dropped: list[str] = []                       # a dropped element and the open elements in it
         at, size, search = 0, len(source), TAG.search
 
         def flush() -> None:
@@ -98,6 +105,8 @@ class Page:
         while at < size:
             m = search(source, at)
             end = m.start() if m else size
+            if dropped == ["head"] and end > at and source[at:end].strip():
+                dropped.clear()  # text ends a head
             if end > at and not dropped:
                 held.append(source[at:end])
                 linked += in_link and end - at
@@ -108,15 +117,23 @@ class Page:
             if name is None:
                 continue
             name, closing = name.lower(), m.group(1)
+            if dropped and not closing:
+                if dropped[-1] == "head":
+                    if name not in IN_HEAD:
+                        dropped.clear()
+                elif name not in INLINE and name not in VOID:
+                    while dropped and dropped[-1] in DROPPED_ENDS and _ends(dropped[-1], name):
+                        dropped.pop()
             if name == "br" or name == "hr":
                 held.append(" ")
             elif name == "a":
                 in_link = 0 if closing else 1
             elif closing:
-                if dropped:
-                    if dropped[-1] == name:
-                        dropped.pop()
+                if name in dropped:
+                    while dropped.pop() != name:
+                        pass
                 elif name not in INLINE and any(t == name for t, _ in stack[1:]):
+                    dropped.clear()  # it lay in the element that ends
                     flush()
                     in_link = 0
                     while stack.pop()[0] != name:
@@ -124,9 +141,14 @@ class Page:
             elif name in VOID or name in INLINE:
                 continue
             elif name in DROPPED:
+                if name == "svg" and m.group(3).rstrip().endswith("/"):
+                    continue
                 if name in RAW:  # its content is no markup
                     stop = re.compile(f"</{name}[\\s/>]", re.I).search(source, at)
                     at = size if stop is None else (source.find(">", stop.start()) + 1 or size)
+                elif name == "select" and name in dropped:  # a second one ends the first
+                    while dropped.pop() != name:
+                        pass
                 elif not m.group(3).rstrip().endswith("/"):
                     dropped.append(name)
             elif name == "body":
@@ -146,11 +168,18 @@ class Page:
                 marks = {GROUP_OF[w] for v in MARKS.findall(attributes) for w in MARK.findall(v.lower()) if w in GROUP_OF} if "=" in attributes else ()
                 label = int(attributes[attributes.index("data-y=") + 7]) if "data-y=" in attributes else self.label[top]
                 stack.append((name, self._node(top, kind, (INDEX[f"tag:{kind}"], *(INDEX[f"mark:{g}"] for g in marks)), label)))
-            elif dropped and name == dropped[-1]:
+            elif dropped and name != "html" and not m.group(3).rstrip().endswith("/"):
                 dropped.append(name)
         flush()
 
 
+def _ends(opened: str, name: str) -> bool:
+    """Whether the start tag ``name`` ends an open element of a dropped part."""
+    if DROPPED_ENDS[opened] is None:
+        return name not in DROPPED
+    return name in DROPPED_ENDS[opened]
+
+
 def _evidence(text: str, linked: int) -> tuple:
     n, found = len(text), [INDEX["tag:text"]]
     found.append(INDEX["short" if n < 40 else "medium" if n < 160 else "long"])

@@ -247,6 +247,25 @@ def test_page_edges(spark):
     assert got[5].n_chars == 19 * 50_000 - 1 and got[6].text == "One. Two." and len(got) == len(rows)
 
 
+@pytest.mark.parametrize("source,want", [
+    ("<html><head><title>No</title><meta charset=utf-8><body><p>One.</p>", "One."),
+    ("<head><title>No</title><link rel=x><p>One.</p>", "One."),
+    ("<head><script>no</script> One. <p>Two.", "One.|Two."),
+    ("<p>One.</p><select><option>no<option>no</select><p>Two.</p>", "One.|Two."),
+    ("<p>One.</p><select><optgroup><option>no<optgroup><option>no</optgroup></select><p>Two.</p>", "One.|Two."),
+    ("<p>One.</p><p hidden>no<p>Two.</p>", "One.|Two."),
+    ("<ul><li hidden>no<ul><li>no</ul>no<li>One.</ul><p>Two.</p>", "One.|Two."),
+    ("<ul><li>One.<li hidden>no</ul><p>Two.</p>", "One.|Two."),
+    ("<table><tr hidden><td>no<td>no<tr><td>One.<tbody hidden><tr><td>no<tbody><tr><td>Two.</table><p>Three.</p>", "One.|Two.|Three."),
+    ("<section><div hidden>no</section><p>One.</p>", "One."),
+    ("<div hidden>no<div>no</div>no<section><div>no</div></section>no</div><p>One.</p>", "One."),
+    ("<div>One.<button>no<button>no</button></div><p>Two.</p>", "One.|Two."),
+    ("<p>One.</p><svg class=x /><p>Two.</p><svg><text>no</text></svg><p>Three.</p>", "One.|Two.|Three."),
+])
+def test_unclosed_dropped_elements_end(source, want):
+    assert "|".join(html_tree.Page(source).runs.values()) == want
+
+
 # --- toxicity
 
 
