@@ -1,7 +1,7 @@
 """Top-k search, SimHash near-dedup and sharding against brute force."""
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -156,3 +156,20 @@ def test_sharding_edges(spark, edge_docs):
     assert sharding.shard(edge_docs.limit(0), 4).count() == 0
     same = spark.createDataFrame([(i, "one group") for i in range(50)], "doc_id long, text string")
     assert {r.shard for r in sharding.shard(same, 4).collect()} == {0}
+
+
+@pytest.mark.parametrize("heavy", [(600,), (600, 270)])
+def test_sharding_spreads_the_rest_beside_heavy_groups(spark, heavy):
+    texts = [f"light {i:05d}" for i in range(1200)] + [f"heavy {k:05d}" for k, n in enumerate(heavy) for _ in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sharding.shard(docs, 24).collect()
+    total, placed = Counter(), defaultdict(set)
+    for r in rows:
+        total[r.shard] += r["size"]
+        placed[texts[r.doc_id]].add(r.shard)
+    assert len(rows) == len(texts) and set(total) == set(range(24)) and all(len(s) == 1 for s in placed.values())
+    sizes = sorted(total.values(), reverse=True)
+    apart = [n for n in heavy if n > len(texts) / 24]
+    assert sizes[: len(apart)] == [19 * n for n in apart]
+    fair = (sum(sizes) - sum(sizes[: len(apart)])) / (24 - len(apart))
+    assert sizes[len(apart)] <= 1.2 * fair and sizes[-1] >= 0.7 * fair
