@@ -52,4 +52,4 @@ def test_stages_on_edge_rows(spark, edge_docs, small):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
