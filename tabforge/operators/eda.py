@@ -17,6 +17,8 @@ from pyspark.sql.window import Window
 from tabforge.functions.nulls import MASK_TOKENS, is_missing
 from tabforge.functions.scalars import numeric_coerce
 from tabforge.operators.ordered import average_rank
+from tabforge.operators.quantiles import group_quantile, group_quantiles
+from tabforge.session import stored
 
 # Occupancy bands (days, inclusive) and the top-code of the source.
 OCC_TOP_CODE = 255
@@ -66,9 +68,8 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: f
 def box_stats(df: DataFrame, cat: str, col: str) -> DataFrame:
     """Per category quartiles, IQR whisker ends (last datum within 1.5 IQR) and outlier count."""
     x = F.col(col).cast("double")
-    q = (df.filter(x.isNotNull()).groupBy(cat)
-         .agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")))
-    q = q.select(cat, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    df = stored(df.select(cat, col).filter(x.isNotNull()), "box-stats")
+    q = group_quantiles(df, [cat], col, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     joined = df.select(cat, x.alias("__x")).filter(F.col("__x").isNotNull()).join(q, cat)
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
@@ -81,8 +82,11 @@ def box_stats(df: DataFrame, cat: str, col: str) -> DataFrame:
 
 def price_vs_capacity(df: DataFrame, capacity: str, cat: str, price: str) -> DataFrame:
     """Count, median and mean price per (capacity, category)."""
-    return df.filter(F.col(price).isNotNull()).groupBy(capacity, cat).agg(
-        F.count(F.lit(1)).alias("n"), F.median(price).alias("median_price"), F.avg(price).alias("mean_price"))
+    df = stored(df.select(capacity, cat, price).filter(F.col(price).isNotNull()), "price-capacity")
+    medians = group_quantile(df, [capacity, cat], price, 0.5, "median_price").withColumnsRenamed({capacity: "__a", cat: "__b"})
+    plain = df.groupBy(capacity, cat).agg(F.count(F.lit(1)).alias("n"), F.avg(price).alias("mean_price"))
+    same = F.col(capacity).eqNullSafe(F.col("__a")) & F.col(cat).eqNullSafe(F.col("__b"))
+    return plain.join(medians, same).select(capacity, cat, "n", "median_price", "mean_price")
 
 
 def kde_grid(df: DataFrame, col: str, grid_points: int = 200, bins: int = 1024) -> DataFrame:

@@ -6,25 +6,28 @@ applied with checked-broadcast lookups or ``fillna`` on the lazily planned data.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.operators.lookup import lookup_join, nearest_key_join
+from tabforge.operators.quantiles import group_quantile, quantiles
+from tabforge.session import cut_lineage, stored
 
 
 def fit_medians(fit_df: DataFrame, cols, accuracy: int | None = None) -> dict:
-    """Medians of ``cols`` over ``fit_df`` (one aggregate, one small row back).
+    """Medians of ``cols`` over ``fit_df``.
 
     Exact by default; ``accuracy`` uses ``percentile_approx`` (bounded memory per column).
     """
     cols = list(cols)
     if not cols:
         return {}
-    med = ((lambda c: F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy)) if accuracy
-           else (lambda c: F.median(F.col(c).cast("double"))))
-    row = fit_df.agg(*[med(c).alias(c) for c in cols]).first()
+    if not accuracy:
+        return {c: found[0] for c, found in quantiles(fit_df, cols, [0.5]).items()}
+    row = fit_df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
@@ -65,9 +68,47 @@ def global_modes(df: DataFrame, cols) -> dict:
 
 
 def median_by_grains(df: DataFrame, a: str, b: str, value_col: str) -> DataFrame:
-    """Exact medians at (a, b), (a) and overall in one ROLLUP aggregate; ``grain`` = grouping id."""
-    return (df.rollup(a, b).agg(F.median(F.col(value_col).cast("double")).alias("median"),
-                                F.grouping_id().alias("grain")))
+    """Exact medians at (a, b), (a) and overall; ``grain`` = grouping id of a rollup.  No grain is one task's work."""
+    src = stored(df.select(a, b, value_col), "grains")
+    whole = lambda c: F.lit(None).cast(src.schema[c].dataType).alias(c)
+    grains = [F.struct(a, b, F.lit(0).cast("long").alias("grain")), F.struct(a, whole(b), F.lit(1).cast("long").alias("grain")),
+              F.struct(whole(a), whole(b), F.lit(3).cast("long").alias("grain"))]
+    each = src.select(F.explode(F.array(*grains)).alias("g"), value_col).select("g.*", value_col)
+    return group_quantile(each, [a, b, "grain"], value_col, 0.5, "median").select(a, b, "median", "grain")
+
+
+@dataclass
+class ModeFit:
+    """Fitted statistics of one mode imputation: modes per reference value, and the median of what is left."""
+    target: str
+    ref: str
+    modes: DataFrame
+    median: float | None
+    nearest: bool = False
+
+
+def _from_modes(df: DataFrame, fit: ModeFit) -> DataFrame:
+    out = lookup_join(df, fit.modes, fit.ref)
+    if fit.nearest:
+        out = nearest_key_join(out, fit.ref, fit.modes, fit.ref, "__mode")
+        out = out.withColumn("__mode", F.coalesce("__mode", "__mode_nearest")).drop("__mode_nearest")
+    return out.withColumn(fit.target, F.coalesce(F.col(fit.target), F.col("__mode").cast(df.schema[fit.target].dataType))).drop("__mode")
+
+
+def fit_mode_impute(fit_df: DataFrame, target: str, ref: str, nearest: bool = False) -> ModeFit:
+    """I1 fit: the mode per reference group, and for numbers the median of the column once modes are filled in."""
+    fit = ModeFit(target, ref, mode_by_group(fit_df, ref, target, "__mode"), None, nearest)
+    if isinstance(fit_df.schema[target].dataType, T.NumericType):
+        fit.median = fit_medians(_from_modes(fit_df, fit).select(target), [target])[target]
+    return fit
+
+
+def apply_mode_impute(df: DataFrame, fit: ModeFit) -> DataFrame:
+    """I1 apply: the mode of the row's group, else the fitted median."""
+    out = _from_modes(df, fit)
+    if fit.median is not None:
+        out = out.fillna({fit.target: fit.median})
+    return out.select(*df.columns)
 
 
 def mode_impute_by(df: DataFrame, target: str, ref: str, fit_df: DataFrame | None = None,
@@ -77,22 +118,7 @@ def mode_impute_by(df: DataFrame, target: str, ref: str, fit_df: DataFrame | Non
     With ``nearest=True`` a row whose numeric ``ref`` has no mode takes the mode of
     the nearest group key (J6) before the median fallback.
     """
-    modes = mode_by_group(fit_df if fit_df is not None else df, ref, target, "__mode")
-
-    def filled(part: DataFrame) -> DataFrame:
-        out = lookup_join(part, modes, ref)
-        if nearest:
-            out = nearest_key_join(out, ref, modes, ref, "__mode")
-            out = out.withColumn("__mode", F.coalesce("__mode", "__mode_nearest")).drop("__mode_nearest")
-        return out.withColumn(target, F.coalesce(F.col(target), F.col("__mode").cast(part.schema[target].dataType))).drop("__mode")
-
-    out = filled(df)
-    if isinstance(df.schema[target].dataType, T.NumericType):
-        # the median, like the modes, comes from the fitting rows alone
-        med = fit_medians(out if fit_df is None else filled(fit_df), [target])[target]
-        if med is not None:
-            out = out.fillna({target: med})
-    return out.select(*df.columns)
+    return apply_mode_impute(df, fit_mode_impute(fit_df if fit_df is not None else df, target, ref, nearest))
 
 
 def mode_impute_chain(df: DataFrame, steps, fit_df: DataFrame | None = None) -> DataFrame:
@@ -110,9 +136,7 @@ def mode_impute_chain(df: DataFrame, steps, fit_df: DataFrame | None = None) ->
 
 def fit_price_medians(train: DataFrame, price_col: str, a: str, b: str):
     """I3 fit: medians by (a, b), by a, and overall from the training rows."""
-    # one ROLLUP gives all three grains; it has one row per group, so it is kept and the
-    # overall median is read from it instead of scanning the training rows again
-    grains = median_by_grains(train, a, b, price_col).persist(StorageLevel.MEMORY_AND_DISK)
+    grains = cut_lineage(median_by_grains(train, a, b, price_col))   # a row per group
     pair = grains.filter(F.col("grain") == 0).select(a, b, F.col("median").alias("__m_pair")).dropna()
     single = grains.filter(F.col("grain") == 1).select(a, F.col("median").alias("__m_one")).dropna()
     top = grains.filter(F.col("grain") == 3).select("median").first()
@@ -139,7 +163,7 @@ def fit_remaining(train: DataFrame, exclude=()) -> dict:
             num.append(f.name)
         elif isinstance(f.dataType, T.StringType):
             cat.append(f.name)
-    row = train.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in num]).first().asDict() if num else {}
+    row = fit_medians(train, num)
     modes = global_modes(train, cat)
     fill = {c: row[c] for c in num if row[c] is not None}
     fill.update({c: modes.get(c, "unknown") for c in cat})
@@ -159,7 +183,7 @@ def apply_fill(df: DataFrame, fill: dict) -> DataFrame:
 
 def simple_imputer_fit(train: DataFrame, num_cols, cat_cols) -> dict:
     """Median for numeric columns, most frequent for text columns (inside the encoder)."""
-    row = train.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in num_cols]).first().asDict() if num_cols else {}
+    row = fit_medians(train, num_cols)
     out = {k: v for k, v in row.items() if v is not None}
     out.update(global_modes(train, cat_cols))
     return out

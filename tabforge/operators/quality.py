@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tabforge.operators.quantiles import quantiles
+from tabforge.session import stored
+
 # Keyword groups of column names used by the missing-value share chart.
 HOST_KEYWORDS = ("host", "night")
 LISTING_KEYWORDS = (
@@ -125,11 +128,14 @@ def numeric_describe(df: DataFrame, exclude_patterns=("id",), decimals: int = 4,
     memory per column on very large tables).
     """
     cols = numeric_columns(df, exclude_patterns)
+    probs = [0.25, 0.5, 0.75]
+    if not approx:
+        df = stored(df.select(*cols), "describe")   # read once per narrowing pass
+        exact = quantiles(df, cols, probs)
     stats = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = (F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy) if approx
-             else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
+        q = F.percentile_approx(x, probs, accuracy) if approx else F.array(*[F.lit(v).cast("double") for v in exact[c]])
         stats.append(F.struct(F.lit(c).alias("column_name"), F.count(x).alias("count"), F.avg(x).alias("mean"),
                               F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q.alias("q"),
                               F.max(x).alias("max")).alias(c))
@@ -194,8 +200,7 @@ def clip_quantile(df: DataFrame, col: str, q: float = 0.99, fit_df: DataFrame |
     """
     fit_df = fit_df if fit_df is not None else df
     x = F.col(col).cast("double")
-    stat = F.percentile_approx(x, q, accuracy) if accuracy else F.percentile(x, F.lit(q))
-    cut = fit_df.agg(stat.alias("cut")).first()["cut"]
+    cut = fit_df.agg(F.percentile_approx(x, q, accuracy).alias("cut")).first()["cut"] if accuracy else quantiles(fit_df, [col], [q])[col][0]
     return df.filter(F.col(col) <= F.lit(cut))
 
 

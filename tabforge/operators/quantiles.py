@@ -70,19 +70,15 @@ def quantiles(df: DataFrame, cols, probs, accuracy: int = ACCURACY, most: int =
                 place = p * (n - 1)
                 open_[len(probs) * j + i] = {"x": F.col(f"c{j}"), "c": c, "i": i, "place": place, "lo": first[f"q{j}"][2 * i], "hi": first[f"q{j}"][2 * i + 1]}
     while open_:
-        # rows below each bracket, and the counts of the values in it
+        # the rows below each bracket, and the counts of the values in it
         below = df.agg(*[F.count_if(t["x"] < F.lit(t["lo"])).alias(f"t{k}") for k, t in open_.items()]).first()
         inside = F.array_compact(F.array(*[F.when(_between(t["x"], t["lo"], t["hi"]), F.struct(F.lit(k).alias("t"), t["x"].alias("v"))) for k, t in open_.items()]))
         counts = df.select(F.explode(inside).alias("s")).groupBy("s.t", "s.v").agg(F.count(F.lit(1)).alias("n"))
-        found: dict[int, list[tuple[float, int]]] = {}
-        wide = False
         rows = counts.limit(most * len(open_) + 1).collect()
-        if len(rows) > most * len(open_):
-            wide = True
-        else:
+        if len(rows) <= most * len(open_):
+            found: dict[int, list[tuple[float, int]]] = {}
             for r in rows:
                 found.setdefault(r["t"], []).append((r["v"], r["n"]))
-        if not wide:
             for k, t in open_.items():
                 out[t["c"]][t["i"]] = _pick(sorted(found[k], key=lambda s: _order(s[0])), below[f"t{k}"], t["place"])
             break
@@ -127,40 +123,47 @@ def _narrowed(df: DataFrame, open_: dict[int, dict], below: dict[int, int], eps:
     return {k: t | {"lo": new[k][0], "hi": new[k][1]} for k, t in open_.items()}
 
 
-def group_quantile(df: DataFrame, keys, value: str, p: float = 0.5, out: str = "quantile", accuracy: int = ACCURACY, most: int = MOST) -> DataFrame:
-    """Exact quantile of ``value`` per group: ``keys``, ``out``.  Null keys are groups; a group without values gives null.
+def group_quantiles(df: DataFrame, keys, value: str, probs: dict[str, float], accuracy: int = ACCURACY, most: int = MOST) -> DataFrame:
+    """Exact quantiles of ``value`` per group: ``keys`` and a column for each of ``probs``.
 
-    The brackets are a table with a row per group, joined on the keys; no group is held or sorted
-    whole, only the different values of its bracket are.
+    Null keys are groups; a group without values gives nulls.  The brackets are a table with a row
+    per group and quantile, joined on the keys; no group is held or sorted whole, only the
+    different values of its brackets are.
     """
     keys = list(keys)
-    names = [f"__g{i}" for i in range(len(keys))]
-    src = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(value).cast("double").alias("__x"))
-    eps = 2.0 / accuracy
-    brackets = src.groupBy(*names).agg(F.count("__x").alias("n"), F.percentile_approx("__x", [max(0.0, p - eps), min(1.0, p + eps)], accuracy).alias("q"))
-    place = F.lit(p) * (F.col("n") - 1)
-    brackets = cut_lineage(brackets.select(*names, place.alias("place"), F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi")))
+    groups = [f"__g{i}" for i in range(len(keys))]
+    names = [*groups, "__p"]
+    src = df.select(*[F.col(k).alias(n) for k, n in zip(keys, groups, strict=True)], F.col(value).cast("double").alias("__x"))
+    eps, ps = 2.0 / accuracy, list(probs.values())
+    ends = [min(1.0, max(0.0, p + s * eps)) for p in ps for s in (-1, 1)]
+    brackets = src.groupBy(*groups).agg(F.count("__x").alias("n"), F.percentile_approx("__x", ends, accuracy).alias("q"))
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("__p"), (F.lit(p) * (F.col("n") - 1)).alias("place"), F.col("q")[2 * i].alias("lo"), F.col("q")[2 * i + 1].alias("hi"))
+                               for i, p in enumerate(ps)])).alias("s")
+    brackets = cut_lineage(brackets.select(*groups, each).select(*groups, "s.*"))
+
+    def beside(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+        """A null-safe join on ``on`` that keeps the left side's keys."""
+        same = reduce(and_, (F.col(n).eqNullSafe(F.col(f"__k{n}")) for n in on), F.lit(True))
+        return left.join(right.withColumnsRenamed({n: f"__k{n}" for n in on}), same, how).drop(*[f"__k{n}" for n in on])
+
+    inside = (F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi"))
     while True:
-        side = brackets.withColumnsRenamed({n: f"__k{n}" for n in names})
-        same = reduce(and_, (F.col(n).eqNullSafe(F.col(f"__k{n}")) for n in names), F.lit(True))
-        rows = src.join(checked_broadcast(side), same).drop(*[f"__k{n}" for n in names])
-        inside = (F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi"))
+        rows = beside(src, checked_broadcast(brackets), groups)
         # one row per value of a bracket, and one (null) for all rows below it
-        counts = (rows.where(F.col("__x") <= F.col("hi")).groupBy(*names, "place", "lo", "hi", F.when(inside, F.col("__x")).alias("v"))
-                  .agg(F.count(F.lit(1)).alias("n")))
+        counts = rows.where(F.col("__x") <= F.col("hi")).groupBy(*names, "place", F.when(inside, F.col("__x")).alias("v")).agg(F.count(F.lit(1)).alias("n"))
         counts = cut_lineage(counts)
         size = counts.groupBy(*names).agg(F.count("v").alias("m")).agg(F.max("m")).first()[0] or 0
         if size <= most:
             break
-        inner = rows.where(inside).join(counts.where(F.col("v").isNull()).select(*[F.col(n).alias(f"__k{n}") for n in names], F.col("n").alias("below")), same, "left")
-        inner = inner.drop(*[f"__k{n}" for n in names]).withColumn("below", F.coalesce("below", F.lit(0)))
-        inner = inner.groupBy(*names, "place", "below").agg(F.count(F.lit(1)).alias("m"), F.percentile_approx("__x", [i / accuracy for i in range(accuracy + 1)], accuracy).alias("q"))
+        inner = beside(rows.where(inside), counts.where(F.col("v").isNull()).select(*names, F.col("n").alias("below")), names, "left")
+        inner = inner.withColumn("below", F.coalesce("below", F.lit(0))).groupBy(*names, "place", "below").agg(
+            F.count(F.lit(1)).alias("m"), F.percentile_approx("__x", [i / accuracy for i in range(accuracy + 1)], accuracy).alias("q"))
         a = F.floor((F.floor("place") - F.col("below")) / F.col("m") * accuracy).cast("int") - 1
         b = F.ceil((F.ceil("place") + 1 - F.col("below")) / F.col("m") * accuracy).cast("int") + 3
         narrowed = inner.select(*names, "place", F.element_at("q", F.greatest(a, F.lit(1))).alias("lo"), F.element_at("q", F.least(b, F.lit(accuracy + 1))).alias("hi"))
         empty = brackets.where(F.col("lo").isNull()).select(*names, "place", "lo", "hi")
         before, brackets = brackets, cut_lineage(narrowed.unionByName(empty))
-        if brackets.exceptAll(before).isEmpty():  # as narrow as the sketch can make it
+        if brackets.exceptAll(before.select(*brackets.columns)).isEmpty():  # as narrow as the sketch can make it
             break
     upto = F.sum("n").over(Window.partitionBy(*names).orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
     ranked = counts.withColumn("upto", upto).where(F.col("v").isNotNull())
@@ -168,5 +171,12 @@ def group_quantile(df: DataFrame, keys, value: str, p: float = 0.5, out: str = "
         F.min(F.when(F.col("upto") > F.floor("place"), F.col("v"))).alias("a"), F.min(F.when(F.col("upto") > F.ceil("place"), F.col("v"))).alias("b"))
     low, high = F.floor("place"), F.ceil("place")
     at = F.when((low == high) | (F.col("a") == F.col("b")), F.col("a")).otherwise((high - F.col("place")) * F.col("a") + (F.col("place") - low) * F.col("b"))
-    none = brackets.where(F.col("lo").isNull()).select(*names, F.lit(None).cast("double").alias(out))
-    return found.select(*names, at.alias(out)).unionByName(none).withColumnsRenamed(dict(zip(names, keys, strict=True)))
+    none = brackets.where(F.col("lo").isNull()).select(*names, F.lit(None).cast("double").alias("at"))
+    both = found.select(*names, at.alias("at")).unionByName(none)
+    wide = both.groupBy(*groups).agg(*[F.max(F.when(F.col("__p") == i, F.col("at"))).alias(o) for i, o in enumerate(probs)])
+    return wide.withColumnsRenamed(dict(zip(groups, keys, strict=True)))
+
+
+def group_quantile(df: DataFrame, keys, value: str, p: float = 0.5, out: str = "quantile", accuracy: int = ACCURACY, most: int = MOST) -> DataFrame:
+    """One quantile per group, see :func:`group_quantiles`."""
+    return group_quantiles(df, keys, value, {out: p}, accuracy, most)

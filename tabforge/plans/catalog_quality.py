@@ -14,6 +14,7 @@ from tabforge.operators import lookup as J
 from tabforge.operators import quality as D
 from tabforge.operators import split as G
 from tabforge.operators import tokens as T
+from tabforge.operators.quantiles import group_quantile
 from tabforge.plans.catalog_scalars import LIST_ITEMS_SQL, PRICE_DIGITS_SQL, with_listings
 from tabforge.sources.fixtures import listings, table
 
@@ -182,7 +183,7 @@ O["lookup_join"] = with_listings(
 
 def q_lookup_join_composite(spark, sf):
     df = _priced(spark, sf)
-    med = (df.groupBy("neighbourhood_cleansed", "room_type").agg(F.median("price").alias("price_median")))
+    med = group_quantile(df, ["neighbourhood_cleansed", "room_type"], "price", 0.5, "price_median")
     return J.lookup_join(df, med.dropna(), ["neighbourhood_cleansed", "room_type"]).select(
         "id", "neighbourhood_cleansed", "room_type", "price_median")
 
@@ -436,7 +437,7 @@ O["union_labels"] = with_split(
 def q_concat_columns(spark, sf):
     df = _priced(spark, sf)
     modes = I.mode_by_group(df, "room_type", "bedrooms", "bedrooms_mode")
-    meds = df.groupBy("room_type").agg(F.median("price").alias("price_median"))
+    meds = group_quantile(df, ["room_type"], "price", 0.5, "price_median")
     return T.concat_columns(modes, meds, "room_type")
 
 

@@ -22,7 +22,8 @@ from tabforge.operators import impute as I
 from tabforge.operators import quality as D
 from tabforge.operators import split as G
 from tabforge.operators import tokens as TK
-from tabforge.session import stored
+from tabforge.operators.quantiles import quantiles
+from tabforge.session import cut_lineage, stored
 
 TARGET = "occupancy_level"
 DATE_COLS = ("last_scraped", "host_since", "first_review", "last_review")
@@ -39,11 +40,16 @@ class CleanFit:
     vocabulary: list
     fill: dict
     feature_order: list = field(default_factory=list)
+    modes: list = field(default_factory=list)          # I.ModeFit per imputed column, in order
+    inputs: list = field(default_factory=list)         # (name, type) of the raw columns
 
 
-def clean_rows(df: DataFrame) -> DataFrame:
-    """Row-local cleaning (no fitted statistics): dates, booleans, neighbourhood, reviews, bathrooms, tenure."""
-    if "id" in df.columns:
+def clean_rows(df: DataFrame, dedup: bool = True) -> DataFrame:
+    """Row-local cleaning (no fitted statistics): dates, booleans, neighbourhood, reviews, bathrooms, tenure.
+
+    ``dedup`` keeps one row per id first; requests, which may repeat an id, are cleaned without it.
+    """
+    if dedup and "id" in df.columns:
         others = [c for c in df.columns if c != "id"]
         df = D.dedup_first(df, "id", others)
     df = P.drop_columns(df, [c for c in P.DROP_COLS if c != "id"] + list(P.HIGH_NULL_COLS))
@@ -110,13 +116,21 @@ def fit(train: DataFrame, top_k: int = 20) -> CleanFit:
         tmp = I.price_impute(train, price, "price_clean", "neighbourhood_cleansed", "room_type")
         acc = "accommodates" if "accommodates" in tmp.columns else None
         ppp = S.price_per_person("price_imputed", acc) if acc else F.col("price_imputed")
-        ppp_med = tmp.agg(F.median(ppp).alias("m")).first()["m"]
+        ppp_med = quantiles(tmp.select(ppp.alias("ppp")), ["ppp"], [0.5])["ppp"][0]
     vocab = []
     if "amenities" in train.columns:
         vocab = TK.fit_vocabulary(train.withColumn("__items", LS.parse_list_text("amenities")), "__items", top_k)
     return CleanFit(price=price, ppp_median=ppp_med, vocabulary=vocab, fill={})
 
 
+def apply_modes(df: DataFrame, f: CleanFit) -> DataFrame:
+    """The fitted mode imputations, where the table has their columns."""
+    for m in f.modes:
+        if m.target in df.columns and m.ref in df.columns:
+            df = I.apply_mode_impute(df, m)
+    return df
+
+
 def apply(df: DataFrame, f: CleanFit) -> DataFrame:
     """Price imputation, price per person, amenities, target, leakage strip (fitted parts from ``f``)."""
     if f.price is not None:
@@ -138,11 +152,13 @@ def run(raw: DataFrame, fit_modes_on: str = "train", test_fraction: float = 0.2)
     df = stored(split(clean_rows(raw), test_fraction), "cleaned", "split")
     train = df.filter(F.col("split") == "train")
     mode_fit = df if fit_modes_on == "all" else train
-    for target in ("bedrooms", "beds"):
-        if target in df.columns and "room_type" in df.columns:
-            df = I.mode_impute_by(df, target, "room_type", fit_df=mode_fit)
+    modes = [I.fit_mode_impute(mode_fit, target, "room_type") for target in ("bedrooms", "beds") if target in df.columns and "room_type" in df.columns]
+    for m in modes:
+        m.modes = cut_lineage(m.modes)   # a row per room type
+        df = I.apply_mode_impute(df, m)
     train = df.filter(F.col("split") == "train")
     f = fit(train)
+    f.modes, f.inputs = modes, raw.dtypes
     out = stored(apply(df, f), "applied", "split")
     train_o = out.filter(F.col("split") == "train")
     f.fill = I.fit_remaining(train_o, exclude=("id", "split", TARGET, "host_id"))

@@ -19,9 +19,11 @@ def get_spark(app: str = "tabforge", cores: str | int | None = None,
     """A tuned session.  A master that is already configured (spark-submit, a running
     session) is kept; only without one does the session run as ``local[cores]``."""
     builder = SparkSession.builder
+    local = False
     submitted = "PYSPARK_GATEWAY_PORT" in os.environ or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
     if SparkSession.getActiveSession() is None and not submitted:
         builder = builder.master(f"local[{cores or os.environ.get('BENCH_CPUS') or '*'}]")
+        local = True
     builder = (
         builder.appName(app)
         .config("spark.ui.enabled", "false")
@@ -30,10 +32,12 @@ def get_spark(app: str = "tabforge", cores: str | int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "20g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
     )
+    if local:   # a cluster's own memory and shuffle settings are kept
+        builder = builder.config("spark.driver.memory", "20g").config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
+    elif shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
