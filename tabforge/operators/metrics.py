@@ -85,6 +85,20 @@ def summary_metrics(pred: DataFrame, label: str = "label", prediction: str = "pr
     return row_part.withColumn("__k", F.lit(1)).join(cls_part.withColumn("__k", F.lit(1)), "__k").drop("__k")
 
 
+def metrics_of_counts(counts: DataFrame, by, classes=()) -> DataFrame:
+    """Per group ``by``: rows, balanced accuracy and macro F1 from ``label, pred, n`` counts of all pairs of classes,
+    and ``f1_<class>`` for the ``classes`` named."""
+    n = F.col("n")
+    seen = counts.select(*by, F.col("label").alias("cls"), n.alias("support"), F.lit(0).cast("long").alias("predicted"),
+                         F.when(F.col("label") == F.col("pred"), n).otherwise(0).alias("tp"))
+    told = counts.select(*by, F.col("pred").alias("cls"), F.lit(0).cast("long").alias("support"), n.alias("predicted"), F.lit(0).cast("long").alias("tp"))
+    per = seen.unionByName(told).groupBy(*by, "cls").agg(F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted"), F.sum("support").alias("support"))
+    f1 = F.coalesce(F.try_divide(2 * F.col("tp"), F.col("predicted") + F.col("support")), F.lit(0.0))
+    per = per.select(*by, "cls", "support", f1.alias("f1"), F.try_divide("tp", "support").alias("recall"))
+    return per.groupBy(*by).agg(F.sum("support").alias("rows"), F.avg("recall").alias("bal_acc"), F.avg("f1").alias("f1_macro"),
+                                *[F.max(F.when(F.col("cls") == c, F.col("f1"))).alias(f"f1_{c}") for c in classes])
+
+
 def ordinal_mae(pred: DataFrame, label: str = "label", prediction: str = "pred", ordered=ORDERED) -> DataFrame:
     """Mean absolute difference of ordinal class ranks."""
     rank = F.create_map(*[v for i, c in enumerate(ordered) for v in (F.lit(c), F.lit(i))])
@@ -234,6 +248,12 @@ def apply_threshold(pred: DataFrame, threshold: float, margin: float, base: str
     return pred.withColumn(out, F.when(close, F.lit(mid)).when(is_high, F.lit(hi)).otherwise(F.col(base)))
 
 
+def run_metrics(pred: DataFrame, run_id: str, model_name: str) -> DataFrame:
+    """One runs-table row: accuracy, ordinal MAE, macro F1, balanced accuracy, macro OvR AUC."""
+    both = summary_metrics(pred).withColumn("__k", F.lit(1)).join(roc_auc_ovr(pred).withColumn("__k", F.lit(1)), "__k").drop("__k")
+    return both.select(F.lit(run_id).alias("run_id"), F.lit(model_name).alias("model_name"), "*")
+
+
 def model_comparison(runs: DataFrame, by: str = "bal_acc") -> DataFrame:
     """The metric table of all models sorted by ``by`` (descending)."""
     return runs.orderBy(F.col(by).desc(), "model_name")

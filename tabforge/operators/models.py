@@ -93,13 +93,6 @@ def standard_scale(df: DataFrame, cols, fit_df: DataFrame | None = None) -> Data
                            if row[f"s_{c}"]})
 
 
-def probabilities(pred: DataFrame, classes, prob_col: str = "probability", keep=()) -> DataFrame:
-    """Prediction table: kept columns, p_<class> per class (class order = label index) and argmax 'pred'."""
-    arr = vector_to_array(F.col(prob_col))
-    out = pred.select(*keep, *[arr[i].alias(f"p_{c}") for i, c in enumerate(classes)])
-    return out.withColumn("pred", argmax_class(list(classes)))
-
-
 def logreg(weight_col: str | None = None, max_iter: int = 500, reg: float = 0.0, tol: float = 1e-4):
     """K1: multinomial logistic regression (L-BFGS, stopping tolerance 1e-4)."""
     lr = LogisticRegression(featuresCol="features", labelCol=LABEL_IDX, family="multinomial", maxIter=max_iter,
@@ -125,12 +118,64 @@ def mlp(n_features: int, n_classes: int, hidden=(128, 64), max_iter: int = 400,
                                           layers=[n_features, *hidden, n_classes], maxIter=max_iter, seed=seed)
 
 
-def gbt_one_vs_rest(train: DataFrame, test: DataFrame, classes, keep=("row_id", "label"), max_depth: int = 3,
-                    max_iter: int = 100, step: float = 0.1, weight_col: str | None = None,
-                    validation_col: str | None = None, seed: int = 42) -> DataFrame:
-    """K3: one boosted-tree model per class (label == class), positive probabilities normalised to sum 1."""
-    probs = None
-    for i, c in enumerate(classes):
+@dataclass
+class Classifier:
+    """Fitted models and how their class probabilities combine.
+
+    ``plain``: one Spark ML model; ``ovr``: a binary model per class, positive probabilities
+    normalised to sum 1; ``vote``: the mean of other classifiers (soft voting).  All members are
+    applied in one pass over the table.
+    """
+    kind: str
+    members: list
+
+    def with_probabilities(self, df: DataFrame, out: str) -> DataFrame:
+        """``df`` with an array of class probabilities, in label order."""
+        cols, names = df.columns, []
+        for i, m in enumerate(self.members):
+            name = f"{out}_{i}"
+            if self.kind == "vote":
+                df = m.with_probabilities(df, name)
+            else:
+                df = m.transform(df).withColumn(name, vector_to_array("probability")).select(*cols, *names, name)
+            names.append(name)
+        if self.kind == "plain":
+            return df.withColumnRenamed(names[0], out)
+        if self.kind == "ovr":
+            total = sum((F.col(n)[1] for n in names), F.lit(0.0))
+            both = F.array(*[F.col(n)[1] / total for n in names])
+        else:
+            both = F.transform(names[0], lambda p, i: (p + sum((F.col(n)[i] for n in names[1:]), F.lit(0.0))) / len(names))
+        return df.withColumn(out, both).drop(*names)
+
+    def predict(self, df: DataFrame, classes, keep=("row_id", "label")) -> DataFrame:
+        """Predictions table: kept columns, ``p_<class>`` per class and the most probable class ``pred``."""
+        out = self.with_probabilities(df, "__p")
+        out = out.select(*keep, *[F.col("__p")[i].alias(f"p_{c}") for i, c in enumerate(classes)])
+        return out.withColumn("pred", argmax_class(list(classes)))
+
+    def save(self, spark, path: str) -> None:
+        from tabforge.operators.store import write_json
+        write_json(spark, {"kind": self.kind, "members": len(self.members)}, f"{path}/kind")
+        for i, m in enumerate(self.members):
+            if self.kind == "vote":
+                m.save(spark, f"{path}/{i}")
+            else:
+                PipelineModel([m]).write().save(f"{path}/{i}")
+
+    @classmethod
+    def load(cls, spark, path: str) -> "Classifier":
+        from tabforge.operators.store import read_json
+        meta = read_json(spark, f"{path}/kind")
+        load = (lambda p: cls.load(spark, p)) if meta["kind"] == "vote" else PipelineModel.load
+        return cls(meta["kind"], [load(f"{path}/{i}") for i in range(meta["members"])])
+
+
+def fit_gbt_one_vs_rest(train: DataFrame, n_classes: int, max_depth: int = 3, max_iter: int = 100, step: float = 0.1,
+                        weight_col: str | None = None, validation_col: str | None = None, seed: int = 42) -> Classifier:
+    """K3: one boosted-tree model per class (label == class)."""
+    members = []
+    for i in range(n_classes):
         tr = train.withColumn("__y", (F.col(LABEL_IDX) == i).cast("double"))
         g = GBTClassifier(featuresCol="features", labelCol="__y", maxDepth=max_depth, maxIter=max_iter, stepSize=step,
                           seed=seed)
@@ -139,12 +184,8 @@ def gbt_one_vs_rest(train: DataFrame, test: DataFrame, classes, keep=("row_id",
         if validation_col:
             g = g.setValidationIndicatorCol(validation_col)
             g.set(g.validationTol, 0.01)
-        m = g.fit(tr)
-        p = m.transform(test).select(*keep, vector_to_array("probability")[1].alias(f"__p_{c}"))
-        probs = p if probs is None else probs.join(p.select(keep[0], f"__p_{c}"), keep[0])
-    total = sum((F.col(f"__p_{c}") for c in classes), F.lit(0.0))
-    out = probs.select(*keep, *[(F.col(f"__p_{c}") / total).alias(f"p_{c}") for c in classes])
-    return out.withColumn("pred", argmax_class(list(classes)))
+        members.append(g.fit(tr))
+    return Classifier("ovr", members)
 
 
 def pca_variance(train: DataFrame, features: str = "features", k: int | None = None):

@@ -9,7 +9,9 @@ from pyspark.sql.window import Window
 
 from tabforge.operators import metrics as M
 from tabforge.operators import ranking as W
+from tabforge.operators.store import Registry, Runs
 from tabforge.plans.catalog_scalars import with_listings
+from tabforge.session import scratch_path
 from tabforge.sources.fixtures import SCORE_PARAMS_B, listings, predictions, predictions_sql
 
 Q = {}
@@ -178,21 +180,12 @@ O["grid_cross"] = with_pred(
                                         for m in MARGINS) + ") g(t, m)) GROUP BY t, m, p")
 
 
-def _runs(spark, sf):
+def _run_predictions(spark, sf):
     base = predictions(spark, sf)
     ens = M.soft_vote([base, predictions(spark, sf, SCORE_PARAMS_B)]).join(base.select("row_id", "label"), "row_id")
     best = M.best_threshold(M.threshold_grid_scores(base, THRESHOLDS, MARGINS)).first()
     tuned = M.apply_threshold(base, best["threshold"], best["margin"])
-    rows = []
-    for name, p in (("base", base), ("ensemble", ens), ("base_high_tuned", tuned)):
-        s = M.summary_metrics(p).withColumn("__k", F.lit(1))
-        a = M.roc_auc_ovr(p).withColumn("__k", F.lit(1))
-        rows.append(s.join(a, "__k").drop("__k").select(F.lit(f"run-{name}").alias("run_id"),
-                                                         F.lit(name).alias("model_name"), "*"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return _r(out, ["accuracy", "mae", "f1_macro", "bal_acc", "roc_auc_ovr"])
+    return [(f"run-{name}", name, pred) for name, pred in (("base", base), ("ensemble", ens), ("base_high_tuned", tuned))]
 
 
 def _runs_sql():
@@ -232,8 +225,23 @@ def _thr_body():
             " FROM pr, (VALUES " + grid + ") g(t, m)) GROUP BY t, m)")
 
 
+_RUN_ROOTS: dict = {}
+
+
+def _stored_runs(spark, sf):
+    """The runs of a session and folder: evaluated and stored once, then read from the stored table."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUN_ROOTS:
+        root = scratch_path(spark, "runs")
+        runs = Runs(spark, root)
+        for run_id, name, pred in _run_predictions(spark, sf):
+            runs.evaluate(run_id, name, pred)
+        _RUN_ROOTS[key] = root
+    return _r(Runs(spark, _RUN_ROOTS[key]).table(), ["accuracy", "mae", "f1_macro", "bal_acc", "roc_auc_ovr"])
+
+
 def q_model_comparison(spark, sf):
-    return M.model_comparison(_runs(spark, sf))
+    return M.model_comparison(_stored_runs(spark, sf))
 
 
 _parts, _ctes = _runs_sql()
@@ -242,24 +250,20 @@ O["model_comparison"] = with_pred(RUNS_SQL_BODY, *_ctes)
 
 
 def q_select_best(spark, sf):
-    return M.select_best(_runs(spark, sf), "mae")
+    return M.select_best(_stored_runs(spark, sf), "mae")
 
 
 O["select_best"] = with_pred(f"SELECT * FROM ({RUNS_SQL_BODY}) ORDER BY mae, model_name LIMIT 1", *_ctes)
 
 
-def _registry(spark, sf):
-    runs = _runs(spark, sf)
-    return runs.select(F.lit("occupancy-classifier").alias("name"),
-                       F.row_number().over(Window
-                                           .orderBy("model_name")).cast("int").alias("version"),
-                       F.lit("Archived").alias("stage"), "run_id",
-                       F.concat(F.lit("runs/"), F.col("run_id"), F.lit("/model")).alias("path"))
-
-
 def q_promote_best(spark, sf):
-    runs = _runs(spark, sf)
-    return M.promote_best(_registry(spark, sf), M.select_best(runs, "mae"), "occupancy-classifier")
+    """K12 on a stored registry: every run is a version, the newest of them in Production until the best run replaces it."""
+    runs = _stored_runs(spark, sf)
+    registry = Registry(spark, scratch_path(spark, "registry"))
+    for r in runs.select("run_id").orderBy("model_name").collect():   # a handful of runs
+        registry.promote("occupancy-classifier", runs.where(F.col("run_id") == r["run_id"]))
+    registry.promote("occupancy-classifier", M.select_best(runs, "mae"))
+    return registry.table()
 
 
 REG_SQL = ("reg AS (SELECT 'occupancy-classifier' AS name, CAST(row_number() OVER (ORDER BY model_name) AS INTEGER)"

@@ -16,12 +16,15 @@ from tabforge.operators import models as K
 from tabforge.operators import ranking as W
 from tabforge.operators import split as G
 from tabforge.operators import tokens as TK
+from tabforge.operators.store import Registry, Runs
 from tabforge.plans import cleaning, training
+from tabforge.plans.bundle import Bundle
 from tabforge.plans.catalog_quality import LEVEL_SQL, LISTING_COLS, SPLIT_CTES
 from tabforge.plans.catalog_scalars import LIST_ITEMS_SQL, PRICE_DIGITS_SQL, with_listings
 from tabforge.session import scratch_path
 from tabforge.sources import io as IO
 from tabforge.sources.fixtures import listings
+from tabforge.streaming.score import Served, explode_requests, read_request_lines, score_batch, score_stream
 
 Q = {}
 O = {}
@@ -188,35 +191,45 @@ def q_encode_features(spark, sf):
 
 
 def q_write_features(spark, sf):
+    """The bundle written, loaded again, and the test split encoded by the loaded one."""
     p = training.prepare(spark, sf)
-    base = scratch_path(spark, "features")
-    p.train.write.mode("overwrite").parquet(f"{base}/train")
-    p.test.write.mode("overwrite").parquet(f"{base}/test")
-    p.enc.model.write().overwrite().save(f"{base}/encoder")
-    from pyspark.ml import PipelineModel
-    again = PipelineModel.load(f"{base}/encoder")
-    n_stages = len(again.stages)
-    return spark.read.parquet(f"{base}/test").select("row_id", "label", F.lit(n_stages).alias("encoder_stages"))
+    path = Bundle(p.fit, p.enc, K.Classifier("vote", [])).save(spark, scratch_path(spark, "features"))
+    again = Bundle.load(spark, path)
+    from pyspark.ml.functions import vector_to_array
+    loaded = again.enc.transform(p.clean_test).select(F.col("id").alias("row_id"), F.col("features").alias("loaded"))
+    return p.test.join(loaded, "row_id").select(
+        "row_id", "label", K.LABEL_IDX, (vector_to_array("features") == vector_to_array("loaded")).alias("same_features"))
+
+
+O["write_features"] = with_listings(
+    f"SELECT id AS row_id, level AS label, CAST(CASE level WHEN 'high' THEN 0 WHEN 'low' THEN 1 WHEN 'mid' THEN 2 WHEN 'zero' THEN 3 END AS DOUBLE)"
+    f" AS label_idx, true AS same_features FROM (SELECT id, {LEVEL_SQL.format(x='estimated_occupancy_l365d')} AS level FROM split WHERE split = 'test')",
+    *SPLIT_CTES)
+
+
+def _probable(spark, sf, fit):
+    p = training.prepare(spark, sf)
+    return _r(fit(p).predict(p.test, p.enc.classes, training.KEEP), [f"p_{c}" for c in M.CLASSES])
 
 
 def q_logreg(spark, sf):
-    return _r(training.predict_logreg(training.prepare(spark, sf)), [f"p_{c}" for c in M.CLASSES])
+    return _probable(spark, sf, training.fit_logreg)
 
 
 def q_random_forest(spark, sf):
-    return _r(training.predict_random_forest(training.prepare(spark, sf)), [f"p_{c}" for c in M.CLASSES])
+    return _probable(spark, sf, training.fit_random_forest)
 
 
 def q_gbt(spark, sf):
-    return _r(training.predict_gbt(training.prepare(spark, sf)), [f"p_{c}" for c in M.CLASSES])
+    return _probable(spark, sf, training.fit_gbt)
 
 
 def q_mlp(spark, sf):
-    return _r(training.predict_mlp(training.prepare(spark, sf)), [f"p_{c}" for c in M.CLASSES])
+    return _probable(spark, sf, training.fit_mlp)
 
 
 def q_pca_logreg(spark, sf):
-    return _r(training.predict_pca_logreg(training.prepare(spark, sf)), [f"p_{c}" for c in M.CLASSES])
+    return _probable(spark, sf, training.fit_pca_logreg)
 
 
 def q_pca_variance(spark, sf):
@@ -260,8 +273,8 @@ def q_weight_search(spark, sf):
 
 def q_cross_validate(spark, sf):
     p = training.prepare(spark, sf)
-    return training.cross_validate(p, {"logreg": lambda: K.logreg("weight"),
-                                       "random_forest": lambda: K.random_forest("weight", 300)})
+    return training.cross_validate(p, {"logreg": lambda rows: training.fit_logreg(p, rows), "random_forest": lambda rows: training.fit_random_forest(p, rows),
+                                       "gbt": lambda rows: training.fit_gbt(p, rows), "mlp": lambda rows: training.fit_mlp(p, rows)})
 
 
 def q_mice_impute(spark, sf):
@@ -279,29 +292,59 @@ def q_mice_impute(spark, sf):
     return tr.unionByName(te).select("id", "split", *cols, F.lit(rounds).alias("rounds"))
 
 
-def _served(spark, sf):
-    p = training.prepare(spark, sf)
-    model = K.logreg("weight").fit(p.train)
-    return p, model
+def _trained(spark, sf):
+    """A registry with a trained model in Production, and requests that carry every training input of the test split."""
+    raw = cleaning.null_tokens_to_null(listings(spark, sf))
+    p = training.prepare(spark, sf, raw)
+    root = scratch_path(spark, "models")
+    training.train_job(spark, p, root, {"logreg": training.fit_logreg})
+    path = IO.requests_from(raw.join(p.test.select(F.col("row_id").alias("id")), "id", "left_semi"), scratch_path(spark, "req"),
+                            inputs=p.fit.inputs, complete=True)
+    return p, Served(spark, root, training.MODEL_NAME), path
 
 
 def q_score_batch(spark, sf):
-    from tabforge.streaming.score import explode_requests, read_request_lines, score_batch
-    p, model = _served(spark, sf)
-    path = IO.requests_from(p.clean_test.select("id").join(listings(spark, sf), "id"), scratch_path(spark, "req"))
-    rows = explode_requests(read_request_lines(spark, path))
-    return score_batch(rows, p.fit, p.enc, model)
+    _, served, path = _trained(spark, sf)
+    inputs = served.current()[1].fit.inputs
+    return score_batch(explode_requests(read_request_lines(spark, path, inputs), inputs), served.current()[1])
 
 
 def q_score_stream(spark, sf):
-    from tabforge.streaming.score import score_stream
-    p, model = _served(spark, sf)
-    src = IO.requests_from(p.clean_test.select("id").join(listings(spark, sf), "id"), scratch_path(spark, "req"))
+    _, served, path = _trained(spark, sf)
     out, ck = scratch_path(spark, "scored"), scratch_path(spark, "stream-ckpt")
-    score_stream(spark, src, out, ck, p.fit, p.enc, model)
+    score_stream(spark, path, out, ck, served)
     return spark.read.parquet(out)
 
 
+def q_serving_parity(spark, sf):
+    """M1, M2, M3: every row of the test split, served in batch and as a stream by the reloaded bundle, has the class of the test split."""
+    p, served, path = _trained(spark, sf)
+    inputs = served.current()[1].fit.inputs
+    here = training.fit_logreg(p).predict(p.test, p.enc.classes).select(F.col("row_id").cast("string").alias("id"), F.col("pred").alias("split_class"))
+    batch = score_batch(explode_requests(read_request_lines(spark, path, inputs), inputs), served.current()[1])
+    out, ck = scratch_path(spark, "scored"), scratch_path(spark, "stream-ckpt")
+    score_stream(spark, path, out, ck, served)
+    stream = spark.read.parquet(out).select("id", F.col("pred_label").alias("stream_class"), "model_version")
+    both = here.join(batch.select("id", F.col("pred_label").alias("batch_class"), "defaulted"), "id", "full").join(stream, "id", "full")
+    return both.select(F.col("id").cast("long").alias("id"), (F.col("batch_class") == F.col("split_class")).alias("batch_same"),
+                       (F.col("stream_class") == F.col("split_class")).alias("stream_same"), F.size("defaulted").alias("n_defaulted"), "model_version")
+
+
+O["serving_parity"] = with_listings(
+    "SELECT id, true AS batch_same, true AS stream_same, 0 AS n_defaulted, 1 AS model_version FROM split WHERE split = 'test'", *SPLIT_CTES)
+
+
+def q_train_job(spark, sf):
+    """Two training jobs one after the other; the registry with the runs behind its versions."""
+    p = training.prepare(spark, sf)
+    root = scratch_path(spark, "models")
+    training.train_job(spark, p, root, {"logreg": training.fit_logreg})
+    training.train_job(spark, p, root, {"logreg": training.fit_logreg, "random_forest": lambda x: training.fit_random_forest(x, num_trees=50, max_depth=6),
+                                        "pca_logreg": training.fit_pca_logreg})
+    runs = M.model_comparison(Runs(spark, root).table())
+    return runs.join(Registry(spark, root).table(), "run_id", "left").select(*runs.columns, "version", "stage")
+
+
 for _name, _fn in list(globals().items()):
     if _name.startswith("q_") and callable(_fn):
         Q[_name[2:]] = _fn

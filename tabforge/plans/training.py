@@ -6,7 +6,9 @@ reused by every model; each fit is a distributed Spark ML job.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from tabforge.operators import metrics as M
 from tabforge.operators import models as K
 from tabforge.operators import quality as D
 from tabforge.plans import cleaning
-from tabforge.session import cut_lineage
+from tabforge.session import cut_lineage, stored
 from tabforge.sources.fixtures import listings
 
 TARGET = cleaning.TARGET
@@ -54,100 +56,119 @@ def prepare(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> P
 KEEP = ("row_id", "label")
 
 
-def predict_logreg(p: Prepared, weighted: bool = True) -> DataFrame:
-    m = K.logreg("weight" if weighted else None).fit(p.train)
-    return K.probabilities(m.transform(p.test), p.enc.classes, keep=KEEP)
+def fit_logreg(p: Prepared, train: DataFrame | None = None, weight: str = "weight") -> K.Classifier:
+    return K.Classifier("plain", [K.logreg(weight).fit(p.train if train is None else train)])
 
 
-def predict_random_forest(p: Prepared, num_trees: int = 300) -> DataFrame:
-    m = K.random_forest("weight", num_trees).fit(p.train)
-    return K.probabilities(m.transform(p.test), p.enc.classes, keep=KEEP)
+def fit_random_forest(p: Prepared, train: DataFrame | None = None, num_trees: int = 300, max_depth: int = 10) -> K.Classifier:
+    return K.Classifier("plain", [K.random_forest("weight", num_trees, max_depth=max_depth).fit(p.train if train is None else train)])
 
 
-def predict_gbt(p: Prepared, max_iter: int = 100) -> DataFrame:
+def fit_gbt(p: Prepared, train: DataFrame | None = None, max_iter: int = 100) -> K.Classifier:
+    """Boosted trees with boosts for high and mid, stopped early on a tenth of the rows."""
     from tabforge.operators.split import validation_flag
-    tr = E.with_class_weight(p.train.drop("weight"), "label")
+    tr = E.with_class_weight((p.train if train is None else train).drop("weight"), "label")
     tr = validation_flag(tr, "row_id", 0.1).withColumn("is_validation", F.col("is_validation") == 1)
-    return K.gbt_one_vs_rest(tr, p.test, p.enc.classes, keep=KEEP, max_iter=max_iter, weight_col="weight",
-                             validation_col="is_validation")
+    return K.fit_gbt_one_vs_rest(tr, len(p.enc.classes), max_iter=max_iter, weight_col="weight", validation_col="is_validation")
 
 
-def predict_mlp(p: Prepared) -> DataFrame:
-    m = K.mlp(p.n_features, len(p.enc.classes)).fit(p.train)
-    return K.probabilities(m.transform(p.test), p.enc.classes, keep=KEEP)
+def fit_mlp(p: Prepared, train: DataFrame | None = None, max_iter: int = 400) -> K.Classifier:
+    return K.Classifier("plain", [K.mlp(p.n_features, len(p.enc.classes), max_iter=max_iter).fit(p.train if train is None else train)])
 
 
-def predict_pca_logreg(p: Prepared, share: float = 0.95) -> DataFrame:
-    from pyspark.ml.feature import PCA
-    _, ratios = K.pca_variance(p.train)
-    k = K.components_for(ratios, share)
-    pca = PCA(k=k, inputCol="features", outputCol="__pca").fit(p.train)
-    tr = pca.transform(p.train).drop("features").withColumnRenamed("__pca", "features")
-    te = pca.transform(p.test).drop("features").withColumnRenamed("__pca", "features")
-    m = K.logreg("weight").fit(tr)
-    return K.probabilities(m.transform(te), p.enc.classes, keep=KEEP)
+def fit_pca_logreg(p: Prepared, share: float = 0.95) -> K.Classifier:
+    """Logistic regression on the principal components that explain ``share`` of the variance, from one PCA."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorSlicer
+    pca, ratios = K.pca_variance(p.train)
+    first = VectorSlicer(inputCol="__pca", outputCol="__pca_k", indices=list(range(K.components_for(ratios, share))))
+    reduced = first.transform(pca.transform(p.train))
+    model = K.logreg("weight").setFeaturesCol("__pca_k").fit(reduced)
+    return K.Classifier("plain", [PipelineModel([pca, first, model])])
 
 
 def evaluate(name: str, pred: DataFrame) -> DataFrame:
     """One runs-table row: accuracy, macro F1, balanced accuracy, ordinal MAE, macro OvR AUC."""
-    s = M.summary_metrics(pred).withColumn("__k", F.lit(1))
-    a = M.roc_auc_ovr(pred).withColumn("__k", F.lit(1))
-    return s.join(a, "__k").drop("__k").select(F.lit(f"run-{name}").alias("run_id"), F.lit(name).alias("model_name"),
-                                               "*")
+    return M.run_metrics(pred, f"run-{name}", name)
 
 
-def fold_metrics(p: Prepared, make_estimator, k: int = 5) -> DataFrame:
-    """K8: per fold balanced accuracy and macro F1 (stratified folds on the training split)."""
+MODEL_NAME = "occupancy-classifier"
+
+
+def train_job(spark: SparkSession, p: Prepared, root: str, fits: dict, vote: bool = True) -> int:
+    """The training job: fit every model, store its run with its bundle, promote the best run; returns the new version.
+
+    ``fits`` maps a model name to a function from the prepared tables to a classifier; with ``vote``
+    their soft vote is a model too.  A run's id is the model's name and a number that is still free.
+    """
+    from tabforge.operators.store import Registry, Runs
+    from tabforge.plans.bundle import Bundle
+    runs = Runs(spark, root)
+    made: dict[str, K.Classifier] = {name: fit(p) for name, fit in fits.items()}
+    if vote and len(made) > 1:
+        made["ensemble"] = K.Classifier("vote", list(made.values()))
+    done = []
+    for name, clf in made.items():
+        taken = set(runs.ids())
+        run_id = next(i for i in (f"{name}-{n}" for n in itertools.count(1)) if i not in taken)
+        bundle = Bundle(p.fit, p.enc, clf)
+        done.append(runs.evaluate(run_id, name, clf.predict(p.test, p.enc.classes, KEEP), lambda folder, b=bundle: b.write(spark, folder)))
+    best = M.select_best(runs.table().where(F.col("run_id").isin(done)), "mae")
+    return Registry(spark, root).promote(MODEL_NAME, best)
+
+
+def fold_counts(p: Prepared, fits: dict, k: int = 5, parallel: int = 4, seed_table: DataFrame | None = None) -> DataFrame:
+    """``model_name, fold, label, pred, n``: confusion counts of every model on every left-out fold.
+
+    The folds are written once; each fit reads its rows from there.  A fold's counts (a row per pair
+    of classes) are taken as soon as its model is fitted, so no plan carries more than one model.
+    Up to ``parallel`` fits run side by side: one fit alone leaves most of a cluster idle.
+    """
+    from pyspark.util import inheritable_thread_target
     from tabforge.operators.split import stratified_folds
-    folded = cut_lineage(stratified_folds(p.train, "label", "row_id", k))
-    rows = []
-    for f in range(k):
-        fit_part = folded.filter(F.col("fold") != f)
-        val = folded.filter(F.col("fold") == f)
-        m = make_estimator().fit(fit_part)
-        pred = K.probabilities(m.transform(val), p.enc.classes, keep=KEEP)
-        rows.append(M.summary_metrics(pred).select(F.lit(f).alias("fold"), "bal_acc", "f1_macro"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
-
-
-def cross_validate(p: Prepared, models: dict, k: int = 5) -> DataFrame:
-    """K8: mean and population sd of balanced accuracy and macro F1 over ``k`` folds, per model."""
-    parts = []
-    for name, make in models.items():
-        fm = fold_metrics(p, make, k)
-        parts.append(fm.agg(F.lit(name).alias("model_name"), F.avg("bal_acc").alias("bal_acc_mean"),
-                            F.stddev_pop("bal_acc").alias("bal_acc_sd"), F.avg("f1_macro").alias("f1_mean"),
-                            F.stddev_pop("f1_macro").alias("f1_sd")))
-    out = parts[0]
-    for q in parts[1:]:
-        out = out.unionByName(q)
-    return out
-
-
-def weight_search(p: Prepared, high_factors=(1.6, 1.8, 2.0), mid_factors=(1.0, 1.1, 1.2), k: int = 5, make=None) -> DataFrame:
-    """K7: for each (high, mid) boost, mean over folds of F1(high) + F1(mid); best first.
-
-    ``make`` returns the estimator searched (weights in column ``w2``); multinomial logistic
+    spark = p.train.sparkSession
+    folded = stored(stratified_folds(seed_table if seed_table is not None else p.train, "label", "row_id", k), "folds")
+
+    def one(task):
+        name, fit, fold = task
+        clf = fit(folded.filter(F.col("fold") != fold))
+        pred = clf.predict(folded.filter(F.col("fold") == fold), p.enc.classes, KEEP)
+        return [(name, fold, r["label"], r["pred"], r["n"]) for r in M.confusion_matrix(pred).collect()]   # classes squared
+
+    tasks = [(name, fit, f) for name, fit in fits.items() for f in range(k)]
+    with ThreadPool(parallel) as pool:
+        rows = [r for part in pool.map(inheritable_thread_target(spark)(one), tasks, chunksize=1) for r in part]
+    return spark.createDataFrame(rows, "model_name string, fold int, label string, pred string, n long")
+
+
+def cross_validate(p: Prepared, fits: dict, k: int = 5) -> DataFrame:
+    """K8: per model mean and population sd of balanced accuracy and macro F1 over ``k`` folds, and the rows they cover.
+
+    ``fits`` maps a model name to a function from training rows to a classifier.
+    """
+    counts = fold_counts(p, fits, k)
+    per = M.metrics_of_counts(counts, ["model_name", "fold"])
+    return per.groupBy("model_name").agg(
+        F.avg("bal_acc").alias("bal_acc_mean"), F.stddev_pop("bal_acc").alias("bal_acc_sd"), F.avg("f1_macro").alias("f1_mean"),
+        F.stddev_pop("f1_macro").alias("f1_sd"), F.count(F.lit(1)).alias("folds"), F.sum("rows").alias("rows"))
+
+
+def weight_search(p: Prepared, high_factors=(1.6, 1.8, 2.0), mid_factors=(1.0, 1.1, 1.2), k: int = 5, fit=None) -> DataFrame:
+    """K7: for each (high, mid) boost, means over folds of F1(high), F1(mid) and balanced accuracy; best first.
+
+    ``fit`` maps training rows with weights in column ``w2`` to a classifier; multinomial logistic
     regression by default, as Spark's boosted trees are binary and would need a model per class.
     """
-    from tabforge.operators.split import stratified_folds
-    folded = cut_lineage(stratified_folds(p.train, "label", "row_id", k))
-    make = make or (lambda: K.logreg("w2"))
-    rows = []
-    for hf in high_factors:
-        for mf in mid_factors:
-            wdf = cut_lineage(E.with_class_weight(folded.drop("weight"), "label", {"high": hf, "mid": mf}, out="w2"))
-            for f in range(k):
-                m = make().fit(wdf.filter(F.col("fold") != f))
-                pred = K.probabilities(m.transform(wdf.filter(F.col("fold") == f)), p.enc.classes, keep=KEEP)
-                rep = M.classification_report(pred).filter(F.col("cls").isin("high", "mid"))
-                rows.append(rep.agg(F.sum("f1").alias("objective")).select(
-                    F.lit(hf).alias("high_factor"), F.lit(mf).alias("mid_factor"), F.lit(f).alias("fold"), "objective"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return (out.groupBy("high_factor", "mid_factor").agg(F.avg("objective").alias("objective"))
-            .orderBy(F.col("objective").desc(), "high_factor", "mid_factor"))
+    fit = fit or (lambda rows: fit_logreg(p, rows, "w2"))
+    grid = {f"{hf}|{mf}": (hf, mf) for hf in high_factors for mf in mid_factors}
+    weights = p.train.drop("weight")
+    for i, (hf, mf) in enumerate(grid.values()):
+        weights = E.with_class_weight(weights, "label", {"high": hf, "mid": mf}, out=f"w{i}_boost")
+    fits = {g: (lambda rows, i=i: fit(rows.withColumn("w2", F.col(f"w{i}_boost")))) for i, g in enumerate(grid)}
+    counts = fold_counts(p, fits, k, seed_table=weights)
+    per = M.metrics_of_counts(counts, ["model_name", "fold"], classes=("high", "mid"))
+    part = F.split("model_name", "\\|")
+    out = per.groupBy(part[0].cast("double").alias("high_factor"), part[1].cast("double").alias("mid_factor")).agg(
+        F.avg(F.col("f1_high") + F.col("f1_mid")).alias("objective"), F.avg("f1_high").alias("f1_high"), F.avg("f1_mid").alias("f1_mid"),
+        F.avg("bal_acc").alias("bal_acc"), F.sum("rows").alias("rows"))
+    return out.orderBy(F.col("objective").desc(), F.col("f1_high").desc(), F.col("bal_acc").desc(), "high_factor", "mid_factor")

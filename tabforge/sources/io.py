@@ -63,9 +63,12 @@ def read_listings(spark: SparkSession, path: str, types: dict | None = None, mul
     return raw.select(*cols)
 
 
-def request_schema() -> T.StructType:
-    item = T.StructType([T.StructField("id", T.StringType(), True),
-                         *(T.StructField(n, T._parse_datatype_string(t), True) for n, t, _ in REQUEST_FIELDS)])
+def request_schema(inputs=()) -> T.StructType:
+    """Schema of request files: the request fields, and training ``inputs`` (name, type) beyond them; numbers and text as they come in JSON."""
+    own = {n: t for n, t, _ in REQUEST_FIELDS}
+    extra = {n: "string" if t in ("date", "timestamp") else t for n, t in inputs if n not in own and n not in ("id", "complete")}
+    item = T.StructType([T.StructField("id", T.StringType(), True), T.StructField("complete", T.BooleanType(), True),
+                         *(T.StructField(n, T._parse_datatype_string(t), True) for n, t in (own | extra).items())])
     return T.StructType([T.StructField("data", T.ArrayType(item), True)])
 
 
@@ -80,11 +83,11 @@ def read_requests(spark: SparkSession, path: str, id_col: str | None = "request_
     return rows.select(*keys, *out)
 
 
-def requests_from(df: DataFrame, path: str, key: str = "id") -> str:
-    """Write one JSON request line per row of ``df`` (fields the table lacks are left out -> defaults)."""
-    have = [n for n, _, _ in REQUEST_FIELDS if n in df.columns]
-    item = F.struct(F.col(key).cast("string").alias("id"), *[F.col(n).cast(t).alias(n) for n, t, _ in REQUEST_FIELDS if n in have])
-    df.select(F.col(key).cast("string").alias("key"),
-              F.to_json(F.struct(F.array(item).alias("data"))).alias("value")
-              ).select("value").write.mode("overwrite").text(path)
+def requests_from(df: DataFrame, path: str, key: str = "id", inputs=(), complete: bool = False) -> str:
+    """Write one JSON request line per row of ``df``: request fields and ``inputs`` it has; ``complete`` marks the rest as missing."""
+    item = request_schema(inputs)["data"].dataType.elementType
+    have = [f for f in item.fields if f.name in df.columns and f.name not in ("id", "complete")]
+    record = F.struct(F.col(key).cast("string").alias("id"), *([F.lit(True).alias("complete")] if complete else []),
+                      *[F.col(f.name).cast(f.dataType).alias(f.name) for f in have])
+    df.select(F.to_json(F.struct(F.array(record).alias("data"))).alias("value")).write.mode("overwrite").text(path)
     return path

@@ -1,12 +1,16 @@
 """End-to-end invariants of the cleaning job, training and scoring (sf0.001)."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from tabforge.operators import models as K
+from tabforge.operators import metrics as M
+from tabforge.operators.store import CONFUSION_FIELDS, RUN_FIELDS, Conflict, Registry, Runs, names
 from tabforge.plans import cleaning, training
+from tabforge.plans.bundle import Bundle
 from tabforge.session import scratch_path
 from tabforge.sources import io as IO
 from tabforge.sources.fixtures import listings
+from tabforge.streaming.score import Served, explode_requests, read_request_lines, score_batch, score_stream
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,18 +28,86 @@ def test_cleaning_job_invariants(spark):
     assert sum(c.startswith("amenity_") for c in train.columns) == 20
 
 
-def test_train_serve_parity(spark):
-    from tabforge.streaming.score import explode_requests, read_request_lines, score_batch, score_stream
+def test_probabilities_sum_to_one_and_beat_chance(spark):
     p = training.prepare(spark, SF)
-    model = K.logreg("weight").fit(p.train)
-    pred = K.probabilities(model.transform(p.test), p.enc.classes, keep=("row_id", "label"))
+    pred = training.fit_logreg(p).predict(p.test, p.enc.classes).cache()
     sums = pred.select((F.col("p_high") + F.col("p_low") + F.col("p_mid") + F.col("p_zero")).alias("s"))
     assert sums.agg(F.max(F.abs(F.col("s") - 1))).first()[0] < 1e-9
-    req = IO.requests_from(p.clean_test.select("id").join(listings(spark, SF), "id"), scratch_path(spark, "req"))
-    batch = score_batch(explode_requests(read_request_lines(spark, req)), p.fit, p.enc, model)
+    # the fit weights classes evenly, so chance is a quarter of every class
+    assert M.summary_metrics(pred).first()["bal_acc"] > 0.25 and pred.count() == p.clean_test.count()
+
+
+def trained(spark):
+    raw = cleaning.null_tokens_to_null(listings(spark, SF))
+    p = training.prepare(spark, SF, raw)
+    root = scratch_path(spark, "models")
+    assert training.train_job(spark, p, root, {"logreg": training.fit_logreg}) == 1
+    return raw, p, root
+
+
+def test_served_class_is_the_class_of_the_test_split(spark):
+    raw, p, root = trained(spark)
+    served = Served(spark, root, training.MODEL_NAME)
+    version, bundle = served.current()
+    assert version == 1 and served.current()[1] is bundle
+    held = raw.join(p.test.select(F.col("row_id").alias("id")), "id", "left_semi")
+    want = {str(r.row_id): r.pred for r in training.fit_logreg(p).predict(p.test, p.enc.classes).collect()}
+    inputs = bundle.fit.inputs
+    full = IO.requests_from(held, scratch_path(spark, "req"), inputs=inputs, complete=True)
+    rows = score_batch(explode_requests(read_request_lines(spark, full, inputs), inputs), bundle).collect()
+    assert {r.id: r.pred_label for r in rows} == want and all(r.defaulted == [] for r in rows)
+    # an incomplete request takes defaults and says which
+    part = IO.requests_from(held.select("id", "room_type", "price"), scratch_path(spark, "req"), inputs=inputs)
+    rows = score_batch(explode_requests(read_request_lines(spark, part, inputs), inputs, "2002-01-01"), bundle).collect()
+    assert len(rows) == len(want) and all("accommodates" in r.defaulted and "room_type" not in r.defaulted for r in rows)
+
+
+def test_promotion_between_two_micro_batches(spark):
+    raw, p, root = trained(spark)
+    inputs = p.fit.inputs
+    src = scratch_path(spark, "req")
+    IO.requests_from(raw.limit(60).repartition(3), src, inputs=inputs, complete=True)
     out, ck = scratch_path(spark, "scored"), scratch_path(spark, "ckpt")
-    score_stream(spark, req, out, ck, p.fit, p.enc, model)
-    stream = spark.read.parquet(out)
-    assert batch.count() == stream.count() == p.clean_test.count()
-    dist = lambda d: sorted((r[0], r[1]) for r in d.groupBy("pred_label").count().collect())
-    assert dist(batch) == dist(stream)
+    other = Runs(spark, root)
+    majority = training.fit_random_forest(p, num_trees=1, max_depth=0)
+    other.evaluate("stump-1", "stump", majority.predict(p.test, p.enc.classes), lambda f: Bundle(p.fit, p.enc, majority).write(spark, f))
+
+    def promote(epoch):
+        if epoch == 0:
+            assert Registry(spark, root).promote(training.MODEL_NAME, other.table().where("run_id = 'stump-1'")) == 2
+
+    score_stream(spark, src, out, ck, Served(spark, root, training.MODEL_NAME), files_per_batch=1, after_batch=promote)
+    got = spark.read.parquet(out)
+    by_version = {r["model_version"]: r["labels"] for r in got.groupBy("model_version").agg(F.countDistinct("p_high").alias("labels")).collect()}
+    assert set(by_version) == {1, 2} and by_version[2] == 1 and got.count() == 60
+    registry = {r["version"]: r["stage"] for r in Registry(spark, root).table().collect()}
+    assert registry == {1: "Archived", 2: "Production"}
+    score_stream(spark, src, out, ck, Served(spark, root, training.MODEL_NAME))   # nothing new: no row twice
+    assert spark.read.parquet(out).count() == 60
+
+
+def test_lost_races_fail_cleanly(spark):
+    root = scratch_path(spark, "models")
+    registry, runs = Registry(spark, root), Runs(spark, root)
+    assert registry.table().count() == 0 and registry.production("m") is None and runs.table().count() == 0
+    assert registry.register("m", "a", "runs/a/model", "Production", after=0) == 1
+    before = sorted(names(spark, registry.root))
+    with pytest.raises(Conflict):
+        registry.register("m", "b", "runs/b/model", after=0)   # somebody read before that change
+    assert sorted(names(spark, registry.root)) == before and registry.production("m")["run_id"] == "a"
+    best = spark.createDataFrame([("c", "model")], "run_id string, model_name string")
+    assert registry.promote("m", best) == 2
+    assert {r["version"]: (r["stage"], r["run_id"]) for r in registry.table().collect()} == {1: ("Archived", "a"), 2: ("Production", "c")}
+    row = spark.createDataFrame([("a", "x", 0.5, 1.0, 0.4, 0.4, 0.6)], RUN_FIELDS)
+    counts = spark.createDataFrame([("high", "low", 3)], CONFUSION_FIELDS)
+    assert runs.append(row, counts) == "a"
+    with pytest.raises(Conflict):
+        runs.append(row, counts)
+    assert runs.table().count() == 1 and runs.confusion("a").first()["n"] == 3
+
+
+def test_cross_validation_covers_every_row_once(spark):
+    p = training.prepare(spark, SF)
+    got = training.cross_validate(p, {"logreg": lambda rows: training.fit_logreg(p, rows), "forest": lambda rows: training.fit_random_forest(p, rows, 5, 3)}, k=3).collect()
+    assert {r.model_name for r in got} == {"logreg", "forest"} and all(r.rows == p.train.count() and r.folds == 3 for r in got)
+    assert all(0.25 <= r.bal_acc_mean <= 1 and 0 <= r.f1_mean <= 1 for r in got)
