@@ -14,9 +14,9 @@ from functools import cache
 import numpy as np
 
 #: Pieces kept per process; further ones are encoded again each time.  A bound on memory, not on the text.
-KEPT = 800_000
+KEPT = 400_000
 #: Characters of text cut into pieces at a time.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 22
 
 
 class ByteBpe:
@@ -49,46 +49,35 @@ class ByteBpe:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [None if self._whole(t) else t.split(" ") for t in texts]
-        spaced = self._pieces({c for parts in cut if parts for c in parts[1:]})
+        spaced, passing = self._pieces({c for parts in cut if parts for c in parts[1:]})
         out = []
         for text, parts in zip(texts, cut, strict=True):
             if parts is None:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
             else:
                 out.append(self._first(parts[0]) + b"".join(map(spaced.__getitem__, parts[1:])))
+        for chunk in passing:
+            del spaced[chunk]
         return out
 
     def _first(self, chunk: str) -> bytes:
         """Ids of a text's first chunk, which has no space before it."""
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _pieces(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of each chunk with a space before it; holds ``chunks`` and those kept.
+    def _pieces(self, chunks: set[str]) -> tuple[dict[str, bytes], list[str]]:
+        """Ids of each chunk with a space before it: a dict that holds ``chunks`` and those kept, and what is not to be kept.
 
         New chunks are encoded as one text: each starts with its space, and no other piece does.
         """
         new = list(chunks.difference(self._spaced))
         if not new:
-            return self._spaced
+            return self._spaced, []
         ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, "<u4")
         starts = (np.flatnonzero(self._starts[ids]) * 4).tolist()
         raw = ids.tobytes()
-        found = dict(zip(new, map(raw.__getitem__, map(slice, starts, [*starts[1:], len(raw)])), strict=True))
-        if len(self._spaced) + len(found) <= KEPT:
-            self._spaced.update(found)
-            return self._spaced
-        return _Both(found, self._spaced)
-
-
-class _Both(dict):
-    """A dict that falls back on another."""
-
-    def __init__(self, own: dict, other: dict):
-        super().__init__(own)
-        self._other = other
-
-    def __missing__(self, key):
-        return self._other[key]
+        room = KEPT - len(self._spaced)
+        self._spaced.update(zip(new, map(raw.__getitem__, map(slice, starts, [*starts[1:], len(raw)])), strict=True))
+        return self._spaced, new[max(0, room) :]
 
 
 def _byte_letters() -> list[str]:
