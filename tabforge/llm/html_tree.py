@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 from tabforge.llm.common import table, text_batches
 
 # Elements whose text is never page text, and inline elements, which do not break a block.
-DROPPED = {"script", "style", "noscript", "template", "title", "textarea", "select", "option", "button", "svg", "math", "iframe", "object", "canvas", "head"}
+DROPPED = {"script", "style", "noscript", "template", "title", "textarea", "select", "option", "button", "svg", "annotation", "iframe", "canvas", "head"}
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg")
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr "
+             "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle semantics".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: An open element of the key is ended by the start of any of these.
 ENDS = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
@@ -39,9 +40,12 @@ DROPPED_ENDS = {**ENDS, "tr": {"tr", *ROWS}, "td": {"td", "th", "tr", *ROWS}, "t
 #: What may lie in a head; any other start tag ends it.
 IN_HEAD = {"html", "head", "base", "basefont", "bgsound", "link", "meta", "title", "script", "style", "noscript", "noframes", "template"}
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+MAY_HIDE = re.compile(r"hidden|display", re.I)
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+LABEL = re.compile(r"\bdata-y=[\"']?([01])")
 MARK = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
@@ -72,11 +76,12 @@ class Page:
 
     __slots__ = ("parent", "kind", "features", "runs", "label")
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, labelled: bool = False):
+        """``labelled``: a training page, whose elements carry their labels in ``data-y``."""
         self.parent, self.kind, self.features = [-1], [KINDS.index("body")], [(INDEX["tag:body"],)]
         self.runs: dict[int, str] = {}   # text of each leaf, in page order
         self.label: list[int | None] = [None]
-        self._read(source)
+        self._read(source, labelled)
 
     def _node(self, parent: int, kind: str, features: tuple, label: int | None) -> int:
         self.parent.append(parent)
@@ -85,7 +90,7 @@ class Page:
         self.label.append(label)
         return len(self.parent) - 1
 
-    def _read(self, source: str) -> None:
+    def _read(self, source: str, labelled: bool) -> None:
         stack: list[tuple[str, int]] = [("html", 0)]  # open block elements
         held: list[str] = []                          # text of the run being read
         linked, in_link = 0, 0
@@ -152,27 +157,37 @@ class Page:
                 elif not m.group(3).rstrip().endswith("/"):
                     dropped.append(name)
             elif name == "body":
-                if "data-y=" in m.group(3):
-                    self.label[0] = int(m.group(3)[m.group(3).index("data-y=") + 7])
+                if labelled and (y := LABEL.search(m.group(3))):
+                    self.label[0] = int(y.group(1))
             elif not dropped and name != "html":
                 flush()
                 in_link = 0
                 while len(stack) > 1 and stack[-1][0] in ENDS and (ENDS[stack[-1][0]] is None or name in ENDS[stack[-1][0]]):
                     stack.pop()
                 attributes = m.group(3)
-                if HIDDEN.search(attributes):
+                if MAY_HIDE.search(attributes) and _hidden(attributes):
                     if not attributes.rstrip().endswith("/"):
                         dropped.append(name)
                     continue
                 kind, top = KIND.get(name, "other"), stack[-1][1]
                 marks = {GROUP_OF[w] for v in MARKS.findall(attributes) for w in MARK.findall(v.lower()) if w in GROUP_OF} if "=" in attributes else ()
-                label = int(attributes[attributes.index("data-y=") + 7]) if "data-y=" in attributes else self.label[top]
+                y = LABEL.search(attributes) if labelled else None
+                label = int(y.group(1)) if y else self.label[top]
                 stack.append((name, self._node(top, kind, (INDEX[f"tag:{kind}"], *(INDEX[f"mark:{g}"] for g in marks)), label)))
             elif dropped and name != "html" and not m.group(3).rstrip().endswith("/"):
                 dropped.append(name)
         flush()
 
 
+def _hidden(attributes: str) -> bool:
+    """Whether an element is hidden by its attributes: the words inside other attributes' values do not count."""
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), a or b or c
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and NO_DISPLAY.search(value):
+            return True
+    return False
+
+
 def _ends(opened: str, name: str) -> bool:
     """Whether the start tag ``name`` ends an open element of a dropped part."""
     if DROPPED_ENDS[opened] is None:
@@ -285,7 +300,7 @@ def labelled_pages(count: int = 120, seed: int = 7) -> list[str]:
 
 @cache
 def model() -> tuple[list[float], list[float]]:
-    return fit([Page(s) for s in labelled_pages()])
+    return fit([Page(s, labelled=True) for s in labelled_pages()])
 
 
 def blocks(source: str | None, unary: list[float], coupling: list[float], least: float = 0.5) -> list[str]:

@@ -23,12 +23,15 @@ SYMBOLS = "#*$%&|<>"
 # Line rules.
 MIN_SYMBOLS, WORDS_PER_SYMBOL = 3, 10      # at least 3 symbols and more than one per 10 words
 MIN_SEPARATORS, WORDS_PER_ITEM = 3, 4      # a navigation bar: at least 3 separators, at most 4 words for each
-UNPUNCTUATED_WORDS = 10                    # so many words without a sentence end are no prose
+UNPUNCTUATED_WORDS = 25                    # so many words without a sentence end are no prose; a wrapped line of prose has fewer
 BOILERPLATE_CHARS = 200                    # boilerplate phrases count in lines up to this long
 SEPARATORS = "|>»•·"
-SENTENCE_END = "[.!?:;…。！？]"
-BOILERPLATE = ("all rights reserved", "licensed under", "released under the", "terms of use", "terms of service", "privacy policy", "cookie",
-               "enable javascript", "sign in", "log in", "click here", "read more", "subscribe", "share this", "lorem ipsum")
+SENTENCE_END = "[.!?:;…。！？।॥۔؟]"
+BOILERPLATE = ("all rights reserved", "licensed under", "released under the", "terms of use", "terms of service", "privacy policy", "cookie policy", "cookie settings",
+               "accept cookies", "accept all cookies", "use cookies", "uses cookies",
+               "enable javascript", "sign in", "log in", "click here", "read more", "subscribe to", "subscribe now", "share this", "lorem ipsum")
+# A phrase counts as whole words only.
+PHRASE = rf"(?:^|[^\p{{L}}\p{{N}}])(?:{'|'.join(BOILERPLATE)})(?:$|[^\p{{L}}\p{{N}}])"
 # A document that loses more than this share of its characters (of lines with words) is rejected.
 MAX_LOST = (1, 2)
 
@@ -81,7 +84,7 @@ def _line_fails(line: Column, marks: Column) -> Column:
     """``marks``: whether the text has symbols or separators enough for any line to fail by them."""
     words = F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+"))
     symbols, separators = _count_of(line, SYMBOLS), _count_of(line, SEPARATORS)
-    phrase = _let(F.lower(line), lambda x: reduce(or_, (F.contains(x, F.lit(p)) for p in BOILERPLATE)))
+    phrase = _let(F.lower(line), lambda x: reduce(or_, (F.contains(x, F.lit(p)) for p in BOILERPLATE)) & x.rlike(PHRASE))
     return (
         (marks & (((symbols >= MIN_SYMBOLS) & (symbols * WORDS_PER_SYMBOL > words))
                   | ((separators >= MIN_SEPARATORS) & (words <= separators * WORDS_PER_ITEM))))
@@ -142,7 +145,7 @@ f AS (SELECT rid, sum(length(x)) AS whole,
              sum(CASE WHEN (symbols >= {MIN_SYMBOLS} AND symbols * {WORDS_PER_SYMBOL} > words)
                         OR (separators >= {MIN_SEPARATORS} AND words <= separators * {WORDS_PER_ITEM})
                         OR (words >= {UNPUNCTUATED_WORDS} AND NOT regexp_matches(x, '{SENTENCE_END}'))
-                        OR (length(x) <= {BOILERPLATE_CHARS} AND regexp_matches(lower(x), '{"|".join(BOILERPLATE)}'))
+                        OR (length(x) <= {BOILERPLATE_CHARS} AND regexp_matches(lower(x), '{PHRASE}'))
                       THEN length(x) ELSE 0 END) AS lost
       FROM lines GROUP BY rid),
 c AS (SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n_words,

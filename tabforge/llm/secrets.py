@@ -21,14 +21,18 @@ from pyspark.sql import functions as F
 from tabforge.llm.common import table, written
 
 # Key formats, names that secrets are assigned to, and long mixed tokens (Java regular expressions).
-KNOWN = (
+KEYS = (
     r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}|\bxox[abprs]-[A-Za-z0-9-]{10,}|\bsk-[A-Za-z0-9_-]{20,}|\bAIza[0-9A-Za-z_-]{35}"
-    r"|\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z ]{0,20}PRIVATE KEY-----"
+    r"|\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
+)
+KNOWN = (
+    rf"{KEYS}|-----BEGIN [A-Z ]{{0,20}}PRIVATE KEY-----[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z ]{{0,20}}PRIVATE KEY-----"
 )
 NAMES = "password|passwd|pwd|secret[_-]?key|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credential|private[_-]?key"
 # After the name a part such as _PROD or _2, a quote and the sign; any NAME_KEY counts, from its last part on.
 SIGN = r"(?:[_-][A-Za-z0-9_-]*+|[0-9]++)?+[\"']?\s{0,3}[:=]\s{0,3}"
-VALUE = r"(?:\"[^\"\n]{6,}+\"|'[^'\n]{6,}+'|[^\s\"'<>,;]{6,}+)"
+# A quoted value with a key among other words is no candidate itself: the key in it is.
+VALUE = rf"(?:\"(?![^\"\n]*\s[^\"\n]*(?:{KEYS})|[^\"\n]*(?:{KEYS})[^\"\n]*\s)[^\"\n]{{6,}}+\"|'(?![^'\n]*\s[^'\n]*(?:{KEYS})|[^'\n]*(?:{KEYS})[^'\n]*\s)[^'\n]{{6,}}+'|[^\s\"'<>,;]{{6,}}+)"
 ASSIGNED = rf"(?i:{NAMES}|(?<=[A-Za-z0-9][_-])key){SIGN}{VALUE}"
 PREFIX = rf"^(?i:{NAMES}|key){SIGN}"  # of a match by itself, without the text before it
 MIXED = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}={0,2}"

@@ -54,16 +54,17 @@ def fingerprint(text: str | None, shingle_words: int = 3) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` with the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle_words: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, fp)`` with the fingerprint as a signed long, and the long columns to ``carry``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fps = np.array([fingerprint(t, shingle_words) for t in b["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fp": fps})
+            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fp": fps, **{c: b[c] for c in carry}})
 
     text_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, fp long")
+    schema = ", ".join(["doc_id long, fp long", *(f"{c} long" for c in carry)])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry).mapInPandas(run, schema)
 
 
 def ring(max_distance: int) -> list[tuple[int, int]]:
@@ -170,13 +171,36 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_distance: int =
     other.  Repeated rows stay repeated rows.  A row without doc_id gets its group's smallest
     doc_id, null if the group has none.
     """
-    docs = written(fingerprints(docs, shingle_words), "simhash-docs")
+    found = _grouped(fingerprints(docs, shingle_words), max_distance)
+    return found.select("doc_id", "fp", "component_id")
+
+
+def _grouped(prints: DataFrame, max_distance: int) -> DataFrame:
+    """The rows with ``root``, one fingerprint that stands for the group, and ``component_id``."""
+    docs = written(prints, "simhash-docs")
     fps = written(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-fps")
     roots = components(links(fps.select("fp"), max_distance))
     named = fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     groups = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(groups, "root").select("fp", "component_id")
-    return docs.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = named.join(groups, "root").select("fp", "root", "component_id")
+    return docs.join(named, "fp")
+
+
+def deduplicated(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
+    """One row of every group of near copies, with all columns of ``docs`` (doc_id, text and any others).
+
+    The row with the smallest doc_id stays, of several rows with that doc_id in one group the one
+    with the smallest hash of its columns; rows with one doc_id in different groups do not touch
+    each other.  A row without doc_id comes after those with one.  Texts without words are one group.
+    """
+    own = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), "__tag": F.xxhash64(*docs.columns)})
+    found = _grouped(fingerprints(own.select(F.col("__id").alias("doc_id"), "text", "__tag"), shingle_words, ("__tag",)), max_distance)
+    least = found.groupBy("root").agg(F.min(F.struct("doc_id", "__tag")).alias("m"))
+    least = written(least.select(F.col("m.doc_id").alias("__id"), F.col("m.__tag").alias("__tag")), "simhash-least")
+    kept = own.join(least, ["__id", "__tag"], "left_semi")
+    if kept.select("__id", "__tag").groupBy("__id", "__tag").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return kept.select(*docs.columns)
+    return kept.dropDuplicates(["__id", "__tag"]).select(*docs.columns)   # repeated rows: any of them
 
 
 def query(spark, sf_dir: str) -> DataFrame:

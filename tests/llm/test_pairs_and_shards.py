@@ -173,3 +173,13 @@ def test_sharding_spreads_the_rest_beside_heavy_groups(spark, heavy):
     assert sizes[: len(apart)] == [19 * n for n in apart]
     fair = (sum(sizes) - sum(sizes[: len(apart)])) / (24 - len(apart))
     assert sizes[len(apart)] <= 1.2 * fair and sizes[-1] >= 0.7 * fair
+
+
+def test_deduplicated_keeps_every_group(spark):
+    one, two, three = ("alpha beta gamma delta " * 9).strip(), ("eins zwei drei vier " * 9).strip(), ("un deux trois quatre " * 9).strip()
+    rows = [(5, one, "x"), (5, two, "y"), (3, two, "z"), (5, one, "x"), (7, one, "w"), (None, three, "v"), (9, None, "u"), (8, "", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    got = simhash.deduplicated(df)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(5, one, "x"), (3, two, "z"), (None, three, "v"), (8, "", "t")], key=str)
+    assert simhash.deduplicated(df.limit(0)).count() == 0

@@ -2,12 +2,14 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import pytest
+import regex
 
 from tabforge.llm import bpe_tree, html_tree, idcoder, packing, quality, secrets, tokens, toxicity
 from tabforge.session import scratch_path
@@ -32,7 +34,7 @@ def brute_quality(text):
     lost = 0
     for x in lines:
         n, symbols, bars = len(re.findall(r"[^\x20\x09-\x0D]+", x)), sum(c in quality.SYMBOLS for c in x), sum(c in quality.SEPARATORS for c in x)
-        bad = symbols >= 3 and 10 * symbols > n or bars >= 3 and n <= 4 * bars or n >= 10 and not re.search(quality.SENTENCE_END, x) or len(x) <= 200 and any(p in x.lower() for p in quality.BOILERPLATE)
+        bad = symbols >= 3 and 10 * symbols > n or bars >= 3 and n <= 4 * bars or n >= 25 and not re.search(quality.SENTENCE_END, x) or len(x) <= 200 and bool(regex.search(quality.PHRASE, x.lower()))
         lost += len(x) * bad
     failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
     return (len(words), sum(map(len, words)), sum(c in quality.SYMBOLS for c in text), len(lines) - len(set(lines)), len(covered), failed, not failed and 2 * lost <= sum(map(len, lines)))
@@ -60,6 +62,20 @@ def test_quality_edges(spark, edge_docs):
     assert quality.judged(edge_docs.limit(0)).count() == 0
 
 
+def test_quality_spares_clean_lines(spark):
+    inside = ["The design in this chapter is simple.", "They assign in order of age.", "A blog in English is fine.", "The dialog in act two is short.", "Every cookie was baked twice."]
+    hindi = "यह एक लंबा वाक्य है जिसमें बहुत सारे शब्द हैं और यह बिना किसी और चिह्न के यहाँ तक चलता रहता है फिर समाप्त होता है।"
+    prose = " ".join(" ".join(f"word{(i * 18 + j) * 7919 % 997}" for j in range(18)) + "." for i in range(45))
+    wrapped = "\n".join(textwrap.wrap(prose, 70))
+    texts = ["\n".join(f"{x} Number {i}." for i in range(4) for x in inside), "\n".join(f"{hindi} {i}।" for i in range(6)), wrapped]
+    texts.append(wrapped + "\nPlease sign in.\nAll rights reserved\n")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(quality.judged(df).collect(), key=lambda r: r.doc_id)
+    assert [tuple(r[c] for c in QUALITY) for r in rows] == [brute_quality(r.text) for r in rows]
+    assert all(r.cleaned == r.text for r in rows[:3]) and rows[2].kept
+    assert rows[3].cleaned == wrapped + "\n"
+
+
 def test_quality_follows_the_labels(spark):
     d = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
@@ -221,7 +237,7 @@ def test_held_out_layouts():
     unary, coupling = html_tree.model()
     wrong = total = 0
     for source in html_tree.labelled_pages(80, seed=123):
-        page = html_tree.Page(source)
+        page = html_tree.Page(source, labelled=True)
         p, _ = html_tree.marginals(page, unary, coupling)
         total += len(page.runs)
         wrong += sum((p[i] >= 0.5) != bool(page.label[i]) for i in page.runs)
@@ -347,3 +363,25 @@ def test_secrets_under_any_name_and_encrypted_keys(spark):
     assert [(r.doc_id, r.found, r.value, r.is_secret) for r in secrets.scan(docs).orderBy("doc_id", "nth").collect()] == [(i, f, v, True) for i, (_, f, v) in enumerate(cases)]
     fine = ["sort_key=created_at", "foreign-key: customer_id", "https://example.org/?id=1234567890123456789012&utm=newsletter_2024_spring", "password-protected: documents", "public_key=placeholder"]
     assert not [r.found for r in secrets.scan(spark.createDataFrame([(1, t, "s") for t in fine], "doc_id long, text string, source string")).collect() if r.is_secret]
+
+
+@pytest.mark.parametrize("source, want", [
+    ('<body><div data-y="1"><p data-y=up>One.</p></div>', "One."),
+    ('<p title="the hidden truth of it">One.</p><p>Two.</p>', "One.|Two."),
+    ('<div class="md:block hidden lg:flex"><p>One.</p></div><p>Two.</p>', "One.|Two."),
+    ('<p data-state=hidden>One.</p><p data-x="display:none">Two.</p>', "One.|Two."),
+    ('<p hidden>One.</p><p style="color:red; display : none">Two.</p><p aria-hidden=true>Three.</p><p>Four.</p>', "Four."),
+    ("<p>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p>", "If x=1 holds."),
+    ("<object data=a.swf><p>Fallback.</p></object><p>Two.</p>", "Fallback.|Two."),
+    ("<!--><p>One.</p><!---><p>Two.</p><!-- no --!><p>Three.</p><!-- a > b --><p>Four.</p>", "One.|Two.|Three.|Four."),
+])
+def test_attributes_and_comments_lose_no_text(source, want):
+    assert "|".join(html_tree.Page(source).runs.values()) == want
+
+
+def test_a_key_among_words_is_a_candidate(spark):
+    key = "AKIA" + "Q7RT5UXW2ZB4CD6F"
+    texts = [f'token: "Use {key} for the test account, then rotate it"', f"token = '{key} is the one'", f'token: "{key}"', 'password = "correct horse battery staple"']
+    found = secrets.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ["doc_id"]).collect()
+    values = {r.doc_id: r.value for r in found}
+    assert values == {0: key, 1: key, 2: key, 3: "correct horse battery staple"} and len(found) == 4
