@@ -28,20 +28,8 @@ def drop_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage 3: of each group of near copies the document with the smallest doc_id stays.
-
-    Rows without doc_id stand behind the hash of their columns, below every doc_id, so one of a
-    group stays here too; of rows with one doc_id and one group one stays.
-    """
-    own = F.coalesce(F.col("doc_id").cast("long"), -1 - F.xxhash64("text", "lang", "source").bitwiseAND(F.lit((1 << 62) - 1)))
-    named = docs.withColumn("_id", own)
-    found = simhash.near_duplicates(named.select(F.col("_id").alias("doc_id"), "text"))
-    keep = found.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n"))
-    keep = written(keep, "near-dedup-keep")
-    kept = named.join(keep, "_id", "left_semi")
-    if not keep.where("n > 1").isEmpty():
-        kept = kept.dropDuplicates(["_id"])
-    return kept.select(*docs.columns)
+    """Stage 3: of each group of near copies the document with the smallest doc_id stays; see simhash.deduplicated."""
+    return simhash.deduplicated(docs)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
