@@ -14,9 +14,9 @@ from functools import cache
 import numpy as np
 
 #: Pieces kept per process; further ones are encoded again each time.  A bound on memory, not on the text.
-KEPT = 400_000
+KEPT = 800_000
 #: Characters of text cut into pieces at a time.
-AT_ONCE = 1 << 22
+AT_ONCE = 1 << 20
 
 
 class ByteBpe:
