@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tabforge.functions.nulls import MASK_TOKENS, is_missing
 from tabforge.functions.scalars import numeric_coerce
+from tabforge.operators.lookup import with_totals
 from tabforge.operators.ordered import average_rank
 from tabforge.operators.quantiles import group_quantile, group_quantiles
 from tabforge.session import stored
@@ -147,7 +150,7 @@ def target_correlations(df: DataFrame, target: str, cols, scale: float = 365.0)
 def feature_target_corr(df: DataFrame, target: str, num_cols, cat_cols, scale: float = 365.0) -> DataFrame:
     """Pearson of each numeric feature and each one-hot dummy (first level dropped) with target/scale.
 
-    Dummies never become columns: per (column, level) sums over the unpivoted
+    Dummies never become columns: per (column, level) means over the unpivoted
     table give the binary-vs-continuous correlation in closed form.
     Zero-variance and all-null features are left out.
     """
@@ -158,20 +161,17 @@ def feature_target_corr(df: DataFrame, target: str, num_cols, cat_cols, scale: f
         parts.append(wide.unpivot([], list(num_cols), "feature", "corr"))
     if cat_cols:
         base = df.filter(y.isNotNull()).select(y.alias("__y"), *cat_cols)
-        tot = base.agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("sy"),
-                       F.sum(F.col("__y") * F.col("__y")).alias("syy")).first()
+        tot = base.agg(F.count(F.lit(1)).alias("n"), F.avg("__y").alias("m"), F.stddev_pop("__y").alias("s")).first()
         long = base.select("__y", F.explode(F.array(*[
             F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("level")) for c in cat_cols])).alias("s")
         ).select("__y", "s.*").filter(F.col("level").isNotNull())
-        lv = long.groupBy("col", "level").agg(F.count(F.lit(1)).cast("double").alias("nd"), F.sum("__y").alias("sdy"))
+        lv = long.groupBy("col", "level").agg((F.count(F.lit(1)) / F.lit(float(tot["n"]))).alias("share"), F.avg("__y").alias("mean"))
         first = lv.groupBy("col").agg(F.min("level").alias("__first"))
-        lv = (lv.join(first, "col").filter(F.col("level") != F.col("__first"))
-              .withColumn("n", F.lit(float(tot["n"]))).withColumn("sy", F.lit(tot["sy"])).withColumn("syy", F.lit(tot["syy"])))
-        num = F.col("n") * F.col("sdy") - F.col("nd") * F.col("sy")
-        den = F.sqrt((F.col("n") * F.col("nd") - F.col("nd") * F.col("nd"))
-                     * (F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")))
+        lv = lv.join(first, "col").filter(F.col("level") != F.col("__first"))
+        # correlation with a 0/1 column from means and the deviation, which lose no digits however many rows there are
+        corr = (F.col("mean") - F.lit(tot["m"])) / F.lit(tot["s"]) * F.sqrt(F.col("share") / (1 - F.col("share")))
         parts.append(lv.select(F.concat_ws("_", "col", "level").alias("feature"),
-                               F.when(den > 0, num / den).alias("corr")))
+                               F.when((F.col("share") < 1) & F.lit((tot["s"] or 0) > 0), corr).alias("corr")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -181,32 +181,31 @@ def feature_target_corr(df: DataFrame, target: str, num_cols, cat_cols, scale: f
 def null_pair_table(df: DataFrame, cols=None) -> DataFrame:
     """Per column pair (a before b): rows n, nulls of a, nulls of b and nulls of both.
 
-    Rows are first reduced to their distinct null patterns (one grouped aggregate,
-    combined map-side); singles and co-null counts are then sums over that small
-    pattern table, so the cost after the scan does not grow with the row count.
+    Each row is reduced to its null bits; every task adds up the matrix of products of the bit
+    columns (a matrix product per batch), and the matrices, columns squared in size, are summed
+    by cell.  So the cost does not depend on which nulls come together.
     """
     spark = df.sparkSession
     cols = list(cols or df.columns)
     k = len(cols)
-    pat = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
-    pats = df.groupBy(pat.alias("pat")).agg(F.count(F.lit(1)).alias("cnt"))
-    ix = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.substr(F.col("pat"), i + 1, F.lit(1)) == "1")
-    nulls = pats.select("cnt", ix.alias("ix"))
-    pats = pats.persist()
-    n = pats.agg(F.sum("cnt")).first()[0] or 0        # one number from the (small) pattern table
-    singles = nulls.select("cnt", F.explode("ix").alias("i")).groupBy("i").agg(F.sum("cnt").alias("na"))
-    both = (nulls.select("cnt", "ix", F.explode("ix").alias("i"))
-            .select("cnt", "i", F.explode(F.filter("ix", lambda j: j > F.col("i"))).alias("j"))
-            .groupBy("i", "j").agg(F.sum("cnt").alias("nab")))
-    names = spark.createDataFrame([(i, a, j, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j],
-                                  "i int, col_a string, j int, col_b string")
-    sa = singles.select(F.col("i"), F.col("na"))
-    sb = singles.select(F.col("i").alias("j"), F.col("na").alias("nb"))
-    out = names.join(both, ["i", "j"], "left").join(sa, "i", "left").join(sb, "j", "left")
-    return out.select("col_a", "col_b", F.lit(n).cast("long").alias("n"),
-                      F.coalesce("na", F.lit(0)).cast("long").alias("na"),
-                      F.coalesce("nb", F.lit(0)).cast("long").alias("nb"),
-                      F.coalesce("nab", F.lit(0)).cast("long").alias("nab"))
+    bits = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
+
+    def products(batches):
+        total, n = np.zeros((k, k), np.int64), 0
+        for batch in batches:
+            raw = np.frombuffer("".join(batch.column(0).to_pylist()).encode(), np.uint8).reshape(-1, k)
+            for at in range(0, len(raw), 1 << 20):   # counts up to here are exact in single precision
+                part = (raw[at : at + (1 << 20)] == ord("1")).astype(np.float32)
+                total += (part.T @ part).astype(np.int64)
+            n += len(raw)
+        i, j = np.triu_indices(k)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(i, -1), pa.int32()), pa.array(np.append(j, -1), pa.int32()), pa.array(np.append(total[i, j], n), pa.int64())], ["i", "j", "n"])
+
+    cells = df.select(bits.alias("bits")).mapInArrow(products, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect()   # columns squared
+    count = {(r["i"], r["j"]): r["n"] for r in cells}
+    rows = [(a, b, count.get((-1, -1), 0), count.get((i, i), 0), count.get((j, j), 0), count.get((i, j), 0))
+            for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
+    return spark.createDataFrame(rows, "col_a string, col_b string, n long, na long, nb long, nab long")
 
 
 def null_correlation(df: DataFrame, cols=None) -> DataFrame:
@@ -240,23 +239,34 @@ def categorical_missing_effect(df: DataFrame, mask, cat_col: str) -> DataFrame:
     m = F.coalesce(mask, F.lit(False))
     lvl = F.coalesce(F.col(cat_col).cast("string"), F.lit("Missing"))
     c = df.groupBy(lvl.alias("level")).agg(F.count_if(m).alias("a"), F.count_if(~m).alias("b"))
-    w = _all()
-    d = c.select(F.abs(F.try_divide(F.col("a"), F.sum("a").over(w)) - F.try_divide(F.col("b"), F.sum("b").over(w)))
-                 .alias("d"),
-                 F.sum("a").over(w).alias("na"), F.sum("b").over(w).alias("nb"))
+    d = with_totals(c, na="a", nb="b").select(F.abs(F.try_divide("a", "na") - F.try_divide("b", "nb")).alias("d"), "na", "nb")
     return d.agg(F.when((F.max("na") > 0) & (F.max("nb") > 0), F.max("d")).alias("effect"))
 
 
-def missingness_mechanism(df: DataFrame, columns=None, tokens=MASK_TOKENS) -> DataFrame:
+def driver_levels(df: DataFrame, columns=None, max_levels: int | None = MECH_MAX_LEVELS) -> DataFrame:
+    """The text columns that may drive missingness, their distinct values and whether they are used (1..``max_levels``)."""
+    from pyspark.sql import types as T
+    cols = [c for c in (columns or df.columns) if isinstance(df.schema[c].dataType, (T.StringType, T.BooleanType))]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, levels long, used boolean")
+    # exact distinct counts of all text columns from one (column, value) aggregate; no Expand of
+    # several COUNT(DISTINCT) aggregates
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s")).select("s.*")
+    levels = pairs.distinct().groupBy("column_name").agg(F.count("v").alias("levels"))
+    used = (F.col("levels") >= 1) & (F.lit(True) if max_levels is None else F.col("levels") <= max_levels)
+    return levels.withColumn("used", used)
+
+
+def missingness_mechanism(df: DataFrame, columns=None, tokens=MASK_TOKENS, max_levels: int | None = MECH_MAX_LEVELS) -> DataFrame:
     """Classify each column with missing values as Estructural / MCAR / MAR / MNAR.
 
     Numeric drivers: columns whose numeric-coerced values parse for >= 50% of rows.
-    Categorical drivers: text columns with 1..30 distinct values (null -> 'Missing').
+    Categorical drivers: text columns with 1..``max_levels`` distinct values (null -> 'Missing');
+    None takes them all.  :func:`driver_levels` tells which columns that leaves out.
     All (column, driver) statistics come from two aggregates: one wide conditional
     aggregate for numeric drivers, one grouped aggregate over the unpivoted
     categorical drivers.  The best driver is the largest effect (ties: first driver).
     """
-    from pyspark.sql import types as T
     cols = list(columns or df.columns)
     masks = {c: is_missing(c, tokens) for c in cols}
     stats = df.agg(F.count(F.lit(1)).alias("__n"),
@@ -266,16 +276,8 @@ def missingness_mechanism(df: DataFrame, columns=None, tokens=MASK_TOKENS) -> Da
     n = stats["__n"]
     missing = {c: stats[f"__m_{i}"] for i, c in enumerate(cols)}
     num_drivers = [c for i, c in enumerate(cols) if (stats[f"__v_{i}"] or 0) >= MECH_MIN_VALID_FRAC]
-    text_types = (T.StringType, T.BooleanType)
-    text_cols = [c for c in cols if isinstance(df.schema[c].dataType, text_types)]
-    n_levels = {}
-    if text_cols:
-        # exact distinct counts of all text columns from one (column, value) aggregate; no Expand of
-        # several COUNT(DISTINCT) aggregates
-        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
-                                              for c in text_cols])).alias("s")).select("s.*").dropna()
-        n_levels = {r["c"]: r["k"] for r in pairs.distinct().groupBy("c").agg(F.count(F.lit(1)).alias("k")).collect()}
-    cat_drivers = [c for c in text_cols if 1 <= n_levels.get(c, 0) <= MECH_MAX_LEVELS]
+    used = {r["column_name"] for r in driver_levels(df, cols, max_levels).where("used").collect()}   # a row per column
+    cat_drivers = [c for c in cols if c in used]
     targets = [c for c in cols if missing[c] > 0]
     spark = df.sparkSession
     if not targets:
@@ -313,18 +315,12 @@ def missingness_mechanism(df: DataFrame, columns=None, tokens=MASK_TOKENS) -> Da
                                              for d in cat_drivers])).alias("s")).select(*mk, "s.driver", "s.level")
         g = long.groupBy("driver", "level").agg(F.count(F.lit(1)).alias("cnt"),
                                                 *[F.sum(mk[i]).alias(f"m_{i}") for i in range(len(targets))])
-        per = {}
-        for row in g.collect():  # bounded: drivers x levels <= drivers x 30
-            per.setdefault(row["driver"], []).append(row)
-        for j, d in enumerate(cat_drivers):
-            for i, t in enumerate(targets):
-                if t == d:
-                    continue
-                mt = missing[t]
-                if mt == 0 or mt == n:
-                    continue
-                best = max(abs(rw[f"m_{i}"] / mt - (rw["cnt"] - rw[f"m_{i}"]) / (n - mt)) for rw in per[d])
-                eff_rows.append((t, d, 1, j, float(best)))
+        partial = {i: missing[t] for i, t in enumerate(targets) if missing[t] < n}
+        gaps = [F.max(F.abs(F.col(f"m_{i}") / F.lit(mt) - (F.col("cnt") - F.col(f"m_{i}")) / F.lit(n - mt))).alias(f"e_{i}") for i, mt in partial.items()]
+        if gaps:
+            for row in g.groupBy("driver").agg(*gaps).collect():   # one row per categorical driver, however many levels
+                j = cat_drivers.index(row["driver"])
+                eff_rows += [(targets[i], row["driver"], 1, j, float(row[f"e_{i}"])) for i in partial if targets[i] != row["driver"]]
     return _classified(spark.createDataFrame([(t, int(missing[t])) for t in targets], "column_name string, missing long"),
                        spark.createDataFrame([(c, int(m)) for c, m in missing.items()], "driver string, driver_missing long"),
                        spark.createDataFrame(eff_rows, "column_name string, driver string, categorical int, place int, effect double"), n)
@@ -354,6 +350,11 @@ def mechanism_summary(mech: DataFrame) -> DataFrame:
     return c.withColumn("pct", F.col("columns") / F.sum("columns").over(_all()) * 100)
 
 
+def top_effects(mech: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` columns whose missingness depends most on another column."""
+    return mech.filter(F.col("effect_size").isNotNull()).orderBy(F.col("effect_size").desc(), "column_name").limit(k)
+
+
 def class_weights(df: DataFrame, label: str, boosts=CLASS_BOOSTS) -> DataFrame:
     """Balanced weight n / (k * n_c) times a per-class boost, per class."""
     c = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))

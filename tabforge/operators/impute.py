@@ -129,8 +129,8 @@ def mode_impute_chain(df: DataFrame, steps, fit_df: DataFrame | None = None) ->
         numeric_ref = isinstance(df.schema[ref].dataType, T.NumericType)
         fitting = fit_df
         if fit_df is not None:  # later steps refer to columns that earlier ones fill, in the fitting rows too
-            fit_df = mode_impute_by(fitting, target, ref, nearest=numeric_ref)
-        df = mode_impute_by(df, target, ref, fit_df=fitting, nearest=numeric_ref)
+            fit_df = cut_lineage(mode_impute_by(fitting, target, ref, nearest=numeric_ref))
+        df = cut_lineage(mode_impute_by(df, target, ref, fit_df=fitting, nearest=numeric_ref))   # a step reads the last one's rows, not its plan
     return df
 
 

@@ -30,6 +30,16 @@ def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> D
     return small
 
 
+def with_totals(df: DataFrame, **totals: str) -> DataFrame:
+    """``df`` with sums over all its rows (new column = column to sum).
+
+    The sums are one aggregate, joined back as a one-row table, so no task sees all rows; a window
+    over the whole table would send them to one.
+    """
+    sums = df.agg(*[F.sum(c).alias(o) for o, c in totals.items()]).withColumn("__one", F.lit(1))
+    return df.withColumn("__one", F.lit(1)).join(F.broadcast(sums), "__one").drop("__one")   # one row
+
+
 def lookup_join(df: DataFrame, lookup: DataFrame, keys, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Left outer equi-join on one or more keys; unmatched or null key -> null values."""
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -52,10 +62,8 @@ def freq_outer_align(df: DataFrame, cat_col: str, side_pred, normalize: bool = T
     counts = df.groupBy(cat_col).agg(F.count_if(side).alias("n_a"), F.count_if(~side).alias("n_b"))
     if not normalize:
         return counts
-    w = Window.partitionBy()
-    return counts.select(cat_col,
-                         F.coalesce(F.try_divide(F.col("n_a"), F.sum("n_a").over(w)), F.lit(0.0)).alias("freq_a"),
-                         F.coalesce(F.try_divide(F.col("n_b"), F.sum("n_b").over(w)), F.lit(0.0)).alias("freq_b"))
+    share = lambda n, total: F.coalesce(F.try_divide(F.col(n), F.col(total)), F.lit(0.0))
+    return with_totals(counts, __a="n_a", __b="n_b").select(cat_col, share("n_a", "__a").alias("freq_a"), share("n_b", "__b").alias("freq_b"))
 
 
 def nearest_key_join(df: DataFrame, ref_col: str, lookup: DataFrame, key_col: str, value_col: str,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.scalars import numeric_coerce
+from tabforge.operators.lookup import with_totals
 
 
 def numeric_coerce_report(df: DataFrame, cols, min_valid_frac: float = 0.5) -> DataFrame:
@@ -18,6 +19,5 @@ def numeric_coerce_report(df: DataFrame, cols, min_valid_frac: float = 0.5) -> D
 
 def value_shares(df: DataFrame, col: str) -> DataFrame:
     """Count and share of each value (``value_counts(normalize=True)``)."""
-    from pyspark.sql.window import Window
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    return with_totals(counts, __total="n").withColumn("share", F.col("n") / F.col("__total")).drop("__total")

@@ -209,6 +209,14 @@ def q_missingness_mechanism(spark, sf):
     return E.missingness_mechanism(listings(spark, sf))
 
 
+def q_driver_levels(spark, sf):
+    return E.driver_levels(listings(spark, sf))
+
+
+def q_mechanism_top_effects(spark, sf):
+    return E.top_effects(E.missingness_mechanism(listings(spark, sf)), 10)
+
+
 def q_mechanism_summary(spark, sf):
     return _r(E.mechanism_summary(E.missingness_mechanism(listings(spark, sf))), ["pct"])
 
@@ -332,6 +340,12 @@ def _mechanism_sql():
 
 _MECH = _mechanism_sql()
 O["missingness_mechanism"] = with_listings("SELECT * FROM mech", *_MECH)
+O["mechanism_top_effects"] = with_listings(
+    "SELECT * FROM mech WHERE effect_size IS NOT NULL ORDER BY effect_size DESC, column_name LIMIT 10", *_MECH)
+_TEXT = ["neighbourhood_cleansed", "neighbourhood", "host_neighbourhood", "room_type", "property_type", "price", "bathrooms_text", "host_is_superhost",
+         "instant_bookable", "host_response_time", "host_response_rate", "has_availability", "amenities"]
+O["driver_levels"] = with_listings(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS levels, count(DISTINCT {c}) BETWEEN 1 AND 30 AS used FROM listings" for c in _TEXT))
 O["mechanism_summary"] = with_listings(
     "SELECT category, count(*) AS columns, round(count(*) / sum(count(*)) OVER () * 100, 6) AS pct FROM mech"
     " GROUP BY category", *_MECH)

@@ -6,7 +6,11 @@ Sources and the cleaning job have DuckDB oracles; model fits are iterative
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.feature import PCA, StringIndexer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions import nulls as N
@@ -232,6 +236,30 @@ def q_pca_logreg(spark, sf):
     return _probable(spark, sf, training.fit_pca_logreg)
 
 
+#: Models of the probability check: any classifier goes through the same steps.
+_CHECKED = {"logreg": training.fit_logreg, "pca_logreg": training.fit_pca_logreg,
+            "random_forest": lambda p: training.fit_random_forest(p, num_trees=30, max_depth=5)}
+
+
+def q_probability_checks(spark, sf):
+    """K1, K2, K5, K6: every test row once per model, its label, probabilities in [0, 1] that sum to 1, and the most probable class chosen."""
+    p = training.prepare(spark, sf)
+    made = {name: fit(p) for name, fit in _CHECKED.items()}
+    made["ensemble"] = K.Classifier("vote", list(made.values()))
+    cols = [F.col(f"p_{c}") for c in p.enc.classes]
+    chosen = F.element_at(F.create_map(*[x for c in p.enc.classes for x in (F.lit(c), F.col(f"p_{c}"))]), F.col("pred"))
+    out = [clf.predict(p.test, p.enc.classes).select(
+        F.lit(name).alias("model_name"), "row_id", "label", (F.abs(sum(cols, F.lit(0.0)) - 1) < 1e-9).alias("sums_to_one"),
+        (F.least(*cols) >= 0).alias("none_below_zero"), (chosen == F.greatest(*cols)).alias("most_probable")) for name, clf in made.items()]
+    return reduce(DataFrame.unionByName, out)
+
+
+O["probability_checks"] = with_listings(
+    f"SELECT model_name, id AS row_id, {LEVEL_SQL.format(x='estimated_occupancy_l365d')} AS label, true AS sums_to_one, true AS none_below_zero,"
+    " true AS most_probable FROM split, (VALUES ('logreg'), ('pca_logreg'), ('random_forest'), ('ensemble')) m(model_name) WHERE split = 'test'",
+    *SPLIT_CTES)
+
+
 def q_pca_variance(spark, sf):
     p = training.prepare(spark, sf)
     _, ratios = K.pca_variance(p.train)
@@ -277,7 +305,7 @@ def q_cross_validate(spark, sf):
                                        "gbt": lambda rows: training.fit_gbt(p, rows), "mlp": lambda rows: training.fit_mlp(p, rows)})
 
 
-def q_mice_impute(spark, sf):
+def _mice(spark, sf):
     from tabforge.functions import scalars as S
     df = listings(spark, sf).select("id", "accommodates", "bedrooms", "beds",
                                     "review_scores_rating", "reviews_per_month", "availability_365",
@@ -289,7 +317,23 @@ def q_mice_impute(spark, sf):
     cols = ["bedrooms", "beds", "review_scores_rating", "reviews_per_month", "price", "host_response_rate"]
     preds = ["accommodates", "availability_365", "number_of_reviews", "estimated_occupancy_l365d"]
     tr, te, rounds = K.mice_impute(train, cols, preds, apply_to=test)
-    return tr.unionByName(te).select("id", "split", *cols, F.lit(rounds).alias("rounds"))
+    return sp, tr.unionByName(te).select("id", "split", *cols, F.lit(rounds).alias("rounds")), cols
+
+
+def q_mice_impute(spark, sf):
+    return _mice(spark, sf)[1]
+
+
+def q_mice_checks(spark, sf):
+    """Observed cells are as they were, no cell is null, and every row of both sides comes out once."""
+    before, after, cols = _mice(spark, sf)
+    both = after.join(before.select("id", *[F.col(c).alias(f"was_{c}") for c in cols]), "id")
+    return both.select("id", reduce(and_, (F.col(c).isNotNull() for c in cols)).alias("no_null"),
+                       reduce(and_, (F.col(f"was_{c}").isNull() | (F.col(f"was_{c}") == F.col(c)) for c in cols)).alias("observed_kept"))
+
+
+O["mice_checks"] = with_listings(
+    "SELECT id, true AS no_null, true AS observed_kept FROM listings")
 
 
 def _trained(spark, sf):

@@ -4,7 +4,6 @@ splits, imputation and vocabulary operators, with their DuckDB oracles."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tabforge.functions import lists as LS
 from tabforge.functions import scalars as S
@@ -70,6 +69,14 @@ LISTING_COLS = ["id", "host_id", "neighbourhood_cleansed", "neighbourhood", "hos
 O["drop_high_null"] = _null_frac_sql(LISTING_COLS, 0.3)
 
 
+def q_drop_high_null_columns(spark, sf):
+    return P.drop_high_null(listings(spark, sf), threshold=0.3)
+
+
+#: Of the derived listings these columns are null in more than 30 % of the rows: in a half and a third of them.
+O["drop_high_null_columns"] = with_listings("SELECT * EXCLUDE (neighbourhood, host_is_superhost) FROM listings")
+
+
 def q_strip_leakage(spark, sf):
     return P.strip_leakage(listings(spark, sf))
 
@@ -199,11 +206,12 @@ O["lookup_join_composite"] = with_listings(
 def q_split_members(spark, sf):
     df = listings(spark, sf).withColumn("g", F.coalesce("host_id", F.lit(-1)))
     test_groups = G.group_split(df.select("g").distinct(), "g", 0.2)[1]
-    members, _ = J.split_members(df, test_groups, "g")
-    return members.select("id", "host_id")
+    members, others = J.split_members(df, test_groups, "g")
+    side = lambda d, name: d.select("id", "host_id", F.lit(name).alias("side"))
+    return side(members, "test").unionByName(side(others, "train"))
 
 
-O["split_members"] = with_split("SELECT id, host_id FROM split WHERE split = 'test'")
+O["split_members"] = with_split("SELECT id, host_id, split AS side FROM split")
 
 
 def q_freq_outer_align(spark, sf):
@@ -276,6 +284,14 @@ O["column_profile"] = with_listings(" UNION ALL ".join(
     f" (SELECT {_DUCK_TO_SPARK.format(c=c)} FROM listings LIMIT 1) AS dtype FROM listings"
     for i, c in enumerate(LISTING_COLS)))
 
+
+
+def q_dtype_histogram(spark, sf):
+    return D.dtype_histogram(listings(spark, sf))
+
+
+O["dtype_histogram"] = "SELECT dtype, count(*) AS n_columns FROM (" + O["column_profile"] + ") GROUP BY dtype"
+
 DESCRIBE_COLS = ["accommodates", "bedrooms", "beds", "number_of_reviews", "reviews_per_month", "review_scores_rating",
                  "availability_365", "estimated_occupancy_l365d"]
 
@@ -342,8 +358,7 @@ O["median_by_group"] = with_listings(
 
 def q_share_of_total(spark, sf):
     df = listings(spark, sf).groupBy("neighbourhood_cleansed").agg(F.sum("estimated_occupancy_l365d").alias("occ"))
-    return df.select("neighbourhood_cleansed", "occ",
-                     F.round(F.col("occ") / F.sum("occ").over(Window.partitionBy()), 9).alias("share"))
+    return J.with_totals(df, __total="occ").select("neighbourhood_cleansed", "occ", F.round(F.col("occ") / F.col("__total"), 9).alias("share"))
 
 
 O["share_of_total"] = with_listings(

@@ -147,9 +147,10 @@ def apply(df: DataFrame, f: CleanFit) -> DataFrame:
 
 def run(raw: DataFrame, fit_modes_on: str = "train", test_fraction: float = 0.2):
     """Whole cleaning job; returns (train, test, fit).  Nothing is written here."""
-    # the cleaned, split table feeds several small fit aggregates: write it once, by split, in the shared
-    # folder; every fit then reads its own columns of its own split, and a lost executor costs no recomputation
-    df = stored(split(clean_rows(raw), test_fraction), "cleaned", "split")
+    # the cleaned table feeds the split and several small fit aggregates: write it once in the shared folder; each
+    # of them then reads its own columns, and a lost executor costs no recomputation.  The split is a cut of the
+    # key's hash, an expression of the row, so it is not stored.
+    df = split(stored(clean_rows(raw), "cleaned"), test_fraction)
     train = df.filter(F.col("split") == "train")
     mode_fit = df if fit_modes_on == "all" else train
     modes = [I.fit_mode_impute(mode_fit, target, "room_type") for target in ("bedrooms", "beds") if target in df.columns and "room_type" in df.columns]

@@ -173,3 +173,41 @@ def test_anova_keeps_its_digits(spark):
     got = E.anova_f(spark.createDataFrame(rows, "y string, x double"), "y", ["x"]).first()["f_stat"]
     near = E.anova_f(spark.createDataFrame([(y, x - 1e9) for y, x in rows], "y string, x double"), "y", ["x"]).first()["f_stat"]
     assert got == pytest.approx(near, rel=1e-3)
+
+
+def test_null_pairs_of_independent_columns_match_brute_force(spark):
+    import itertools
+    import random
+
+    from tabforge.operators import eda as E
+    rng = random.Random(4)
+    cols = [f"c{i}" for i in range(40)]   # nearly every row has a null pattern of its own
+    rows = [tuple(None if rng.random() < 0.3 else 1 for _ in cols) for _ in range(500)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} int" for c in cols)).repartition(5)
+    got = {(r.col_a, r.col_b): (r.n, r.na, r.nb, r.nab) for r in E.null_pair_table(df).collect()}
+    null = lambda r, i: r[i] is None
+    assert got == {(cols[i], cols[j]): (500, sum(null(r, i) for r in rows), sum(null(r, j) for r in rows), sum(null(r, i) and null(r, j) for r in rows))
+                   for i, j in itertools.combinations(range(40), 2)}
+    assert {r.n for r in E.null_pair_table(df.limit(0), ["c0", "c1"]).collect()} == {0}
+
+
+def test_dummy_correlation_keeps_its_digits(spark):
+    import numpy as np
+
+    from tabforge.operators import eda as E
+    rng = np.random.default_rng(3)
+    level, y = rng.integers(0, 3, 4000), rng.normal(1e8, 1, 4000)   # the mean is far larger than the spread
+    y += level
+    df = spark.createDataFrame([("abc"[k], float(v)) for k, v in zip(level, y)], "g string, y double")
+    got = {r.feature: r["corr"] for r in E.feature_target_corr(df, "y", [], ["g"], scale=1.0).collect()}
+    for k, name in ((1, "g_b"), (2, "g_c")):
+        assert abs(got[name] - np.corrcoef(level == k, y)[0, 1]) < 1e-6
+
+
+def test_driver_levels_report_what_is_left_out(spark):
+    from tabforge.operators import eda as E
+    df = spark.createDataFrame([(f"v{i}", "ab"[i % 2], None, None if i % 5 == 0 else i) for i in range(60)], "many string, few string, none string, x int")
+    got = {r.column_name: (r.levels, r.used) for r in E.driver_levels(df).collect()}
+    assert got == {"many": (60, False), "few": (2, True), "none": (0, False)}
+    assert E.driver_levels(df, max_levels=None).where("used").count() == 2
+    assert {r.column_name: r.driver for r in E.missingness_mechanism(df, max_levels=None).collect()}["x"].startswith("many")
