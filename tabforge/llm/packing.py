@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.llm.common import table, text_batches, written
-from tabforge.llm.tokens import byte_bpe, vocabulary
+from tabforge.llm.tokens import byte_bpe, forget, vocabulary
 
 DEPTH = 4
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+DIGESTS = PIECES.replace("ids binary", "ids_crc32 long")
 
 
 def tokenised(docs: DataFrame, vocabulary_path: str, end_id: int, window: int) -> DataFrame:
@@ -138,10 +139,16 @@ def _nnls(a: np.ndarray, m: np.ndarray, b: np.ndarray, w: np.ndarray, h: np.ndar
     return x
 
 
-def pack(docs: DataFrame, vocabulary_path: str, end_id: int, window: int = 2048) -> DataFrame:
+def _crc32(ids: bytes) -> int:
+    """Of 16-bit ids as unsigned 32-bit integers."""
+    return zlib.crc32(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
+
+
+def pack(docs: DataFrame, vocabulary_path: str, end_id: int, window: int = 2048, digest: bool = False) -> DataFrame:
     """Pieces of all ``docs`` (doc_id, text; other columns ignored) with their ids, sequence and offset.
 
-    Null and empty texts are the end id alone.  Repeated rows and rows without doc_id are rows
+    With ``digest`` a piece has ``ids_crc32`` (of its ids as unsigned 32-bit integers) in place of
+    the ids.  Null and empty texts are the end id alone.  Repeated rows and rows without doc_id are rows
     like any other.  An empty table gives no pieces.  ``ids`` holds unsigned 16-bit integers.
     """
     rows = tokenised(docs, vocabulary_path, end_id, window)
@@ -164,7 +171,10 @@ def pack(docs: DataFrame, vocabulary_path: str, end_id: int, window: int = 2048)
 
     placed = light.mapInPandas(place, "bucket int, k long, alone long, sequence long, offset long, first long")
 
+    shown, schema = ("ids_crc32", DIGESTS) if digest else ("ids", PIECES)
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for b in batches:
             out = []
             for doc, n, alone_, sequence, offset, first, ids in zip(b["doc_id"], b["n"], b["alone"], b["sequence"], b["offset"], b["first"], b["ids"], strict=True):
@@ -174,24 +184,14 @@ def pack(docs: DataFrame, vocabulary_path: str, end_id: int, window: int = 2048)
                     parts.append((full * window, first, sequence, offset))
                     if left > first:
                         parts.append((full * window + first, left - first, sequence + 1, 0))
-                out += [(doc, s, size, ids[2 * s : 2 * (s + size)], n, seq, o) for s, size, seq, o in parts]
-            got = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+                pieces = [(ids[2 * s : 2 * (s + size)], s, size, seq, o) for s, size, seq, o in parts]
+                out += [(doc, s, size, _crc32(x) if digest else x, n, seq, o) for x, s, size, seq, o in pieces]
+            got = pd.DataFrame(out, columns=["doc_id", "start", "length", shown, "doc_tokens", "sequence_id", "offset"])
             yield got.astype({"doc_id": "Int64"})
 
-    return rows.select("bucket", "k", "doc_id", "n", "ids").join(placed, ["bucket", "k"]).mapInPandas(cut, PIECES)
-
-
-def digests(pieces: DataFrame) -> DataFrame:
-    """The pieces with ``ids_crc32`` (of the ids as unsigned 32-bit integers) in place of the ids."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b["ids"] = [zlib.crc32(np.frombuffer(x, "<u2").astype("<u4").tobytes()) for x in b["ids"]]
-            yield b.rename(columns={"ids": "ids_crc32"}).astype({"doc_id": "Int64"})
-
-    return pieces.mapInPandas(run, PIECES.replace("ids binary", "ids_crc32 long")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return rows.select("bucket", "k", "doc_id", "n", "ids").join(placed, ["bucket", "k"]).mapInPandas(cut, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op7: all documents, each ended by id 1, in sequences of 2048."""
-    return digests(pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1, 2048))
+    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1, 2048, digest=True)

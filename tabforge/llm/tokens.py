@@ -8,6 +8,9 @@ encoded in one call.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 from functools import cache
 
@@ -93,6 +96,15 @@ def byte_bpe(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+def forget() -> None:
+    """Give back what the process keeps for encoding, for a later stage that runs in the same process."""
+    if byte_bpe.cache_info().currsize:
+        byte_bpe.cache_clear()
+        gc.collect()
+        with contextlib.suppress(AttributeError, OSError):  # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
 

@@ -166,6 +166,13 @@ def test_packing(spark, small, window):
     check_packing(spark, spark.read.parquet(f"{small}/documents.parquet"), window)
 
 
+def test_packing_query_digests_the_same_pieces(spark, small):
+    want = {(r.sequence_id, r.offset): (r.doc_id, r.start, r.length, r.doc_tokens, zlib.crc32(np.frombuffer(r.ids, "<u2").astype("<u4").tobytes()))
+            for r in packing.pack(spark.read.parquet(f"{small}/documents.parquet"), BYTES, 1).collect()}
+    got = packing.query(spark, small).collect()
+    assert {(r.sequence_id, r.offset): (r.doc_id, r.start, r.length, r.doc_tokens, r.ids_crc32) for r in got} == want and len(got) == len(want)
+
+
 def test_packing_edges(spark, edge_docs):
     check_packing(spark, edge_docs)
     assert packing.pack(edge_docs.limit(0), BYTES, 1).count() == 0
