@@ -39,7 +39,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 5: what is left, in sequences of 2048 tokens."""
-    return packing.digests(packing.pack(docs, vocabulary("byte_bpe_50k.json"), 1, 2048))
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), 1, 2048, digest=True)
 
 
 STAGES = [("toxicity", drop_toxic), ("quality_rules", drop_junk), ("near_dedup", near_dedup), ("secret_scans", redact), ("packing", pack)]
