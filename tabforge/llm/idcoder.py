@@ -5,8 +5,8 @@ per lane.  The id's probability is a mixture of three predictions: the id last s
 ids before it (order 2), the id last seen after the one before it (order 1), and an adaptive
 frequency table over all ids (order 0).  The mixture weights depend on how often each prediction
 has been confirmed in its context and adapt with every step; the result drives a range coder with
-carry.  All state starts anew with each block, and each block carries a CRC-32 of its ids, so a
-block can be read, checked or lost on its own.
+carry.  All state starts anew with each block, and each block carries a CRC-32 of its ids and bytes, so
+a block can be read, checked or lost on its own.
 
 A file is a header (magic, version, vocabulary size), its blocks, and an empty block that counts
 them.  Files are written under a temporary name and moved into place, so a repeated task leaves
@@ -30,12 +30,12 @@ from tabforge.llm.common import table, text_batches, written
 from tabforge.llm.tokens import byte_bpe, vocabulary
 from tabforge.session import scratch_path
 
-MAGIC, VERSION = b"TFID", 1
+MAGIC, VERSION = b"TFID", 2
 BLOCK = 1 << 21          # ids in a block
-LANES, LEAST = 16384, 64  # lanes of a block at most; ids in a lane at least
+LANES, LEAST = 2048, 64  # lanes of a block at most; ids in a lane at least
 MIX = 12                 # bits of the mixture weights
 SCALE = 18               # bits of the order-0 frequencies
-RENEW = 1 << 16          # order-0 frequencies are recomputed after about so many ids
+RENEW = (1 << 11, 1 << 16)  # ids until order-0 frequencies are recomputed: an eighth of those counted, within these bounds
 SLOTS = 18               # bits of the order-2 table
 TOP, LOW = np.uint64(1 << 48), np.uint64(1 << 32)
 _U = np.uint64
@@ -67,7 +67,7 @@ class Model:
         self.freq = freq.astype(np.uint64)
         self.cum = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
         self._symbol = None
-        self.since = 0
+        self.since, self.until = 0, min(max(total // 8, RENEW[0]), RENEW[1])
 
     def symbol(self) -> np.ndarray:
         """The id at each of the 2^SCALE places of the frequency table."""
@@ -95,7 +95,7 @@ class Model:
             held[key] = np.where(right, up, np.where(entry >= 0x10000, entry - np.uint32(0x10000), ids))
         self.seen.append(ids)
         self.since += len(ids)
-        if self.since >= RENEW:
+        if self.since >= self.until:
             self._renew()
 
 
@@ -153,7 +153,7 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
         low = (low << _U(16)) & (TOP - _U(1))
     words = np.concatenate([out[i:j] for i, j in zip(base, at, strict=True)])
     payload = (at - base).astype("<u4").tobytes() + words.astype("<u2").tobytes()
-    return struct.pack("<III", n, len(payload), zlib.crc32(ids.astype("<u4").tobytes())) + payload
+    return struct.pack("<III", n, len(payload), zlib.crc32(payload, zlib.crc32(ids.astype("<u4").tobytes()))) + payload
 
 
 def _carry(out: np.ndarray, place: np.ndarray) -> None:
@@ -209,7 +209,7 @@ def decode_block(raw: bytes, vocab: int) -> np.ndarray:
             grid[step, on] = x
         model.learn(x, p, two, one, context, slot, hit2, hit1)
     ids = grid.T.reshape(-1)[:n]
-    if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
+    if zlib.crc32(raw[12 : 12 + size], zlib.crc32(ids.astype("<u4").tobytes())) != crc:
         raise ValueError("block checksum differs")
     return ids
 

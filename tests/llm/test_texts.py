@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import regex
 
@@ -111,6 +112,23 @@ def test_blocks_shrink_repeats_and_notice_damage():
         idcoder.decode_block(bytes(broken), 50_257)
 
 
+def test_whole_block_of_real_ids_beats_its_order_0_entropy():
+    """A whole block, as files hold them; a short block has its alphabet still to learn."""
+    library, parts = tokens.byte_bpe(BYTES).tokenizer, []
+    for rows in pq.ParquetFile("/root/testdata/sf0.1/documents.parquet").iter_batches(2000, columns=["text"]):
+        texts = [x or "" for x in rows.column(0).to_pylist()]
+        parts += [np.array([*e.ids, 0], np.uint32) for e in library.encode_batch(texts, add_special_tokens=False)]
+        if sum(map(len, parts)) >= idcoder.BLOCK:
+            break
+    ids = np.concatenate(parts)[: idcoder.BLOCK]
+    assert len(ids) == idcoder.BLOCK
+    counts = np.unique(ids, return_counts=True)[1]
+    entropy = -(counts * np.log2(counts / len(ids))).sum() / 8  # bytes, without what a frequency table would take
+    raw = idcoder.encode_block(ids, library.get_vocab_size())
+    assert len(raw) < entropy
+    assert (idcoder.decode_block(raw, library.get_vocab_size()) == ids).all()
+
+
 def id_rows(spark, docs, **options):
     folder = scratch_path(spark, "ids")
     return idcoder.documents(idcoder.write(docs, folder, BYTES, **options), folder).collect()
