@@ -1,4 +1,4 @@
-"""Feature encoding and classifiers on Spark ML.
+"""Feature encoding and classifiers (E1-E7, K1-K5, I6); boosted trees are in :mod:`tabforge.operators.boosting`.
 
 Every model is fitted by Spark ML's distributed estimators on a cached,
 encoded training table; predictions come back as a table with one
@@ -11,14 +11,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import (PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.operators.boosting import Boosted
 from tabforge.operators.metrics import argmax_class
 
 LABEL_IDX = "label_idx"
@@ -122,9 +122,9 @@ def mlp(n_features: int, n_classes: int, hidden=(128, 64), max_iter: int = 400,
 class Classifier:
     """Fitted models and how their class probabilities combine.
 
-    ``plain``: one Spark ML model; ``ovr``: a binary model per class, positive probabilities
-    normalised to sum 1; ``vote``: the mean of other classifiers (soft voting).  All members are
-    applied in one pass over the table.
+    ``plain``: one Spark ML model; ``vote``: the mean of other classifiers (soft voting); ``boosted``: one
+    multiclass model of :mod:`tabforge.operators.boosting`.  All members are applied in one pass
+    over the table.
     """
     kind: str
     members: list
@@ -134,18 +134,14 @@ class Classifier:
         cols, names = df.columns, []
         for i, m in enumerate(self.members):
             name = f"{out}_{i}"
-            if self.kind == "vote":
+            if self.kind in ("vote", "boosted"):
                 df = m.with_probabilities(df, name)
             else:
                 df = m.transform(df).withColumn(name, vector_to_array("probability")).select(*cols, *names, name)
             names.append(name)
-        if self.kind == "plain":
+        if self.kind in ("plain", "boosted"):
             return df.withColumnRenamed(names[0], out)
-        if self.kind == "ovr":
-            total = sum((F.col(n)[1] for n in names), F.lit(0.0))
-            both = F.array(*[F.col(n)[1] / total for n in names])
-        else:
-            both = F.transform(names[0], lambda p, i: (p + sum((F.col(n)[i] for n in names[1:]), F.lit(0.0))) / len(names))
+        both = F.transform(names[0], lambda p, i: (p + sum((F.col(n)[i] for n in names[1:]), F.lit(0.0))) / len(names))
         return df.withColumn(out, both).drop(*names)
 
     def predict(self, df: DataFrame, classes, keep=("row_id", "label")) -> DataFrame:
@@ -160,6 +156,8 @@ class Classifier:
         for i, m in enumerate(self.members):
             if self.kind == "vote":
                 m.save(spark, f"{path}/{i}")
+            elif self.kind == "boosted":
+                write_json(spark, m.to_json(), f"{path}/{i}")
             else:
                 PipelineModel([m]).write().save(f"{path}/{i}")
 
@@ -167,27 +165,10 @@ class Classifier:
     def load(cls, spark, path: str) -> "Classifier":
         from tabforge.operators.store import read_json
         meta = read_json(spark, f"{path}/kind")
-        load = (lambda p: cls.load(spark, p)) if meta["kind"] == "vote" else PipelineModel.load
+        load = {"vote": lambda p: cls.load(spark, p), "boosted": lambda p: Boosted.from_json(read_json(spark, p))}.get(meta["kind"], PipelineModel.load)
         return cls(meta["kind"], [load(f"{path}/{i}") for i in range(meta["members"])])
 
 
-def fit_gbt_one_vs_rest(train: DataFrame, n_classes: int, max_depth: int = 3, max_iter: int = 100, step: float = 0.1,
-                        weight_col: str | None = None, validation_col: str | None = None, seed: int = 42) -> Classifier:
-    """K3: one boosted-tree model per class (label == class)."""
-    members = []
-    for i in range(n_classes):
-        tr = train.withColumn("__y", (F.col(LABEL_IDX) == i).cast("double"))
-        g = GBTClassifier(featuresCol="features", labelCol="__y", maxDepth=max_depth, maxIter=max_iter, stepSize=step,
-                          seed=seed)
-        if weight_col:
-            g = g.setWeightCol(weight_col)
-        if validation_col:
-            g = g.setValidationIndicatorCol(validation_col)
-            g.set(g.validationTol, 0.01)
-        members.append(g.fit(tr))
-    return Classifier("ovr", members)
-
-
 def pca_variance(train: DataFrame, features: str = "features", k: int | None = None):
     """Explained-variance ratio per principal component (Spark PCA centres the data)."""
     first = train.select(features).first()

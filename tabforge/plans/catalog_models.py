@@ -238,11 +238,12 @@ def q_pca_logreg(spark, sf):
 
 #: Models of the probability check: any classifier goes through the same steps.
 _CHECKED = {"logreg": training.fit_logreg, "pca_logreg": training.fit_pca_logreg,
-            "random_forest": lambda p: training.fit_random_forest(p, num_trees=30, max_depth=5)}
+            "random_forest": lambda p: training.fit_random_forest(p, num_trees=30, max_depth=5),
+            "gbt": lambda p: training.fit_gbt(p, max_iter=20)}
 
 
 def q_probability_checks(spark, sf):
-    """K1, K2, K5, K6: every test row once per model, its label, probabilities in [0, 1] that sum to 1, and the most probable class chosen."""
+    """K1, K2, K3, K5, K6: every test row once per model, its label, probabilities in [0, 1] that sum to 1, and the most probable class chosen."""
     p = training.prepare(spark, sf)
     made = {name: fit(p) for name, fit in _CHECKED.items()}
     made["ensemble"] = K.Classifier("vote", list(made.values()))
@@ -256,7 +257,7 @@ def q_probability_checks(spark, sf):
 
 O["probability_checks"] = with_listings(
     f"SELECT model_name, id AS row_id, {LEVEL_SQL.format(x='estimated_occupancy_l365d')} AS label, true AS sums_to_one, true AS none_below_zero,"
-    " true AS most_probable FROM split, (VALUES ('logreg'), ('pca_logreg'), ('random_forest'), ('ensemble')) m(model_name) WHERE split = 'test'",
+    " true AS most_probable FROM split, (VALUES ('logreg'), ('pca_logreg'), ('random_forest'), ('gbt'), ('ensemble')) m(model_name) WHERE split = 'test'",
     *SPLIT_CTES)
 
 
