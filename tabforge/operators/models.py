@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
-from pyspark.ml.feature import (PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler)
+from pyspark.ml.feature import (PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tabforge.operators.boosting import Boosted
 from tabforge.operators.metrics import argmax_class
+from tabforge.operators.neighbours import mi_of_cells
 
 LABEL_IDX = "label_idx"
 
@@ -169,6 +170,17 @@ class Classifier:
         return cls(meta["kind"], [load(f"{path}/{i}") for i in range(meta["members"])])
 
 
+def select_k_best(train: DataFrame, k: int = 20, label: str = LABEL_IDX, features: str = "features", out: str = "features_k"):
+    """The slots of the feature vector with the greatest nearest-neighbour mutual information with the class.
+
+    Takes min(k, all) slots, ties to the lower slot; returns (``VectorSlicer`` to apply, table of ``slot, mi``, slots taken).
+    """
+    slots = train.select(F.col(label).alias("cls"), F.posexplode(vector_to_array(features)).alias("feature", "x"))
+    scores = mi_of_cells(slots).select(F.col("feature").alias("slot"), F.round("mi", 9).alias("mi"))
+    taken = [r["slot"] for r in scores.orderBy(F.col("mi").desc(), "slot").limit(k).collect()]   # at most k
+    return VectorSlicer(inputCol=features, outputCol=out, indices=taken), scores, taken
+
+
 def pca_variance(train: DataFrame, features: str = "features", k: int | None = None):
     """Explained-variance ratio per principal component (Spark PCA centres the data)."""
     first = train.select(features).first()

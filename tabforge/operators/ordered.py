@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 def _range_bucket(df: DataFrame, col: str, n_buckets: int, out: str = "__rb") -> DataFrame:
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = sorted(set(b for b in df.approxQuantile(col, probs, 0.001) if b is not None))
-    splits = [float("-inf")] + bounds + [float("inf")]
+    splits = [float("-inf")] + ([b for b in bounds if abs(b) < float("inf")] or [0.0]) + [float("inf")]   # an empty table has no bounds
     src = df.withColumn("__bx", F.col(col).cast("double"))
     return Bucketizer(splits=splits, inputCol="__bx", outputCol=out, handleInvalid="keep").transform(src).drop("__bx")
 

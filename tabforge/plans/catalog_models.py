@@ -17,6 +17,7 @@ from tabforge.functions import nulls as N
 from tabforge.operators import eda as E
 from tabforge.operators import metrics as M
 from tabforge.operators import models as K
+from tabforge.operators import neighbours as NB
 from tabforge.operators import ranking as W
 from tabforge.operators import split as G
 from tabforge.operators import tokens as TK
@@ -186,6 +187,54 @@ def _kbest_sql():
 O["select_k_best"] = _kbest_sql()
 
 
+def q_mutual_information_knn(spark, sf):
+    from tabforge.plans.catalog_eda import _scored
+    return NB.knn_mutual_information(_scored(spark, sf), "occupancy_level", KBEST_COLS).select("feature", F.round("mi", 7).alias("mi"))
+
+
+def _knn_sql():
+    from tabforge.plans.catalog_eda import SC_CTE
+    sc = SC_CTE.replace("estimated_occupancy_l365d AS occ,", "estimated_occupancy_l365d AS occ, availability_365,"
+                        " number_of_reviews, reviews_per_month, review_scores_rating,")
+
+    def psi(n):   # by recurrence and series, as digamma is not a function there
+        y = f"(CAST({n} AS DOUBLE) + 6)"
+        return (f"(ln({y}) - 0.5 / {y} - 1 / (12 * {y} ** 2) + 1 / (120 * {y} ** 4) - 1 / (252 * {y} ** 6) + 1 / (240 * {y} ** 8) - "
+                + " - ".join(f"1.0 / (CAST({n} AS DOUBLE) + {i})" for i in range(6)) + ")")
+
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, y, CAST({c} AS DOUBLE) AS x FROM sc WHERE {c} IS NOT NULL AND y IS NOT NULL" for c in KBEST_COLS)
+    gaps = ", ".join(f"abs(x - {step}(x, {i}) OVER c)" for step in ("lag", "lead") for i in (1, 2, 3))
+    ctes = (
+        sc, f"cells AS ({rows})",
+        f"near AS (SELECT feature, y, x, count(*) OVER (PARTITION BY feature, y) AS ny, list_sort(list_filter([{gaps}], lambda d: d IS NOT NULL)) AS d FROM cells"
+        " WINDOW c AS (PARTITION BY feature, y ORDER BY x))",
+        "rad AS (SELECT *, least(3, ny - 1) AS k, d[least(3, ny - 1)] AS r FROM near WHERE ny > 1)",
+        "ev AS (SELECT feature, v, sum(n) AS n FROM (SELECT feature, x AS v, 1 AS n FROM rad UNION ALL SELECT feature, x - r, 0 FROM rad UNION ALL"
+        " SELECT feature, x + r, 0 FROM rad) GROUP BY feature, v)",
+        "cum AS (SELECT feature, v, n, coalesce(sum(n) OVER (PARTITION BY feature ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM ev)",
+        "pts AS (SELECT t.feature, ny, CASE WHEN r = 0 THEN count(*) OVER (PARTITION BY t.feature, y, x) - 1 ELSE k END AS k,"
+        " CASE WHEN r = 0 THEN lo.n ELSE hi.below - lo.below - lo.n END AS m FROM rad t JOIN cum lo ON lo.feature = t.feature AND lo.v = t.x - t.r"
+        " JOIN cum hi ON hi.feature = t.feature AND hi.v = t.x + t.r)")
+    return with_listings(f"SELECT feature, round(greatest(0.0, {psi('count(*)')} + avg({psi('k')} - {psi('ny')} - {psi('m')})), 7) AS mi FROM pts GROUP BY feature", *ctes)
+
+
+O["mutual_information_knn"] = _knn_sql()
+
+
+def q_select_k_best_applied(spark, sf):
+    """Every row of both splits with its vector cut to the 20 best slots, and whether each value is that of its slot."""
+    p = training.prepare(spark, sf)
+    cut, _, taken = K.select_k_best(p.train)
+    both = p.train.withColumn("split", F.lit("train")).unionByName(p.test.withColumn("split", F.lit("test")))
+    from pyspark.ml.functions import vector_to_array
+    whole = vector_to_array("features")
+    return cut.transform(both).select("row_id", "split", F.size(vector_to_array("features_k")).alias("k"),
+                                      (vector_to_array("features_k") == F.array(*[whole[i] for i in taken])).alias("same_values"))
+
+
+O["select_k_best_applied"] = with_listings("SELECT id AS row_id, split, 20 AS k, true AS same_values FROM split", *SPLIT_CTES)
+
+
 # ---------------------------------------------------------------- Spark ML (rows-only)
 def q_encode_features(spark, sf):
     p = training.prepare(spark, sf)
