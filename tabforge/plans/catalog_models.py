@@ -9,7 +9,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.ml.feature import PCA, StringIndexer
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +22,7 @@ from tabforge.operators import ranking as W
 from tabforge.operators import split as G
 from tabforge.operators import tokens as TK
 from tabforge.operators.store import Registry, Runs
+from tabforge.operators.svd import truncated_svd
 from tabforge.plans import cleaning, training
 from tabforge.plans.bundle import Bundle
 from tabforge.plans.catalog_quality import LEVEL_SQL, LISTING_COLS, SPLIT_CTES
@@ -319,11 +320,25 @@ def q_pca_variance(spark, sf):
 
 
 def q_svd_reduce(spark, sf):
+    """The test rows on the 50 greatest singular directions of the training rows (uncentred)."""
     p = training.prepare(spark, sf)
-    k = min(50, p.n_features)
-    m = PCA(k=k, inputCol="features", outputCol="reduced").fit(p.train)
+    return truncated_svd(p.train, 50).transform(p.test).select("row_id", F.transform("reduced", lambda v: F.round(v, 6)).alias("reduced"))
+
+
+def q_svd_checks(spark, sf):
+    """Every training row once, its 50 coordinates, and that none is longer than the row's own vector; over all rows the
+    squares add up to the squared singular values."""
+    p = training.prepare(spark, sf)
+    svd = truncated_svd(p.train, 50)
     from pyspark.ml.functions import vector_to_array
-    return m.transform(p.test).select("row_id", F.size(vector_to_array("reduced")).alias("k"))
+    square = lambda c: F.aggregate(c, F.lit(0.0), lambda acc, v: acc + v * v)
+    rows = svd.transform(p.train).select("row_id", "reduced", square("reduced").alias("kept"), square(vector_to_array("features")).alias("all"))
+    total, wanted = rows.agg(F.sum("kept")).first()[0], float((svd.s ** 2).sum())
+    return rows.select("row_id", F.size("reduced").alias("k"), (F.col("kept") <= F.col("all") * (1 + 1e-9)).alias("not_longer"),
+                                        F.lit(abs(total - wanted) <= 1e-6 * wanted).alias("squares_add_up"))
+
+
+O["svd_checks"] = with_listings("SELECT id AS row_id, 50 AS k, true AS not_longer, true AS squares_add_up FROM split WHERE split = 'train'", *SPLIT_CTES)
 
 
 def q_feature_ranking(spark, sf):
