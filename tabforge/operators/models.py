@@ -18,7 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.functions.scalars import nonfinite_to_null
 from tabforge.operators.boosting import Boosted
+from tabforge.operators.chained import fit_chained
+from tabforge.operators.columns import round_int_like
 from tabforge.operators.metrics import argmax_class
 from tabforge.operators.neighbours import mi_of_cells
 
@@ -199,52 +202,14 @@ def components_for(ratios, share: float) -> int:
 
 
 def mice_impute(train: DataFrame, cols, predictors=(), max_rounds: int = 20, tol: float = 1e-3,
-                apply_to: DataFrame | None = None, checkpoint: bool = True):
-    """Chained-equation imputation with linear regressions, fitted on ``train``.
-
-    Start from column means; each round refits, for every column with gaps, a
-    linear model on the rows where it is observed (predictors = all other
-    columns' current values) and replaces the gaps with its predictions.  Stops
-    when the largest relative change of imputed values is below ``tol``.  Lineage
-    is cut every round with a reliable checkpoint into the shared checkpoint folder.
+                apply_to: DataFrame | None = None):
+    """Chained-equation imputation by Bayesian ridge regressions, fitted on ``train``.
+
+    Null, NaN and infinite cells (C23) of ``cols`` are filled; a column whose observed training values are
+    all whole is rounded to whole numbers afterwards (C24).  See :func:`tabforge.operators.chained.fit_chained`.
     Returns (imputed train, imputed ``apply_to`` or None, rounds run).
     """
-    from pyspark.ml.regression import LinearRegression
-
-    cols = list(cols)
-    all_cols = cols + [p for p in predictors if p not in cols]
-    means = train.agg(*[F.avg(c).alias(c) for c in all_cols]).first().asDict()
-
-    def init(df):
-        df = df.withColumns({f"__miss_{c}": F.col(c).isNull() for c in cols})
-        return df.fillna({c: v for c, v in means.items() if v is not None})
-
-    cur = init(train)
-    other = init(apply_to) if apply_to is not None else None
-    rounds = 0
-    for rounds in range(1, max_rounds + 1):
-        max_change, max_abs = 0.0, 0.0
-        for c in cols:
-            feats = [x for x in all_cols if x != c]
-            va = VectorAssembler(inputCols=feats, outputCol="__f", handleInvalid="keep")
-            obs = va.transform(cur.filter(~F.col(f"__miss_{c}")))
-            model = LinearRegression(featuresCol="__f", labelCol=c, regParam=1e-6).fit(obs)
-            coef = model.coefficients.toArray()
-            pred_expr = F.lit(float(model.intercept))
-            for w, x in zip(coef, feats):
-                pred_expr = pred_expr + F.lit(float(w)) * F.col(x)
-            new = cur.withColumn("__new", F.when(F.col(f"__miss_{c}"), pred_expr).otherwise(F.col(c)))
-            ch = new.agg(F.max(F.abs(F.col("__new") - F.col(c))).alias("d"), F.max(F.abs("__new")).alias("m")).first()
-            max_change = max(max_change, ch["d"] or 0.0)
-            max_abs = max(max_abs, ch["m"] or 0.0)
-            cur = new.withColumn(c, F.col("__new")).drop("__new")
-            if other is not None:
-                other = other.withColumn(c, F.when(F.col(f"__miss_{c}"), pred_expr).otherwise(F.col(c)))
-        if checkpoint:
-            cur = cur.checkpoint(eager=True)
-            if other is not None:
-                other = other.checkpoint(eager=True)
-        if max_abs == 0 or max_change / max_abs < tol:
-            break
-    drop = [f"__miss_{c}" for c in cols]
-    return cur.drop(*drop), (other.drop(*drop) if other is not None else None), rounds
+    fit = fit_chained(train, cols, predictors, max_rounds, tol)
+    known = train.withColumns({c: nonfinite_to_null(F.col(c).cast("double")) for c in fit.cols})
+    done = [round_int_like(fit.transform(df), fit.cols, known) if df is not None else None for df in (train, apply_to)]
+    return done[0], done[1], len(fit.rounds)

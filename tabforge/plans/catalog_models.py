@@ -390,15 +390,16 @@ def q_mice_impute(spark, sf):
 
 
 def q_mice_checks(spark, sf):
-    """Observed cells are as they were, no cell is null, and every row of both sides comes out once."""
+    """Observed cells are as they were, no cell is null, counts stay whole, and every row of both sides comes out once."""
     before, after, cols = _mice(spark, sf)
     both = after.join(before.select("id", *[F.col(c).alias(f"was_{c}") for c in cols]), "id")
     return both.select("id", reduce(and_, (F.col(c).isNotNull() for c in cols)).alias("no_null"),
-                       reduce(and_, (F.col(f"was_{c}").isNull() | (F.col(f"was_{c}") == F.col(c)) for c in cols)).alias("observed_kept"))
+                       reduce(and_, (F.col(f"was_{c}").isNull() | (F.col(f"was_{c}") == F.col(c)) for c in cols)).alias("observed_kept"),
+                       ((F.col("bedrooms") % 1 == 0) & (F.col("beds") % 1 == 0)).alias("whole"))
 
 
 O["mice_checks"] = with_listings(
-    "SELECT id, true AS no_null, true AS observed_kept FROM listings")
+    "SELECT id, true AS no_null, true AS observed_kept, true AS whole FROM listings")
 
 
 def _trained(spark, sf):
