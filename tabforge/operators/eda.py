@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 from tabforge.functions.nulls import MASK_TOKENS, is_missing
 from tabforge.functions.scalars import numeric_coerce
 from tabforge.operators.lookup import with_totals
-from tabforge.operators.ordered import average_rank
+from tabforge.operators.ordered import rank_correlation
 from tabforge.operators.quantiles import group_quantile, group_quantiles
 from tabforge.session import stored
 
@@ -378,13 +378,18 @@ def anova_f(df: DataFrame, label: str, cols) -> DataFrame:
         *[F.struct(F.count(v).alias("n"), F.avg(v).alias("m"), F.var_pop(v).alias("v")).alias(f"__{i}") for i, v in enumerate(x)])
     long = per.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"__{i}.n").alias("n"), F.col(f"__{i}.m").alias("m"),
                                                    F.col(f"__{i}.v").alias("v")) for i, c in enumerate(cols)])).alias("s")).select("s.*").filter("n > 0")
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")   # a feature without values scores 0
+    return names.join(f_of_classes(long), "feature", "left").select("feature", F.coalesce("f_stat", F.lit(0.0)).alias("f_stat"))
+
+
+def f_of_classes(per: DataFrame) -> DataFrame:
+    """``feature, f_stat`` from ``feature, n, m, v``: a row per class with its rows, mean and variance; nan/inf -> 0."""
     feature = Window.partitionBy("feature")   # one row per class
-    long = long.withColumn("mean", F.sum(F.col("n") * F.col("m")).over(feature) / F.sum("n").over(feature))
+    long = per.withColumn("mean", F.sum(F.col("n") * F.col("m")).over(feature) / F.sum("n").over(feature))
     tot = long.groupBy("feature").agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"), F.sum(F.col("n") * F.col("v")).alias("within"),
                                       F.sum(F.col("n") * (F.col("m") - F.col("mean")) * (F.col("m") - F.col("mean"))).alias("between"))
     f = F.try_divide(F.try_divide(F.col("between"), F.col("k") - 1), F.try_divide(F.col("within"), F.col("N") - F.col("k")))
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")   # a feature without values scores 0
-    return names.join(tot, "feature", "left").select("feature", F.when(f.isNull() | F.isnan(f) | (F.abs(f) == float("inf")), 0.0).otherwise(f).alias("f_stat"))
+    return tot.select("feature", F.when(f.isNull() | F.isnan(f) | (F.abs(f) == float("inf")), 0.0).otherwise(f).alias("f_stat"))
 
 
 def mutual_information(df: DataFrame, label: str, cols, bins: int = 10) -> DataFrame:
@@ -418,17 +423,12 @@ def mutual_information(df: DataFrame, label: str, cols, bins: int = 10) -> DataF
 def spearman(df: DataFrame, target: str, cols) -> DataFrame:
     """|Spearman| of each feature with the target (average ranks over pairwise-complete rows).
 
-    All features are ranked in one pass over an unpivoted (feature, x, target) table;
-    ranks are partitioned by feature, so no window spans the whole table.
+    One pass counts the distinct (feature, value, target) triples; a feature or target with one value
+    has no correlation: null.
     """
     long = (df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("__x"),
-                 F.col(target).cast("double").alias("__t")) for c in cols])).alias("s"))
-        .select("s.*").dropna(subset=["__x", "__t"]))
-    rx = average_rank(long, "__x", part_cols=["feature"], out="__rx")
-    rxy = average_rank(rx, "__t", part_cols=["feature"], out="__ry")
-    # a feature or target with one value has no correlation: null
-    spread = (F.min("__rx") < F.max("__rx")) & (F.min("__ry") < F.max("__ry"))
-    varied = rxy.groupBy("feature").agg(spread.alias("__v"), F.covar_pop("__rx", "__ry").alias("__c"),
-                                        (F.stddev_pop("__rx") * F.stddev_pop("__ry")).alias("__s"))
-    return varied.select("feature", F.when(F.col("__v"), F.abs(F.try_divide("__c", "__s"))).alias("spearman"))
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"),
+                 F.col(target).cast("double").alias("t")) for c in cols])).alias("s"))
+        .select("s.*").dropna(subset=["x", "t"]))
+    found = rank_correlation(long.groupBy("feature", "x", "t").agg(F.count(F.lit(1)).alias("n")))
+    return found.select("feature", F.abs("rho").alias("spearman"))

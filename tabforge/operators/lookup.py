@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tabforge.operators.ordered import ranges_for
+from tabforge.session import stored
+
 MAX_BROADCAST_ROWS = 1_000_000
 
 
@@ -67,22 +70,25 @@ def freq_outer_align(df: DataFrame, cat_col: str, side_pred, normalize: bool = T
 
 
 def nearest_key_join(df: DataFrame, ref_col: str, lookup: DataFrame, key_col: str, value_col: str,
-                     n_buckets: int = 1024) -> DataFrame:
+                     n_buckets: int | None = None) -> DataFrame:
     """For each row, the lookup value of the key nearest to ``ref_col`` (ties -> smaller key).
 
     Exact and distributed, without forming (row, key) pairs: keys and the distinct
     row values are placed in ``n_buckets`` value ranges (bounds from
-    ``approxQuantile`` of the keys); the previous / next key is a window inside
-    each range, and the carry from earlier / later ranges comes from a
-    per-range table of at most ``n_buckets`` rows.  The result is joined back on
-    the reference value, adding ``<value_col>_nearest``.
+    ``approxQuantile`` of the keys; as many ranges as their number asks for unless
+    named); the previous / next key is a window inside each range, and the carry
+    from earlier / later ranges comes from a per-range table of at most
+    ``n_buckets`` rows.  The result is joined back on the reference value, adding
+    ``<value_col>_nearest``.
     """
     from pyspark.ml.feature import Bucketizer
 
     spark = df.sparkSession
     keys = (lookup.select(F.col(key_col).cast("double").alias("__k"), F.col(value_col).alias("__v"))
             .dropna(subset=["__k"]))
-    bounds = sorted(set(keys.approxQuantile("__k", [i / n_buckets for i in range(1, n_buckets)], 0.001)))
+    keys = stored(keys, "keys")   # read for the bounds, the windows and the carries
+    n_buckets = n_buckets or ranges_for(keys.count())
+    bounds = sorted(set(keys.approxQuantile("__k", [i / n_buckets for i in range(1, n_buckets)], min(0.001, 0.25 / n_buckets))))
     splits = [float("-inf")] + bounds + [float("inf")]
     bz = Bucketizer(splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep")
 

@@ -46,6 +46,11 @@ class Encoder:
         out = self.model.transform(df)
         return self.label_model.transform(out) if with_label else out
 
+    def slot_names(self) -> list:
+        """A name per slot of the feature vector: the numeric columns, then ``column=level``; null for the slot of unseen levels."""
+        told = [labels for st in self.model.stages if hasattr(st, "labelsArray") for labels in st.labelsArray]
+        return self.num_cols + [n for c, labels in zip(self.cat_cols, told) for n in [*(f"{c}={v}" for v in labels), None]]
+
 
 def split_columns(df: DataFrame, target: str, exclude=()) -> tuple[list, list]:
     num, cat = [], []

@@ -21,6 +21,7 @@ from tabforge.operators import neighbours as NB
 from tabforge.operators import ranking as W
 from tabforge.operators import split as G
 from tabforge.operators import tokens as TK
+from tabforge.operators.expanded import feature_scores
 from tabforge.operators.store import Registry, Runs
 from tabforge.operators.svd import truncated_svd
 from tabforge.plans import cleaning, training
@@ -193,20 +194,20 @@ def q_mutual_information_knn(spark, sf):
     return NB.knn_mutual_information(_scored(spark, sf), "occupancy_level", KBEST_COLS).select("feature", F.round("mi", 7).alias("mi"))
 
 
-def _knn_sql():
-    from tabforge.plans.catalog_eda import SC_CTE
-    sc = SC_CTE.replace("estimated_occupancy_l365d AS occ,", "estimated_occupancy_l365d AS occ, availability_365,"
-                        " number_of_reviews, reviews_per_month, review_scores_rating,")
+def _psi_sql(n):   # by recurrence and series, as digamma is not a function there
+    y = f"(CAST({n} AS DOUBLE) + 6)"
+    return (f"(ln({y}) - 0.5 / {y} - 1 / (12 * {y} ** 2) + 1 / (120 * {y} ** 4) - 1 / (252 * {y} ** 6) + 1 / (240 * {y} ** 8) - "
+            + " - ".join(f"1.0 / (CAST({n} AS DOUBLE) + {i})" for i in range(6)) + ")")
 
-    def psi(n):   # by recurrence and series, as digamma is not a function there
-        y = f"(CAST({n} AS DOUBLE) + 6)"
-        return (f"(ln({y}) - 0.5 / {y} - 1 / (12 * {y} ** 2) + 1 / (120 * {y} ** 4) - 1 / (252 * {y} ** 6) + 1 / (240 * {y} ** 8) - "
-                + " - ".join(f"1.0 / (CAST({n} AS DOUBLE) + {i})" for i in range(6)) + ")")
 
-    rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, y, CAST({c} AS DOUBLE) AS x FROM sc WHERE {c} IS NOT NULL AND y IS NOT NULL" for c in KBEST_COLS)
+_KNN_MI = (f"SELECT feature, round(greatest(0.0, {_psi_sql('count(*)')} + avg({_psi_sql('k')} - {_psi_sql('ny')} - {_psi_sql('m')})), 7) AS mi"
+           " FROM pts GROUP BY feature")
+
+
+def _knn_ctes():
+    """CTEs from ``cells`` (feature, y, x) to ``pts``, the neighbour counts of every cell."""
     gaps = ", ".join(f"abs(x - {step}(x, {i}) OVER c)" for step in ("lag", "lead") for i in (1, 2, 3))
-    ctes = (
-        sc, f"cells AS ({rows})",
+    return (
         f"near AS (SELECT feature, y, x, count(*) OVER (PARTITION BY feature, y) AS ny, list_sort(list_filter([{gaps}], lambda d: d IS NOT NULL)) AS d FROM cells"
         " WINDOW c AS (PARTITION BY feature, y ORDER BY x))",
         "rad AS (SELECT *, least(3, ny - 1) AS k, d[least(3, ny - 1)] AS r FROM near WHERE ny > 1)",
@@ -216,7 +217,15 @@ def _knn_sql():
         "pts AS (SELECT t.feature, ny, CASE WHEN r = 0 THEN count(*) OVER (PARTITION BY t.feature, y, x) - 1 ELSE k END AS k,"
         " CASE WHEN r = 0 THEN lo.n ELSE hi.below - lo.below - lo.n END AS m FROM rad t JOIN cum lo ON lo.feature = t.feature AND lo.v = t.x - t.r"
         " JOIN cum hi ON hi.feature = t.feature AND hi.v = t.x + t.r)")
-    return with_listings(f"SELECT feature, round(greatest(0.0, {psi('count(*)')} + avg({psi('k')} - {psi('ny')} - {psi('m')})), 7) AS mi FROM pts GROUP BY feature", *ctes)
+
+
+def _knn_sql():
+    from tabforge.plans.catalog_eda import SC_CTE
+    sc = SC_CTE.replace("estimated_occupancy_l365d AS occ,", "estimated_occupancy_l365d AS occ, availability_365,"
+                        " number_of_reviews, reviews_per_month, review_scores_rating,")
+
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, y, CAST({c} AS DOUBLE) AS x FROM sc WHERE {c} IS NOT NULL AND y IS NOT NULL" for c in KBEST_COLS)
+    return with_listings(_KNN_MI, sc, f"cells AS ({rows})", *_knn_ctes())
 
 
 O["mutual_information_knn"] = _knn_sql()
@@ -342,24 +351,50 @@ O["svd_checks"] = with_listings("SELECT id AS row_id, 50 AS k, true AS not_longe
 
 
 def q_feature_ranking(spark, sf):
-    """E5: MI, ANOVA F, forest importance and |Spearman| per numeric feature -> min-max -> mean rank."""
+    """E5: ANOVA F, MI, |Spearman| and forest importance of every expanded feature, numeric or one-hot level -> min-max -> mean rank."""
     p = training.prepare(spark, sf)
-    df = p.clean_train
-    num = list(p.enc.num_cols)   # every numeric and amenity feature
-    mi = E.mutual_information(df, cleaning.TARGET, num, 10).select("feature", F.lit("mi").alias("metric"),
-                                                                   F.col("mi").alias("value"))
-    fs = E.anova_f(df, cleaning.TARGET, num).select("feature", F.lit("f").alias("metric"), F.col("f_stat").alias("value"))
-    sp = E.spearman(df.withColumn("__target", G.level_rank(cleaning.TARGET)), "__target", num).select(
-        "feature", F.lit("spearman").alias("metric"), F.coalesce("spearman", F.lit(0.0)).alias("value"))
-    rf = K.random_forest("weight", 400, min_leaf=2).fit(p.train)
-    imp = rf.featureImportances.toArray()
-    imp_df = spark.createDataFrame([(c, "rf", float(imp[i])) for i, c in enumerate(p.enc.num_cols) if c in num],
+    filled = p.clean_train.fillna(p.enc.cat_fill)
+    scores = feature_scores(filled, cleaning.TARGET, G.LEVELS, p.enc.num_cols, p.enc.cat_cols).unpivot("feature", ["f", "mi", "spearman"], "metric", "value")
+    imp = K.random_forest("weight", 400, min_leaf=2).fit(p.train).featureImportances.toArray()
+    imp_df = spark.createDataFrame([(c, "rf", float(v)) for c, v in zip(p.enc.slot_names(), imp, strict=True) if c is not None],
                                    "feature string, metric string, value double")
-    table = mi.unionByName(fs).unionByName(imp_df).unionByName(sp)
+    # A numeric feature without values has no scores: 0, as its importance.
+    names = imp_df.select("feature", F.explode(F.array(*map(F.lit, ("f", "mi", "spearman")))).alias("metric"))
+    table = names.join(scores, ["feature", "metric"], "left").select("feature", "metric", F.coalesce("value", F.lit(0.0)).alias("value")).unionByName(imp_df)
     norm = W.minmax_norm(table, "metric", "value")
     return W.avg_rank(norm, "feature", "metric", "norm").orderBy("rank_avg", "feature")
 
 
+LEVEL_COLS = ["room_type", "property_type", "neighbourhood_cleansed", "host_response_time"]
+
+
+def q_expanded_scores(spark, sf):
+    """E5: ANOVA F, MI and |Spearman| of two numeric columns and of every level of four text columns against the occupancy level."""
+    from tabforge.plans.catalog_eda import _scored
+    found = feature_scores(_scored(spark, sf), "occupancy_level", G.LEVELS, ["accommodates", "bedrooms"], LEVEL_COLS)
+    return found.select("feature", F.round("f", 4).alias("f"), F.round("mi", 7).alias("mi"), F.round("spearman", 6).alias("spearman"))
+
+
+def _expanded_sql():
+    levels = " UNION ALL ".join(f"SELECT '{c}=' || v AS feature, y, CASE WHEN {c} = v THEN 1.0 ELSE 0.0 END AS x FROM lab,"
+                                f" (SELECT DISTINCT {c} AS v FROM lab WHERE {c} IS NOT NULL) WHERE {c} IS NOT NULL" for c in LEVEL_COLS)
+    numbers = " UNION ALL ".join(f"SELECT '{c}' AS feature, y, CAST({c} AS DOUBLE) AS x FROM lab WHERE {c} IS NOT NULL" for c in ("accommodates", "bedrooms"))
+    return with_listings(
+        "SELECT a.feature, round(f, 4) AS f, mi, round(spearman, 6) AS spearman FROM anova a JOIN near_mi USING (feature) JOIN rho USING (feature)",
+        f"lab AS (SELECT *, {LEVEL_SQL.format(x='estimated_occupancy_l365d')} AS y FROM listings)",
+        f"cells AS (SELECT * FROM ({numbers} UNION ALL {levels}) WHERE y IS NOT NULL)",
+        *_knn_ctes(), f"near_mi AS ({_KNN_MI})",
+        "cm AS (SELECT feature, x, avg(x) OVER (PARTITION BY feature, y) AS m, avg(x) OVER (PARTITION BY feature) AS g, y FROM cells)",
+        "anova AS (SELECT feature, (sum((m - g) ** 2) / (count(DISTINCT y) - 1)) / (sum((x - m) ** 2) / (count(*) - count(DISTINCT y))) AS f FROM cm GROUP BY feature)",
+        "ranked AS (SELECT feature, rank() OVER (PARTITION BY feature ORDER BY x) + (count(*) OVER (PARTITION BY feature, x) - 1) / 2.0 AS rx,"
+        " rank() OVER (PARTITION BY feature ORDER BY t) + (count(*) OVER (PARTITION BY feature, t) - 1) / 2.0 AS rt FROM"
+        " (SELECT feature, x, CASE y WHEN 'zero' THEN 0 WHEN 'low' THEN 1 WHEN 'mid' THEN 2 ELSE 3 END AS t FROM cells))",
+        "rho AS (SELECT feature, abs(corr(rx, rt)) AS spearman FROM ranked GROUP BY feature)")
+
+
+O["expanded_scores"] = _expanded_sql()
+
+
 def q_weight_search(spark, sf):
     return training.weight_search(training.prepare(spark, sf))
 
