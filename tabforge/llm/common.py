@@ -19,6 +19,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(docs: DataFrame, *names: str) -> list[str]:
+    """Names for columns of an operator's own, none of them a column of ``docs`` (Spark ignores case)."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def text_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Rows that go to Python at once, for operators that send whole texts there: bounds a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -23,6 +23,7 @@ from tabforge.llm.common import table, written
 
 RESULT = "query_id long, query_key long, vec_id long, score long"
 _EXACT = float(1 << 53)
+_LONG = float(1 << 62)
 
 
 def quantise(vectors: DataFrame, scale: int = 1024) -> DataFrame:
@@ -111,8 +112,15 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
     vec_id is no candidate of it.  Candidates are dealt into shards of about ``shard_rows`` and
     queries into blocks of about ``query_block`` by hash; one task holds one shard and one block.
     Two different vectors under one vec_id are two queries (``query_key`` tells them apart).
+    Raises where a score could leave 64 bits: the greatest component of one side times the greatest
+    sum of magnitudes of the other bounds every score and every sum on the way to it.
     """
-    n, m = (df.agg(F.count(F.lit(1))).first()[0] for df in (vectors, queries))
+    size = F.transform("q", lambda v: F.abs(v.cast("double")))
+    (n, most, total), (m, asked_most, asked_total) = (
+        df.agg(F.count(F.lit(1)), F.coalesce(F.max(F.array_max(size)), F.lit(0.0)), F.coalesce(F.max(F.aggregate(size, F.lit(0.0), lambda s, v: s + v)), F.lit(0.0))).first()
+        for df in (vectors, queries))
+    if min(most * asked_total, total * asked_most) >= _LONG:
+        raise ValueError("scores of these vectors may not fit 64 bits; scale them down")
     shards, blocks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(m / query_block))
     deal = lambda df, salt, count: F.pmod(F.xxhash64(F.lit(salt), "vec_id", "q"), F.lit(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))

@@ -14,7 +14,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import table
+from tabforge.llm.common import free, table
 
 # The contract's word separators and symbols.
 SPACES = " \t\n\x0b\f\r"
@@ -109,19 +109,20 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     lines = _let(symbols, lambda n: _let(marks(n), lambda m: _let(F.filter(F.split(t, "\n", -1), _has_word), lambda a: F.struct(
         (F.size(a) - F.size(F.array_distinct(a))).cast("long").alias("n_dup_lines"),
         size(a).alias("length"), n.alias("n_symbols"), size(F.filter(a, lambda x: _line_fails(x, m))).alias("lost")))))
-    out = docs.withColumns({"_c": counts, "_l": lines}).withColumns({
-        "n_words": F.col("_c.n_words"),
-        "word_chars": (F.length(t) - F.col("_c.spaces")).cast("long"),
-        "n_symbols": F.col("_l.n_symbols").cast("long"),
-        "n_dup_lines": F.col("_l.n_dup_lines"),
-        "n_repeat_words": F.col("_c.n_repeat_words"),
+    c, l = free(docs, "_c", "_l")  # noqa: E741
+    out = docs.withColumns({c: counts, l: lines}).withColumns({
+        "n_words": F.col(f"{c}.n_words"),
+        "word_chars": (F.length(t) - F.col(f"{c}.spaces")).cast("long"),
+        "n_symbols": F.col(f"{l}.n_symbols").cast("long"),
+        "n_dup_lines": F.col(f"{l}.n_dup_lines"),
+        "n_repeat_words": F.col(f"{c}.n_repeat_words"),
     })
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     part, whole = MAX_LOST
     out = out.withColumn("base_failed", base_failed)
-    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("_l.lost") * whole <= F.col("_l.length") * part))
+    out = out.withColumn("kept", ~F.col("base_failed") & (F.col(f"{l}.lost") * whole <= F.col(f"{l}.length") * part))
     cleaned = _let(marks(symbols), lambda m: F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x: ~_has_word(x) | ~_line_fails(x, m)), "\n"))
-    return out.withColumn("cleaned", cleaned).drop("_c", "_l")
+    return out.withColumn("cleaned", cleaned).drop(c, l)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

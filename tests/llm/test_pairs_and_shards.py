@@ -183,3 +183,11 @@ def test_deduplicated_keeps_every_group(spark):
     assert got.columns == df.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(5, one, "x"), (3, two, "z"), (None, three, "v"), (8, "", "t")], key=str)
     assert simhash.deduplicated(df.limit(0)).count() == 0
+
+
+def test_topk_refuses_scores_beyond_64_bits(spark):
+    far = spark.createDataFrame([(0, [9 * 10**15, 1]), (1, [9 * 10**15, -1])], "vec_id long, q array<long>")
+    with pytest.raises(ValueError):
+        maxscore.topk(far, far)
+    near = spark.createDataFrame([(0, [2 * 10**9, 7]), (1, [2 * 10**9, -1])], "vec_id long, q array<long>")
+    assert {(r.query_id, r.vec_id): r.score for r in maxscore.topk(near, near).collect()} == {(0, 1): 4 * 10**18 - 7, (1, 0): 4 * 10**18 - 7}

@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
 import __spark_entry__ as entry
 from tabforge.llm import quality, toxicity
@@ -40,10 +42,13 @@ def test_stages_match_brute_force(spark, small):
 
 
 def test_stages_on_edge_rows(spark, edge_docs, small):
-    docs = edge_docs.drop("score")
+    mine = {c: "mine" for c in ("predicted", "n_words", "kept", "cleaned", "_key", "_nth", "_c", "_l", "row", "base_failed", "_id", "fp")}
+    docs = edge_docs.withColumns({c: F.lit(v) for c, v in mine.items()})   # ``score`` among them: names that operators use
     for _, stage in pipeline.STAGES[:-1]:
         out = stage(spark, docs, small)
-        assert out.columns == docs.columns and out.count() <= docs.count()
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        rows = out.collect()
+        assert len(rows) <= docs.count() and all(r.asDict().items() >= mine.items() and r.score in ("x", "y", None) for r in rows)
     kept = pipeline.near_dedup(spark, docs, small)
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 4, 5, 7]
     for _, stage in pipeline.STAGES:

@@ -410,3 +410,17 @@ def test_a_key_among_words_is_a_candidate(spark):
     found = secrets.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ["doc_id"]).collect()
     values = {r.doc_id: r.value for r in found}
     assert values == {0: key, 1: key, 2: key, 3: "correct horse battery staple"} and len(found) == 4
+
+
+def test_bearer_tokens_and_passwords_in_addresses(spark):
+    letters, mixed = "qZvTkWmXbRcLpNdGhJsFyHwBzQxKtVmR", "h7Gt2kQz9LmXw4RbV8nY"
+    cases = [(f"Authorization: Bearer {letters}", f"Bearer {letters}", letters), (f"-H 'authorization: bearer {mixed}'", f"bearer {mixed}", mixed),
+             (f"postgres://user:{mixed}@db.example.net/main", f"://user:{mixed}@", mixed), (f"redis://:{mixed}@cache", f"://:{mixed}@", mixed)]
+    docs = spark.createDataFrame([(i, f"set {c[0]} and more.", "s") for i, c in enumerate(cases)], "doc_id long, text string, source string")
+    assert [(r.doc_id, r.found, r.value, r.is_secret) for r in secrets.scan(docs).orderBy("doc_id", "nth").collect()] == [(i, f, v, True) for i, (_, f, v) in enumerate(cases)]
+    hidden = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    assert hidden[2] == "set postgres[SECRET]db.example.net/main and more."
+    fine = ["the bearer of good tidings", "Bearer your_access_token_here", "https://example.org:8080/a@b", "mail me: a://b c:d@e", "ftp://user:password@example.org"]
+    assert not [r.found for r in secrets.scan(spark.createDataFrame([(1, t, "s") for t in fine], "doc_id long, text string, source string")).collect() if r.is_secret]
+    whole = secrets.featured(secrets.candidates(spark.createDataFrame([(1, "token=" + "a" * 64 + "0123456789")], "doc_id long, text string"), ["doc_id"])).first()
+    assert whole.f_alphabet == pytest.approx(11 / 74)   # of the whole value
