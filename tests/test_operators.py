@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 
 import pandas as pd
 import pytest
@@ -211,3 +212,66 @@ def test_driver_levels_report_what_is_left_out(spark):
     assert got == {"many": (60, False), "few": (2, True), "none": (0, False)}
     assert E.driver_levels(df, max_levels=None).where("used").count() == 2
     assert {r.column_name: r.driver for r in E.missingness_mechanism(df, max_levels=None).collect()}["x"].startswith("many")
+
+
+def test_nearest_lookup_moves_no_rows(spark):
+    """A value held by most rows is looked up where the rows are, not sent to one task."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).select("id", F.when(F.col("id") < 990, 2.4).when(F.col("id") < 999, 7.0).alias("x"))
+        keys = spark.createDataFrame([(1.0, "a"), (3.0, "b"), (8.0, "c")], "k double, v string")
+        out = J.nearest_key_join(df, "x", keys, "k", "v")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan.splitlines()[2]   # the join of the rows, below their projection
+        assert {(r["x"], r["v_nearest"]): r["count"] for r in out.groupBy("x", "v_nearest").count().collect()} == {(2.4, "b"): 990, (7.0, "c"): 9, (None, None): 1}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_nearest_lookup_over_many_values(spark):
+    """Ten thousands of values without a key between them take one step each, in both directions."""
+    df = spark.range(60_000).select("id", (F.col("id") * 1.0).alias("x")).repartition(2)
+    keys = spark.createDataFrame([(-5.0, "a"), (80_000.0, "b")], "k double, v string")
+    begun = time.monotonic()
+    out = J.nearest_key_join(df, "x", keys, "k", "v", n_buckets=1).groupBy("v_nearest").agg(F.count("*").alias("n"), F.max("x").alias("top")).collect()
+    assert {r["v_nearest"]: (r["n"], r["top"]) for r in out} == {"a": (39_998, 39_997.0), "b": (20_002, 59_999.0)}
+    assert time.monotonic() - begun < 25   # about 60,000 squared steps before
+
+
+def test_numbers_are_coerced_as_their_text_is(spark):
+    from tabforge.functions.scalars import numeric_coerce
+    from tabforge.operators import eda as E
+    df = spark.createDataFrame([(x, i, f"a{i}b-{i}", True) for i, x in enumerate([0.0, -0.0, 1e-4, 1e-3, 12.5, -9999999.0, 1e7, 1e300, float("nan"), float("inf"), None])],
+                               "x double, i long, s string, t boolean").withColumn("d", F.current_date())
+    out = df.select(*[F.struct(numeric_coerce(c).cast("string"), E._as_number(df, c).cast("string")).alias(c) for c in df.columns]).collect()
+    assert all(a == b for r in out for a, b in r)
+
+
+def test_missingness_reads_its_input_once(spark):
+    from tabforge.operators import eda as E
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for d in parts:
+            seen.add(len(d))
+            yield d
+
+    rows = [(None if i % 4 == 0 else float(i % 9), "a" if i % 4 == 0 else "b", f"t{i}", str(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, g string, wide string, number string")
+    out = {r["column_name"]: r for r in E.missingness_mechanism(df.mapInPandas(counted, df.schema)).collect()}
+    assert seen.value == 200
+    assert set(out) == {"x"} and out["x"]["driver"].startswith("g ") and out["x"]["missing"] == 50
+    levels = spark.createDataFrame([(f"v{i % 31}", f"v{i % 30}", None, f"v{i}") for i in range(400)], "a string, b string, c string, d string")
+    assert E._used_columns(levels, {c: c.upper() for c in levels.columns}, 30) == {"B"}
+    assert E._used_columns(levels, {c: c.upper() for c in levels.columns}, None) == {"A", "B", "D"}
+
+
+def test_large_tables_come_in_even_parts(spark, monkeypatch):
+    from tabforge import session
+    parts = 2 * spark.sparkContext.defaultParallelism
+    df = spark.range(100 * parts).coalesce(1)
+    assert session.spread(df, "id").rdd.getNumPartitions() == 1
+    monkeypatch.setattr(session, "SPREAD_ROWS", 100)
+    sizes = session.spread(df, "id").rdd.glom().map(len).collect()
+    assert len(sizes) == parts and sum(sizes) == 100 * parts and max(sizes) < 200
