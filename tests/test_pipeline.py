@@ -111,3 +111,24 @@ def test_cross_validation_covers_every_row_once(spark):
     got = training.cross_validate(p, {"logreg": lambda rows: training.fit_logreg(p, rows), "forest": lambda rows: training.fit_random_forest(p, rows, 5, 3)}, k=3).collect()
     assert {r.model_name for r in got} == {"logreg", "forest"} and all(r.rows == p.train.count() and r.folds == 3 for r in got)
     assert all(0.25 <= r.bal_acc_mean <= 1 and 0 <= r.f1_mean <= 1 for r in got)
+
+
+def test_list_text_is_parsed_once(spark, monkeypatch):
+    """The vocabulary and the columns made from it read the parsed lists; serving still parses text."""
+    from tabforge.functions import lists
+    from tabforge.operators import tokens
+    calls = []
+    for module in (lists, tokens):
+        real = module.parse_list_text
+        monkeypatch.setattr(module, "parse_list_text", lambda *a, real=real, **k: calls.append(1) or real(*a, **k))
+    rows = [(i, i % 7, "$5.00", 30.0, text) for i, text in enumerate([' [" Wifi ", "TV\\n"] ', "{Wifi,'tv'}", "wifi, \t\"Pool\" ", None, "  "] * 8)]
+    raw = spark.createDataFrame(rows, "id long, host_id long, price string, estimated_occupancy_l365d double, amenities string").withColumns(
+        {"neighbourhood_cleansed": F.lit("n"), "room_type": F.lit("r")})
+    train, test, fit = cleaning.run(raw)
+    assert len(calls) == 1 and fit.vocabulary[:1] == ["wifi"]
+    got = {r["id"]: r for r in train.unionByName(test).collect()}
+    assert len(got) == 40 and got[0]["amenities_count"] == got[1]["amenities_count"] == got[2]["amenities_count"] == 2
+    assert got[3]["amenities_count"] == got[4]["amenities_count"] == 0 and got[0]["amenity_wifi"] == got[2]["amenity_pool"] == 1
+    assert "amenities" not in train.columns and "__items" not in train.columns
+    again = {r["id"]: r for r in cleaning.apply(cleaning.clean_rows(raw), fit).collect()}
+    assert all(again[i]["amenities_count"] == r["amenities_count"] for i, r in got.items())

@@ -60,3 +60,14 @@ def test_empty(spark):
     df = spark.createDataFrame([], "g string, x double")
     assert Q.quantiles(df, ["x"], [0.5]) == {"x": [None]}
     assert Q.group_quantile(df, ["g"], "x").count() == 0
+
+
+def test_one_value_at_the_rank_needs_no_count(spark, monkeypatch):
+    df = spark.createDataFrame([(0.0, float(i)) for i in range(200)] + [(1.0, None)] * 20, "flag double, wide double")
+    assert Q.quantiles(df, ["flag", "wide"], [0.5]) == {"flag": [0.0], "wide": [99.5]}
+
+    def counted(*args):
+        raise AssertionError("values were counted")
+
+    monkeypatch.setattr(Q, "_pick", counted)
+    assert Q.quantiles(df, ["flag"], [0.25, 0.5]) == {"flag": [0.0, 0.0]}
