@@ -132,3 +132,31 @@ def test_list_text_is_parsed_once(spark, monkeypatch):
     assert "amenities" not in train.columns and "__items" not in train.columns
     again = {r["id"]: r for r in cleaning.apply(cleaning.clean_rows(raw), fit).collect()}
     assert all(again[i]["amenities_count"] == r["amenities_count"] for i, r in got.items())
+
+
+def test_requests_with_ids_are_not_hashed(spark, tmp_path):
+    lines = ['{"data": [{"id": "a", "beds": 1.0}, {"id": "b"}]}', '{"data": [{"beds": 2.0}, {"id": "c"}]}']
+    (tmp_path / "r.json").write_text("\n".join(lines))
+    raw = read_request_lines(spark, str(tmp_path))
+    out = explode_requests(raw)
+    text = raw.select(F.input_file_name().alias("f"), F.sha2(F.to_json("data"), 256).alias("t"), F.posexplode("data").alias("p", "r"))
+    keys = text.where("r.id is null").select(F.sha2(F.concat_ws("|", "f", "t", F.col("p").cast("string")), 256)).collect()
+    assert sorted(r["id"] for r in out.select("id").collect()) == sorted(["a", "b", "c", *[k[0] for k in keys]]) and len(keys) == 1
+    assert "WHEN exists(data" in out._jdf.queryExecution().optimizedPlan().toString()   # only lines that need it
+
+
+def test_training_and_requests_read_one_written_table(spark, monkeypatch):
+    from tabforge.plans import catalog_models as C
+
+    class Seen(Exception):
+        pass
+
+    def prepare(spark, sf, raw):
+        raise Seen(raw)
+
+    monkeypatch.setattr(C.training, "prepare", prepare)
+    with pytest.raises(Seen) as e:
+        C._trained(spark, SF)
+    raw = e.value.args[0]
+    assert raw.dtypes == cleaning.null_tokens_to_null(listings(spark, SF)).dtypes
+    assert raw.inputFiles() and not [f for f in raw.inputFiles() if SF in f]
