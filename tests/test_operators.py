@@ -275,3 +275,30 @@ def test_large_tables_come_in_even_parts(spark, monkeypatch):
     monkeypatch.setattr(session, "SPREAD_ROWS", 100)
     sizes = session.spread(df, "id").rdd.glom().map(len).collect()
     assert len(sizes) == parts and sum(sizes) == 100 * parts and max(sizes) < 200
+
+
+def test_encoder_medians_are_exact_and_skip_nan(spark, monkeypatch):
+    """One row, not every value, reaches Spark's own imputer."""
+    from pyspark.ml.feature import Imputer
+
+    from tabforge.operators import models as K
+    rows = [(float(i % 40) if i % 7 else float("nan"), i if i % 5 else None, i % 2, "ab"[i % 2]) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, n int, flag int, y string").repartition(4)
+    plain = Imputer(strategy="median", inputCols=["x", "n", "flag"], outputCols=["a", "b", "c"], relativeError=1e-4).fit(df).surrogateDF.first()
+    fitted, seen = Imputer._fit, []
+    monkeypatch.setattr(Imputer, "_fit", lambda self, d: seen.append(d.count()) or fitted(self, d))
+    stages = K.fit_encoder(df, "y", ["x", "n", "flag"], []).model.stages
+    assert stages[0].surrogateDF.first() == plain and seen == [1]
+
+
+def test_wide_plans_are_not_one_huge_method(spark):
+    from tabforge.session import TUNED
+    from tabforge.sources.fixtures import table
+    for name in TUNED:
+        spark.conf.unset(name)
+    table(spark, "/root/testdata/sf0.001", "nation")
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "9000")   # a caller's own value is kept
+    table(spark, "/root/testdata/sf0.001", "nation")
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "9000"
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")

@@ -71,3 +71,20 @@ def test_one_value_at_the_rank_needs_no_count(spark, monkeypatch):
 
     monkeypatch.setattr(Q, "_pick", counted)
     assert Q.quantiles(df, ["flag"], [0.25, 0.5]) == {"flag": [0.0, 0.0]}
+
+
+def test_flags_need_no_sketch(spark, monkeypatch):
+    rows = [(i % 3 // 2, 7 if i % 5 else 8, None if i % 2 else 1, None) for i in range(101)]
+    df = spark.createDataFrame(rows, "flag int, near short, some byte, none int").repartition(3)
+    want_ = {c: [want([r[j] for r in rows], p) for p in PROBS] for j, c in enumerate(df.columns) if c != "none"}
+    calls = []
+    monkeypatch.setattr(F, "percentile_approx", lambda *a: calls.append(a))
+    assert Q.quantiles(df.drop("none"), ["flag", "near", "some"], PROBS) == want_ and not calls
+    monkeypatch.undo()
+    assert Q.quantiles(df, df.columns, PROBS) == want_ | {"none": [None] * len(PROBS)}
+
+
+def test_lower_of_two_middle_values(spark):
+    df = spark.createDataFrame([(float(i), i, i % 2) for i in range(10)], "x double, n int, flag int")
+    assert Q.quantiles(df, ["x", "n", "flag"], [0.5], lower=True) == {"x": [4.0], "n": [4.0], "flag": [0.0]}
+    assert Q.quantiles(df, ["x", "n", "flag"], [0.5]) == {"x": [4.5], "n": [4.5], "flag": [0.5]}
