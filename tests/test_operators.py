@@ -291,6 +291,18 @@ def test_encoder_medians_are_exact_and_skip_nan(spark, monkeypatch):
     assert stages[0].surrogateDF.first() == plain and seen == [1]
 
 
+def test_runs_read_stored_listings(spark, monkeypatch):
+    """The listings are derived once for all runs of the comparison."""
+    from tabforge.plans import catalog_metrics as CM
+    from tabforge.sources import fixtures
+    derived, listings = [], fixtures.listings
+    for module in (CM, fixtures):
+        monkeypatch.setattr(module, "listings", lambda *a: derived.append(1) or listings(*a))
+    runs = CM._run_predictions(spark, "/root/testdata/sf0.001")
+    assert len(derived) == 1 and len(runs) == 3
+    assert not any("lineitem" in pred._jdf.queryExecution().toString() for _, _, pred in runs)
+
+
 def test_wide_plans_are_not_one_huge_method(spark):
     from tabforge.session import TUNED
     from tabforge.sources.fixtures import table
