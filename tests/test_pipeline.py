@@ -160,3 +160,11 @@ def test_training_and_requests_read_one_written_table(spark, monkeypatch):
     raw = e.value.args[0]
     assert raw.dtypes == cleaning.null_tokens_to_null(listings(spark, SF)).dtypes
     assert raw.inputFiles() and not [f for f in raw.inputFiles() if SF in f]
+
+
+def test_write_features_shuffles_no_vectors(spark):
+    """The loaded encoder and the training one meet on the same row, not through a join of both tables."""
+    from tabforge.plans import catalog_models as C
+    out = C.q_write_features(spark, SF)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() and not out.where("not same_features or same_features is null").count()
