@@ -52,13 +52,14 @@ class ByteBpe:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [None if self._whole(t) else t.split(" ") for t in texts]
-        spaced, passing = self._pieces({c for parts in cut if parts for c in parts[1:]})
+        first = [parts and self._first(parts.pop(0)) for parts in cut]
+        spaced, passing = self._pieces(set().union(*filter(None, cut)))
         out = []
-        for text, parts in zip(texts, cut, strict=True):
+        for text, parts, start in zip(texts, cut, first, strict=True):
             if parts is None:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
             else:
-                out.append(self._first(parts[0]) + b"".join(map(spaced.__getitem__, parts[1:])))
+                out.append(start + b"".join(map(spaced.__getitem__, parts)))
         for chunk in passing:
             del spaced[chunk]
         return out
